@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_GROUPS = ["linkage"]
+_GROUPS = ["linkage", "recommend"]
 
 
 def _load():

@@ -55,12 +55,13 @@ def parse_scored_pairs(lines: DataFrame, col: str = "value", n_scores: int = 9)
     )
 
 
-def parse_labeled(lines: DataFrame, n_features: int | None = None, col: str = "value", sep: str = ",") -> DataFrame:
+def parse_labeled(lines: DataFrame, n_features: int | None = None, col: str = "value", sep: str = ",", keep=()) -> DataFrame:
     """All numbers but the last are features (or only the first ``n_features``); label = last − 1."""
     vals = F.transform(_fields(col, sep), lambda s: X.strict_double(s))
-    df = lines.select(vals.alias("_v"))
+    df = lines.select(*keep, vals.alias("_v"))
     n = F.size("_v") - 1 if n_features is None else F.lit(n_features)
     return df.select(
+        *keep,
         (F.element_at("_v", -1) - 1.0).alias("label"),
         F.slice("_v", F.lit(1), n).alias("features"),
     )
@@ -81,11 +82,11 @@ def parse_mixed(lines: DataFrame, col: str = "value", sep: str = ",", drop_from:
     )
 
 
-def parse_triples(lines: DataFrame, col: str = "value", sep: str = " ", names=("user", "item", "count")) -> DataFrame:
+def parse_triples(lines: DataFrame, col: str = "value", sep: str = " ", names=("user", "item", "count"), keep=()) -> DataFrame:
     """``user item count`` integers; a line without three integers fails the job."""
     a = _require_width(_fields(col, sep), 3, "triple")
-    df = lines.select(a.alias("_f"))
-    return df.select(*[X.strict_int(F.col("_f")[i], n).alias(n) for i, n in enumerate(names)])
+    df = lines.select(*keep, a.alias("_f"))
+    return df.select(*keep, *[X.strict_int(F.col("_f")[i], n).alias(n) for i, n in enumerate(names)])
 
 
 def _id_and_rest(col: str):
@@ -120,12 +121,14 @@ def parse_aliases(lines: DataFrame, col: str = "value", order_col: str | None =
     """
     a = F.split(F.col(col), "\t", -1)
     cols = [a.alias("_t")] + ([F.col(order_col).alias("_o")] if order_col else [])
-    df = lines.select(*cols).filter(F.col("_t")[0] != "")
-    df = df.select(
-        X.strict_int(F.col("_t")[0], "alias id").alias("bad"),
-        X.strict_int(F.get(F.col("_t"), 1), "canonical id").alias("good"),
+    # The keep-condition sits inside each parse expression, so no filter the
+    # optimizer moves below it can expose a dropped line to the strict casts.
+    keep = F.col("_t")[0] != ""
+    df = lines.select(*cols).select(
+        F.when(keep, X.strict_int(F.col("_t")[0], "alias id")).alias("bad"),
+        F.when(keep, X.strict_int(F.get(F.col("_t"), 1), "canonical id")).alias("good"),
         *([F.col("_o")] if order_col else []),
-    )
+    ).filter(F.col("bad").isNotNull())
     order = F.col("_o") if order_col else F.col("good")
     return df.groupBy("bad").agg(F.max_by("good", order).alias("good"))
 
