@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_GROUPS = ["linkage", "recommend"]
+_GROUPS = ["linkage", "recommend", "classify"]
 
 
 def _load():

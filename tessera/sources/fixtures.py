@@ -145,7 +145,9 @@ def category_codes(df: DataFrame, col: str, out: str) -> tuple[DataFrame, list[s
 
 def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as numeric CSV with one-hot blocks: 6 numerics, type (6), brand (25), then the 1-based class."""
-    l = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+    l = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
+    )
     p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_type", "p_brand")
     j = l.join(p, F.col("l_partkey") == F.col("p_partkey"))
     j, types = category_codes(j, "p_type", "_type")
@@ -164,7 +166,11 @@ def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
         one_hot(F.col("_brand").cast("int"), len(brands)),
         F.array(_returnflag_index() + 1.0),
     )
-    return j.select(F.array_join(F.transform(vals, lambda x: x.cast("string")), ",").alias("value"))
+    return j.select(
+        F.array_join(F.transform(vals, lambda x: x.cast("string")), ",").alias("value"),
+        F.col("l_orderkey").alias("k1"),
+        F.col("l_linenumber").cast("long").alias("k2"),
+    )
 
 
 def mixed_lines(spark: SparkSession, sf: str) -> DataFrame:
