@@ -166,3 +166,21 @@ def read_csv_dir(spark: SparkSession, path: str, first_col: str = "cluster") ->
         X.strict_int(F.col("_f")[0], first_col).alias(first_col),
         F.transform(F.slice("_f", F.lit(2), F.size("_f") - 1), lambda s: X.strict_double(s)).alias("features"),
     )
+
+
+def parse_mixed_categorical(lines: DataFrame, col: str = "value", sep: str = ",", cat_positions=(1, 2, 3)) -> DataFrame:
+    """S6 keeping the categorical fields: (line, label, c1..cn, numeric features)."""
+    a = _fields(col, sep)
+    df = lines.select(F.col(col).alias("line"), a.alias("_f"))
+    last = F.size("_f")
+    # Fields other than the categoricals and the label, in order.
+    numeric = F.filter(
+        F.slice("_f", F.lit(1), last - 1),
+        lambda x, i: ~i.isin(*cat_positions),
+    )
+    return df.select(
+        "line",
+        F.element_at("_f", -1).alias("label"),
+        *[F.col("_f")[p].alias(f"c{n + 1}") for n, p in enumerate(cat_positions)],
+        F.transform(numeric, lambda s: X.strict_double(s)).alias("features"),
+    )
