@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_GROUPS = ["linkage", "recommend", "classify", "cluster"]
+_GROUPS = ["linkage", "recommend", "classify", "cluster", "text"]
 
 
 def _load():
