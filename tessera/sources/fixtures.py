@@ -71,7 +71,7 @@ def render_pairs(rows: DataFrame) -> DataFrame:
 
 
 def pair_lines(spark: SparkSession, sf: str) -> DataFrame:
-    header = spark.createDataFrame([(PAIR_HEADER,)], "value string")
+    header = spark.range(1).select(F.lit(PAIR_HEADER).alias("value"))
     return header.unionByName(render_pairs(pair_rows(spark, sf)))
 
 

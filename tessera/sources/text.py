@@ -47,39 +47,47 @@ def parse_scored_pairs(lines: DataFrame, col: str = "value", n_scores: int = 9)
     """
     width = n_scores + 3
     a = _require_width(_fields(col, ","), width, "scored pair")
-    return lines.select(a.alias("_f")).select(
-        X.strict_int(F.col("_f")[0], "id1").alias("id1"),
-        X.strict_int(F.col("_f")[1], "id2").alias("id2"),
-        F.transform(F.slice("_f", 3, n_scores), lambda s: X.missing_double(s)).alias("scores"),
-        X.strict_boolean(F.col("_f")[width - 1]).alias("matched"),
-    )
-
-
-def parse_labeled(lines: DataFrame, n_features: int | None = None, col: str = "value", sep: str = ",", keep=()) -> DataFrame:
-    """All numbers but the last are features (or only the first ``n_features``); label = last − 1."""
-    vals = F.transform(_fields(col, sep), lambda s: X.strict_double(s))
-    df = lines.select(*keep, vals.alias("_v"))
-    n = F.size("_v") - 1 if n_features is None else F.lit(n_features)
-    return df.select(
-        *keep,
-        (F.element_at("_v", -1) - 1.0).alias("label"),
-        F.slice("_v", F.lit(1), n).alias("features"),
-    )
-
-
-def parse_mixed(lines: DataFrame, col: str = "value", sep: str = ",", drop_from: int = 1, drop_count: int = 3) -> DataFrame:
+    f = lines.select(a.alias("_f"))
+    extra = {
+        "id1": X.strict_int(F.col("_f")[0], "id1"),
+        "id2": X.strict_int(F.col("_f")[1], "id2"),
+        "matched": X.strict_boolean(F.col("_f")[width - 1]),
+    }
+    out = X.parse_double_fields(f, "_f", 2, n_scores, "scores", marker=X.MISSING_MARKER, extra=extra)
+    return out.select("id1", "id2", "scores", "matched")
+
+
+def field_count(lines: DataFrame, col: str = "value", sep: str = ",") -> int:
+    """Number of fields of the first line (as the reference reads the width off the first record)."""
+    row = lines.select(F.size(_fields(col, sep)).alias("n")).first()
+    if row is None:
+        raise ValueError("no lines")
+    return int(row["n"])
+
+
+def parse_labeled(
+    lines: DataFrame, n_features: int | None = None, col: str = "value", sep: str = ",", keep=(), width: int | None = None
+) -> DataFrame:
+    """All numbers but the last are features (or only the first ``n_features``); label = last − 1.
+
+    ``width`` is the number of fields per line (read off the first line when
+    not given); every line must have it.
+    """
+    width = width or field_count(lines, col, sep)
+    a = _require_width(_fields(col, sep), width, "labelled record")
+    f = lines.select(*keep, a.alias("_f"))
+    label = X.strict_double(F.get(F.col("_f"), width - 1)) - 1.0
+    # Every field is parsed (and validated), as the reference parses the whole line.
+    out = X.parse_double_fields(f, "_f", 0, width - 1, "features", keep=keep, extra={"label": label})
+    if n_features is not None and n_features < width - 1:
+        out = out.withColumn("features", F.slice("features", 1, n_features))
+    return out
+
+
+def parse_mixed(lines: DataFrame, col: str = "value", sep: str = ",", drop_from: int = 1, drop_count: int = 3, width: int | None = None) -> DataFrame:
     """Drop the categorical columns ``[drop_from, drop_from+drop_count)``; last column is the string label."""
-    a = _fields(col, sep)
-    df = lines.select(a.alias("_f"))
-    rest_start = drop_from + drop_count + 1
-    numeric = F.concat(
-        F.slice("_f", 1, drop_from),
-        F.slice("_f", F.lit(rest_start), F.size("_f") - rest_start),
-    )
-    return df.select(
-        F.element_at("_f", -1).alias("label"),
-        F.transform(numeric, lambda s: X.strict_double(s)).alias("features"),
-    )
+    df = parse_mixed_categorical(lines, col, sep, tuple(range(drop_from, drop_from + drop_count)), width)
+    return df.select("label", "features")
 
 
 def parse_triples(lines: DataFrame, col: str = "value", sep: str = " ", names=("user", "item", "count"), keep=()) -> DataFrame:
@@ -133,14 +141,13 @@ def parse_aliases(lines: DataFrame, col: str = "value", order_col: str | None =
     return df.groupBy("bad").agg(F.max_by("good", order).alias("good"))
 
 
-def parse_cluster_sample(lines: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
+def parse_cluster_sample(lines: DataFrame, col: str = "value", sep: str = ",", width: int | None = None) -> DataFrame:
     """``cluster,f1,...,fn`` → (cluster int, features array<double>), all features kept."""
-    a = _fields(col, sep)
-    df = lines.select(a.alias("_f"))
-    return df.select(
-        X.strict_int(F.col("_f")[0], "cluster").alias("cluster"),
-        F.transform(F.slice("_f", F.lit(2), F.size("_f") - 1), lambda s: X.strict_double(s)).alias("features"),
-    )
+    width = width or field_count(lines, col, sep)
+    a = _require_width(_fields(col, sep), width, "cluster sample")
+    f = lines.select(a.alias("_f"))
+    extra = {"cluster": X.strict_int(F.col("_f")[0], "cluster")}
+    return X.parse_double_fields(f, "_f", 1, width - 1, "features", extra=extra)
 
 
 def render_cluster_sample(df: DataFrame, cluster_col: str = "cluster", features_col: str = "features") -> DataFrame:
@@ -158,29 +165,24 @@ def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists", compre
     w.text(path)
 
 
-def read_csv_dir(spark: SparkSession, path: str, first_col: str = "cluster") -> DataFrame:
-    """A directory of headerless CSV parts → (first column, remaining columns as array<double>)."""
-    lines = spark.read.text(path)
-    a = F.split(F.col("value"), ",", -1)
-    return lines.select(a.alias("_f")).select(
-        X.strict_int(F.col("_f")[0], first_col).alias(first_col),
-        F.transform(F.slice("_f", F.lit(2), F.size("_f") - 1), lambda s: X.strict_double(s)).alias("features"),
-    )
+def read_csv_dir(spark: SparkSession, path: str, first_col: str = "cluster", width: int | None = None) -> DataFrame:
+    """A directory of headerless CSV parts → (first column as int, remaining columns as array<double>)."""
+    out = parse_cluster_sample(spark.read.text(path), width=width)
+    return out.withColumnRenamed("cluster", first_col) if first_col != "cluster" else out
 
 
-def parse_mixed_categorical(lines: DataFrame, col: str = "value", sep: str = ",", cat_positions=(1, 2, 3)) -> DataFrame:
+def parse_mixed_categorical(lines: DataFrame, col: str = "value", sep: str = ",", cat_positions=(1, 2, 3), width: int | None = None) -> DataFrame:
     """S6 keeping the categorical fields: (line, label, c1..cn, numeric features)."""
-    a = _fields(col, sep)
-    df = lines.select(F.col(col).alias("line"), a.alias("_f"))
-    last = F.size("_f")
-    # Fields other than the categoricals and the label, in order.
-    numeric = F.filter(
-        F.slice("_f", F.lit(1), last - 1),
-        lambda x, i: ~i.isin(*cat_positions),
-    )
-    return df.select(
+    width = width or field_count(lines, col, sep)
+    a = _require_width(_fields(col, sep), width, "mixed record")
+    f = lines.select(F.col(col).alias("line"), a.alias("_f"))
+    cats = [f"c{n + 1}" for n in range(len(cat_positions))]
+    numeric_pos = [i for i in range(width - 1) if i not in set(cat_positions)]
+    # Gather the numeric fields into one array so they parse position by position.
+    g = f.select(
         "line",
-        F.element_at("_f", -1).alias("label"),
-        *[F.col("_f")[p].alias(f"c{n + 1}") for n, p in enumerate(cat_positions)],
-        F.transform(numeric, lambda s: X.strict_double(s)).alias("features"),
+        F.get(F.col("_f"), width - 1).alias("label"),
+        *[F.get(F.col("_f"), p).alias(c) for c, p in zip(cats, cat_positions)],
+        F.array(*[F.get(F.col("_f"), p) for p in numeric_pos]).alias("_n"),
     )
+    return X.parse_double_fields(g, "_n", 0, len(numeric_pos), "features", keep=["line", "label", *cats])
