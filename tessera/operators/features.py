@@ -21,6 +21,7 @@ from tessera.operators.keys import dense_index, lookup_join
 from tessera.operators.stats import column_moments
 
 MAX_WIDTH = 100_000
+MAX_LITERAL_CATEGORIES = 10_000
 
 
 def moments(df: DataFrame, features_col: str, width: int) -> tuple[list[float], list[float]]:
@@ -45,9 +46,31 @@ def category_index(df: DataFrame, col: str, index_col: str = "index") -> DataFra
     return dense_index(df.select(col).distinct(), col, index_col)
 
 
+def small_categories(df: DataFrame, cols: Sequence[str], max_values: int = MAX_LITERAL_CATEGORIES) -> dict[str, list] | None:
+    """Sorted distinct values per column when every column has at most ``max_values`` (checked first).
+
+    One pass estimates the cardinalities (HyperLogLog); only if all are small
+    does a second pass gather the sorted sets, whose size is then bounded.
+    Returns None when any column is too large.
+    """
+    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    if any(est[c] > max_values // 2 for c in cols):
+        return None
+    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
+    out = {c: list(row[c]) for c in cols}
+    if any(len(v) > max_values for v in out.values()):
+        return None
+    return out
+
+
+def index_expr(col: str, values: Sequence) -> Column:
+    """0-based index of ``col`` in a sorted literal list; −1 when absent."""
+    return (F.array_position(F.array(*[F.lit(v) for v in values]), F.col(col)) - 1).cast("int")
+
+
 def one_hot_block(index: Column, n: int) -> Column:
     """An array of ``n`` zeros with 1.0 at ``index``; a missing index fails the job (unseen category)."""
-    return F.when(index.isNull(), X.fail("unseen category")).otherwise(
+    return F.when(index.isNull() | (index < 0), X.fail("unseen category")).otherwise(
         F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i == index, 1.0).otherwise(0.0))
     )
 
@@ -56,27 +79,37 @@ def one_hot(
     df: DataFrame,
     features_col: str,
     cat_cols: Sequence[str],
-    indexes: dict[str, DataFrame] | None = None,
+    indexes: dict | None = None,
     position: int = 1,
-) -> tuple[DataFrame, dict[str, DataFrame]]:
+) -> tuple[DataFrame, dict]:
     """Replace categorical columns by one-hot blocks inserted at ``position`` of the features, in order.
 
-    ``indexes`` (from ``category_index``) can be passed to apply an existing
-    encoding to new data; returns the encoded frame and the indexes used.
+    Small category sets (the usual case) become sorted literal lists and the
+    index is an ``array_position`` lookup inside codegen; a column with too
+    many categories is indexed distributed and attached with a lookup join.
+    ``indexes`` (value lists or index DataFrames) apply an existing encoding to
+    new data; returns the encoded frame and the indexes used.
     """
     indexes = dict(indexes or {})
+    missing = [c for c in cat_cols if c not in indexes]
+    if missing:
+        small = small_categories(df, missing)
+        for c in missing:
+            indexes[c] = small[c] if small is not None else category_index(df, c, "index")
     out = df
     blocks = []
     for c in cat_cols:
-        if c not in indexes:
-            indexes[c] = category_index(df, c, "index")
-        idx = indexes[c].select(F.col(c).alias(f"_k_{c}"), F.col("index").alias(f"_i_{c}"))
+        enc = indexes[c]
+        if isinstance(enc, list):
+            blocks.append(one_hot_block(index_expr(c, enc), len(enc)))
+            continue
+        idx = enc.select(F.col(c).alias(f"_k_{c}"), F.col("index").alias(f"_i_{c}"))
         n = idx.count()
         out = lookup_join(out, idx, out[c] == idx[f"_k_{c}"], "left").drop(f"_k_{c}")
         blocks.append(one_hot_block(F.col(f"_i_{c}").cast("int"), n))
     f = F.col(features_col)
     new = F.concat(F.slice(f, 1, position), *blocks, F.slice(f, F.lit(position + 1), F.size(f) - position))
-    out = out.withColumn(features_col, new).drop(*[f"_i_{c}" for c in cat_cols])
+    out = out.withColumn(features_col, new).drop(*[f"_i_{c}" for c in cat_cols if f"_i_{c}" in out.columns])
     return out, indexes
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
-from tessera.operators import classify, evaluate, sampling, stats
+from tessera.operators import classify, evaluate, features, sampling, stats
 from tessera.plans.views import with_views
+from tessera.session import table
 from tessera.sources import fixtures, text
 
 SEED = 11
@@ -27,20 +28,13 @@ def labeled_cat(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[int, int]
     """Line items with the type and brand one-hot blocks decoded to category indices."""
     lines = fixtures.labeled_cat_lines(spark, sf)
     parsed = text.parse_labeled(lines, keep=["k1", "k2"])
-    n_types = table_distinct(spark, sf, "p_type")
-    n_brands = table_distinct(spark, sf, "p_brand")
+    cats = features.small_categories(table(spark, sf, "part"), ["p_type", "p_brand"])
+    n_types, n_brands = len(cats["p_type"]), len(cats["p_brand"])
     blocks = [(N_NUMERIC, n_types), (N_NUMERIC + n_types, n_brands)]
     dec = classify.decode_one_hot(parsed, "features", N_NUMERIC, blocks)
     return dec, {N_NUMERIC: n_types, N_NUMERIC + 1: n_brands}
 
 
-def table_distinct(spark, sf, col):
-    from tessera.session import table
-
-    # Width of a one-hot block: the number of categories (a small scalar).
-    return table(spark, sf, "part").select(col).distinct().count()
-
-
 def cat_splits(spark, sf):
     df, cats = labeled_cat(spark, sf)
     df = classify.with_vector(df, "features", cats, width=N_NUMERIC + 2)
@@ -170,8 +164,8 @@ pc AS (SELECT label, count(*) / sum(count(*)) OVER () AS prior FROM cv GROUP BY
 """
 
 _DECODE = f"""WITH j AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey),
-t AS (SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS ti FROM (SELECT DISTINCT p_type FROM j)),
-b AS (SELECT p_brand, dense_rank() OVER (ORDER BY p_brand) - 1 AS bi FROM (SELECT DISTINCT p_brand FROM j))
+t AS (SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS ti FROM (SELECT DISTINCT p_type FROM part)),
+b AS (SELECT p_brand, dense_rank() OVER (ORDER BY p_brand) - 1 AS bi FROM (SELECT DISTINCT p_brand FROM part))
 SELECT l_orderkey AS k1, CAST(l_linenumber AS BIGINT) AS k2, {_RF} AS label,
   round(l_quantity, 6) AS f0, round(l_extendedprice, 6) AS f1, round(l_discount, 6) AS f2, round(l_tax, 6) AS f3,
   round(CAST(p_size AS DOUBLE), 6) AS f4, round(p_retailprice, 6) AS f5, CAST(ti AS DOUBLE) AS f6, CAST(bi AS DOUBLE) AS f7

@@ -8,7 +8,6 @@ in ``tessera.sources.text``.  The SQL twins used by the oracle live in
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,22 +136,22 @@ def scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     return l.select(_returnflag_index().alias("label"), pred.alias("prediction"))
 
 
-def category_codes(df: DataFrame, col: str, out: str) -> tuple[DataFrame, list[str]]:
-    """E3 for fixtures: alphabetical category index via a fitted StringIndexer."""
-    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc").fit(df)
-    return model.transform(df), list(model.labels)
+def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as numeric CSV with one-hot blocks: 6 numerics, type (6), brand (25), then the 1-based class.
 
+    Category sets come from the part dimension (small, size-checked) and are
+    applied as literal lists, so the fact table is read once.
+    """
+    from tessera.operators.features import index_expr, one_hot_block, small_categories
 
-def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as numeric CSV with one-hot blocks: 6 numerics, type (6), brand (25), then the 1-based class."""
     l = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"
     )
     p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_type", "p_brand")
+    cats = small_categories(p, ["p_type", "p_brand"])
+    if cats is None:
+        raise ValueError("too many part types or brands for a one-hot fixture")
     j = l.join(p, F.col("l_partkey") == F.col("p_partkey"))
-    j, types = category_codes(j, "p_type", "_type")
-    j, brands = category_codes(j, "p_brand", "_brand")
-    one_hot = lambda idx, n: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i == idx, 1.0).otherwise(0.0))
     vals = F.concat(
         F.array(
             F.col("l_quantity"),
@@ -162,8 +161,8 @@ def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
             F.col("p_size").cast("double"),
             F.col("p_retailprice"),
         ),
-        one_hot(F.col("_type").cast("int"), len(types)),
-        one_hot(F.col("_brand").cast("int"), len(brands)),
+        one_hot_block(index_expr("p_type", cats["p_type"]), len(cats["p_type"])),
+        one_hot_block(index_expr("p_brand", cats["p_brand"]), len(cats["p_brand"])),
         F.array(_returnflag_index() + 1.0),
     )
     return j.select(
