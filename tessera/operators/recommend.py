@@ -50,10 +50,20 @@ def popularity_predictor(train: DataFrame, item_col: str = "item"):
     return predict
 
 
-def top_n_by(df: DataFrame, group: Sequence[str], score_col: str, n: int, tie: Sequence[str]) -> DataFrame:
-    """T4 (generic): first ``n`` rows per group by descending score, ties by ``tie`` ascending."""
-    w = Window.partitionBy(*group).orderBy(F.col(score_col).desc(), *[F.col(t) for t in tie])
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+def top_n_by(df: DataFrame, group: Sequence[str], score_col: str, n: int, tie: Sequence[str], salts: int = 64) -> DataFrame:
+    """T4 (generic): first ``n`` rows per group by descending score, ties by ``tie`` ascending.
+
+    Two stages: the top ``n`` of each (group, salt) slice first, so a hot group
+    is ranked by ``salts`` tasks, then the top ``n`` of at most ``salts·n``
+    survivors per group.  The result is exact: a row in a group's top n is in
+    its slice's top n.
+    """
+    order = [F.col(score_col).desc(), *[F.col(t) for t in tie]]
+    salt = F.pmod(F.xxhash64(*[F.col(t) for t in tie]), F.lit(salts))
+    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
+    first = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return first.drop("_salt", "_r").withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
 
 
 def fit_als(

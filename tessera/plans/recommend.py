@@ -139,6 +139,11 @@ def q_top_n_popular(spark, sf):
     return pop.orderBy(F.col("popularity").desc(), "item").limit(TOP_N)
 
 
+def q_user_top_items(spark, sf):
+    r = all_ratings(spark, sf).groupBy("user", "item").agg(F.sum("rating").alias("total"))
+    return recommend.top_n_by(r, ["user"], "total", 3, ["item"]).select("user", "item", "total", "rank")
+
+
 def q_negative_samples(spark, sf):
     return negatives(spark, sf)
 
@@ -277,6 +282,10 @@ UNION ALL SELECT 'cv', count(*), count(DISTINCT "user"), sum(rating) FROM cv""",
     + _SPLIT
     + 'SELECT c."user", c.item, coalesce(p.popularity, 0.0) AS score FROM cv c LEFT JOIN pop p ON c.item = p.item',
     "top_n_popular": _BASE + _SPLIT + f"SELECT item, popularity FROM pop ORDER BY popularity DESC, item LIMIT {TOP_N}",
+    "user_top_items": _BASE
+    + """SELECT "user", item, total, rank FROM (
+  SELECT "user", item, total, row_number() OVER (PARTITION BY "user" ORDER BY total DESC, item) AS rank
+  FROM (SELECT "user", item, sum(rating) AS total FROM canonical GROUP BY "user", item)) WHERE rank <= 3""",
     "negative_samples": _BASE + _SPLIT + _NEG + 'SELECT "user", item, j FROM neg',
     "user_auc": _BASE
     + _SPLIT
@@ -306,6 +315,7 @@ QUERIES = {
     "popularity": q_popularity,
     "popularity_predict": q_popularity_predict,
     "top_n_popular": q_top_n_popular,
+    "user_top_items": q_user_top_items,
     "negative_samples": q_negative_samples,
     "user_auc": q_user_auc,
     "mean_auc": q_mean_auc,

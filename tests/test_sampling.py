@@ -60,3 +60,29 @@ def test_random_forms_seeded(spark):
     assert sampling.bernoulli_sample(df, 0.1, 5).collect() == sampling.bernoulli_sample(df, 0.1, 5).collect()
     parts = sampling.random_split(df, [0.8, 0.2], 5)
     assert parts[0].count() + parts[1].count() == 1000
+
+
+def test_running_sum_before_splits_hot_key(spark):
+    from pyspark.sql import Window
+
+    from tessera.operators.keys import running_sum_before
+
+    rows = [(0, i, i % 3) for i in range(300)] + [(k, i, 1) for k in range(1, 6) for i in range(5)]
+    df = spark.createDataFrame(rows, "key int, o int, v int")
+    got = {(r.key, r.o): r.before for r in running_sum_before(df, "key", "o", "v", partitions=7).collect()}
+    w = Window.partitionBy("key").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    want = {(r.key, r.o): r.b for r in df.withColumn("b", F.coalesce(F.sum("v").over(w), F.lit(0))).collect()}
+    assert got == want
+
+
+def test_top_n_by_salted_is_exact(spark):
+    from pyspark.sql import Window
+
+    from tessera.operators.recommend import top_n_by
+
+    rows = [(0, i, float(i % 17)) for i in range(400)] + [(1, i, 1.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "user int, item int, score double")
+    got = sorted((r.user, r.item, r.rank) for r in top_n_by(df, ["user"], "score", 5, ["item"], salts=8).collect())
+    w = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
+    want = sorted((r.user, r.item, r.rank) for r in df.withColumn("rank", F.row_number().over(w)).filter("rank <= 5").collect())
+    assert got == want
