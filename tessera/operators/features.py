@@ -134,25 +134,39 @@ def random_projection(df: DataFrame, features_col: str, matrix: Sequence[Sequenc
     return df.select("*", *cols)
 
 
+def token_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = "[a-z]+") -> DataFrame:
+    """(doc, tokens): every ``pattern`` match of the lower-cased whole text, one array per document."""
+    return docs.select(id_col, F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0).alias("tokens"))
+
+
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = "[a-z]+") -> DataFrame:
     """(doc, term) for every ``pattern`` match of the lower-cased whole text."""
-    return docs.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0)).alias("term"))
+    return token_arrays(docs, id_col, text_col, pattern).select(id_col, F.explode("tokens").alias("term"))
 
 
-def tfidf(terms: DataFrame, id_col: str = "doc_id", total_docs: Column | int | None = None) -> DataFrame:
+def tfidf(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    total_docs: Column | int | None = None,
+    pattern: str = "[a-z]+",
+) -> DataFrame:
     """``(count in doc / terms in doc) · ln(docs / docs containing term)`` per (doc, term).
 
-    ``total_docs`` defaults to the number of documents with at least one term.
+    Terms in a document are the size of its token array (no aggregate or join);
+    document frequency counts each document's distinct terms, so map-side
+    partial aggregation leaves one (term, count) row per task and term to
+    shuffle.  ``total_docs`` defaults to the number of documents.
     """
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    per_doc = tf.groupBy(id_col).agg(F.sum("tf").alias("doc_terms"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if total_docs is None:
-        n_docs = per_doc.count()
-    else:
-        n_docs = total_docs
-    j = tf.join(per_doc, id_col)
-    j = lookup_join(j, df, "term", "inner")
+    toks = token_arrays(docs, id_col, text_col, pattern)
+    tf = (
+        toks.select(id_col, F.size("tokens").alias("doc_terms"), F.explode("tokens").alias("term"))
+        .groupBy(id_col, "term", "doc_terms")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    df = toks.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = docs.count() if total_docs is None else total_docs
+    j = lookup_join(tf, df, "term", "inner")
     return j.select(id_col, "term", "tf", "doc_terms", "df", X.tfidf_weight("tf", "doc_terms", "df", F.lit(n_docs)).alias("weight"))
 
 

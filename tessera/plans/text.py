@@ -16,8 +16,7 @@ TOP_TERMS = 10
 
 def weights(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    n_docs = docs.count()
-    return features.tfidf(features.tokenize(docs), total_docs=n_docs)
+    return features.tfidf(docs)
 
 
 def q_tfidf(spark, sf):

@@ -50,8 +50,8 @@ def test_projection_rows_unit_length(spark):
 
 def test_tfidf_small_corpus(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "b c")], "doc_id long, text string")
-    w = {(r.doc_id, r.term): r.weight for r in features.tfidf(features.tokenize(docs), total_docs=2).collect()}
+    w = {(r.doc_id, r.term): r.weight for r in features.tfidf(docs).collect()}
     assert math.isclose(w[(1, "a")], (2 / 3) * math.log(2))
     assert w[(1, "b")] == 0.0 and math.isclose(w[(2, "c")], 0.5 * math.log(2))
-    top = features.top_terms(features.tfidf(features.tokenize(docs), total_docs=2), n=1).collect()
+    top = features.top_terms(features.tfidf(docs, total_docs=2), n=1).collect()
     assert {(r.doc_id, r.term) for r in top} == {(1, "a"), (2, "c")}
