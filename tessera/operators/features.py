@@ -70,9 +70,8 @@ def index_expr(col: str, values: Sequence) -> Column:
 
 def one_hot_block(index: Column, n: int) -> Column:
     """An array of ``n`` zeros with 1.0 at ``index``; a missing index fails the job (unseen category)."""
-    return F.when(index.isNull() | (index < 0), X.fail("unseen category")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i == index, 1.0).otherwise(0.0))
-    )
+    block = F.array_insert(F.array_repeat(F.lit(0.0), n - 1), index + 1, F.lit(1.0))
+    return F.when(index.isNull() | (index < 0), X.fail("unseen category")).otherwise(block)
 
 
 def one_hot(

@@ -176,7 +176,10 @@ def q_random_split(spark, sf):
 
 
 def _normalized_encoded(spark, sf):
-    enc = encoded(spark, sf)
+    # Parsed once and kept (as the reference caches its parsed records): the
+    # category sets, the moments and the fit each read it again.
+    m = mixed(spark, sf).persist()
+    enc, _ = features.one_hot(m, "features", CATS)
     width = N_MIXED + sum(CAT_SIZES)
     means, sds = features.moments(enc, "features", width)
     return features.zscore(enc, "features", means, sds)

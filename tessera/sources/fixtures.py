@@ -63,7 +63,7 @@ def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def render_pairs(rows: DataFrame) -> DataFrame:
     """Scored pairs as CSV lines with ``?`` for missing."""
-    text = F.array_join(F.transform("scores", lambda x: F.coalesce(x.cast("string"), F.lit("?"))), ",")
+    text = F.array_join(F.col("scores").cast("array<string>"), ",", "?")
     return rows.select(
         F.concat_ws(",", F.col("id1").cast("string"), F.col("id2").cast("string"), text, F.col("matched").cast("string")).alias("value")
     )
@@ -125,7 +125,7 @@ def alias_lines(spark: SparkSession, sf: str) -> DataFrame:
 def labeled_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings as numeric CSV: 64 features then the 1-based class."""
     e = table(spark, sf, "embeddings")
-    feats = F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ",")
+    feats = F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), ",")
     return e.select(F.concat_ws(",", feats, (F.col("label") + 1).cast("double").cast("string")).alias("value"), "vec_id")
 
 
@@ -166,7 +166,7 @@ def labeled_cat_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.array(_returnflag_index() + 1.0),
     )
     return j.select(
-        F.array_join(F.transform(vals, lambda x: x.cast("string")), ",").alias("value"),
+        F.array_join(vals.cast("array<string>"), ",").alias("value"),
         F.col("l_orderkey").alias("k1"),
         F.col("l_linenumber").cast("long").alias("k2"),
     )
@@ -200,7 +200,7 @@ def mixed_lines(spark: SparkSession, sf: str) -> DataFrame:
 def embedding_rows(spark: SparkSession, sf: str) -> DataFrame:
     """(vec_id, label, features array<double>)."""
     e = table(spark, sf, "embeddings")
-    return e.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+    return e.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
 
 
 def label_centers(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,3 +40,17 @@ def test_kmeans_clusters_in_range_and_label_lines(spark):
     assert all(len(r.line) >= 27 for r in lines)
     sweep = cluster.k_sweep(df, [2, 3], seed=1).collect()
     assert sweep[1].mean_distance < sweep[0].mean_distance
+
+
+def test_distances_match_python(spark):
+    import random
+
+    rnd = random.Random(3)
+    centers = [[rnd.random() for _ in range(4)] for _ in range(6)]
+    pts = [(i, [rnd.random() for _ in range(4)]) for i in range(200)]
+    df = spark.createDataFrame(pts, "id int, features array<double>")
+    got = {r.id: (r.cluster, r.distance) for r in cluster.distance_to_center(df, centers).collect()}
+    for i, p in pts:
+        d = [math.dist(p, c) for c in centers]
+        k = d.index(min(d))
+        assert got[i][0] == k and math.isclose(got[i][1], d[k], rel_tol=1e-12)
