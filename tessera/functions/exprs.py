@@ -65,28 +65,6 @@ def strict_double(c) -> Column:
     return F.when(v.isNotNull(), v).otherwise(fail("malformed double"))
 
 
-def parse_double_fields(df, arr_col: str, start: int, width: int, out: str, keep=(), marker: str | None = None, extra: dict | None = None):
-    """Parse ``width`` string fields from position ``start`` (0-based) of ``arr_col`` into array<double> ``out``.
-
-    One scalar ``try_cast`` per position (whole-stage codegen; no per-element
-    lambdas).  ``marker`` and NaN become NULL; any other unparseable field
-    fails the job.  ``extra`` (name → column) are computed in the first
-    projection and kept after ``keep``.
-    """
-    extra = extra or {}
-    f = F.col(arr_col)
-    casts = [F.get(f, start + i).try_cast("double").alias(f"_d{i}") for i in range(width)]
-    raws = [F.get(f, start + i).alias(f"_r{i}") for i in range(width)] if marker is not None else []
-    step = df.select(*keep, *[c.alias(n) for n, c in extra.items()], *casts, *raws)
-    bad = F.lit(False)
-    for i in range(width):
-        d = F.col(f"_d{i}")
-        miss = d.isNull() if marker is None else d.isNull() & (F.col(f"_r{i}") != F.lit(marker))
-        bad = bad | miss
-    arr = F.array(*[nan_to_null(F.col(f"_d{i}")) for i in range(width)])
-    return step.select(*keep, *extra.keys(), F.when(bad, fail("malformed double")).otherwise(arr).alias(out))
-
-
 def missing_double(c, marker: str = MISSING_MARKER) -> Column:
     """Double parse where ``marker`` (and NaN) means missing → NULL; anything else bad fails."""
     c = _col(c)

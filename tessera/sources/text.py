@@ -40,21 +40,34 @@ def _require_width(a, width: int, what: str):
     return F.when(F.size(a) == width, a).otherwise(X.fail(f"{what}: expected {width} fields"))
 
 
+def _csv(lines: DataFrame, col: str, fields: list[tuple[str, str]], sep: str, null_value: str | None = None) -> DataFrame:
+    """Parse each line with Spark's CSV reader into typed fields (``_r.<name>``).
+
+    FAILFAST: a value that does not parse as its type, or a line with the wrong
+    number of fields, fails the job.  Ints, doubles and booleans parse with the
+    JVM's own rules; quoting is off so a line splits exactly at ``sep``.
+    """
+    ddl = ", ".join(f"`{n}` {t}" for n, t in fields)
+    opts = {"mode": "FAILFAST", "sep": sep, "quote": "", "escape": ""}
+    if null_value is not None:
+        opts["nullValue"] = null_value
+    return F.from_csv(F.col(col), ddl, opts)
+
+
 def parse_scored_pairs(lines: DataFrame, col: str = "value", n_scores: int = 9) -> DataFrame:
     """S3: ``id1,id2,s1..s9,matched`` → (id1 int, id2 int, scores array<double>, matched boolean).
 
     ``?`` (and NaN) become NULL; a malformed line fails the job.
     """
-    width = n_scores + 3
-    a = _require_width(_fields(col, ","), width, "scored pair")
-    f = lines.select(a.alias("_f"))
-    extra = {
-        "id1": X.strict_int(F.col("_f")[0], "id1"),
-        "id2": X.strict_int(F.col("_f")[1], "id2"),
-        "matched": X.strict_boolean(F.col("_f")[width - 1]),
-    }
-    out = X.parse_double_fields(f, "_f", 2, n_scores, "scores", marker=X.MISSING_MARKER, extra=extra)
-    return out.select("id1", "id2", "scores", "matched")
+    fields = [("id1", "int"), ("id2", "int")] + [(f"s{i}", "double") for i in range(n_scores)] + [("matched", "boolean")]
+    r = lines.select(_csv(lines, col, fields, ",", X.MISSING_MARKER).alias("_r"))
+    ids_ok = F.col("_r.id1").isNotNull() & F.col("_r.id2").isNotNull() & F.col("_r.matched").isNotNull()
+    return r.select(
+        F.when(ids_ok, F.col("_r.id1")).otherwise(X.fail("malformed scored pair")).alias("id1"),
+        F.col("_r.id2").alias("id2"),
+        F.array(*[X.nan_to_null(F.col(f"_r.s{i}")) for i in range(n_scores)]).alias("scores"),
+        F.col("_r.matched").alias("matched"),
+    )
 
 
 def field_count(lines: DataFrame, col: str = "value", sep: str = ",") -> int:
@@ -71,17 +84,18 @@ def parse_labeled(
     """All numbers but the last are features (or only the first ``n_features``); label = last − 1.
 
     ``width`` is the number of fields per line (read off the first line when
-    not given); every line must have it.
+    not given); every field of every line is parsed, so a bad value anywhere
+    fails the job as in the reference.
     """
     width = width or field_count(lines, col, sep)
-    a = _require_width(_fields(col, sep), width, "labelled record")
-    f = lines.select(*keep, a.alias("_f"))
-    label = X.strict_double(F.get(F.col("_f"), width - 1)) - 1.0
-    # Every field is parsed (and validated), as the reference parses the whole line.
-    out = X.parse_double_fields(f, "_f", 0, width - 1, "features", keep=keep, extra={"label": label})
-    if n_features is not None and n_features < width - 1:
-        out = out.withColumn("features", F.slice("features", 1, n_features))
-    return out
+    fields = [(f"f{i}", "double") for i in range(width)]
+    r = lines.select(*keep, _csv(lines, col, fields, sep).alias("_r"))
+    n = width - 1 if n_features is None else min(n_features, width - 1)
+    return r.select(
+        *keep,
+        (F.col(f"_r.f{width - 1}") - 1.0).alias("label"),
+        F.array(*[X.nan_to_null(F.col(f"_r.f{i}")) for i in range(n)]).alias("features"),
+    )
 
 
 def parse_mixed(lines: DataFrame, col: str = "value", sep: str = ",", drop_from: int = 1, drop_count: int = 3, width: int | None = None) -> DataFrame:
@@ -144,10 +158,12 @@ def parse_aliases(lines: DataFrame, col: str = "value", order_col: str | None =
 def parse_cluster_sample(lines: DataFrame, col: str = "value", sep: str = ",", width: int | None = None) -> DataFrame:
     """``cluster,f1,...,fn`` → (cluster int, features array<double>), all features kept."""
     width = width or field_count(lines, col, sep)
-    a = _require_width(_fields(col, sep), width, "cluster sample")
-    f = lines.select(a.alias("_f"))
-    extra = {"cluster": X.strict_int(F.col("_f")[0], "cluster")}
-    return X.parse_double_fields(f, "_f", 1, width - 1, "features", extra=extra)
+    fields = [("cluster", "int")] + [(f"f{i}", "double") for i in range(1, width)]
+    r = lines.select(_csv(lines, col, fields, sep).alias("_r"))
+    return r.select(
+        F.col("_r.cluster").alias("cluster"),
+        F.array(*[X.nan_to_null(F.col(f"_r.f{i}")) for i in range(1, width)]).alias("features"),
+    )
 
 
 def render_cluster_sample(df: DataFrame, cluster_col: str = "cluster", features_col: str = "features") -> DataFrame:
@@ -174,15 +190,16 @@ def read_csv_dir(spark: SparkSession, path: str, first_col: str = "cluster", wid
 def parse_mixed_categorical(lines: DataFrame, col: str = "value", sep: str = ",", cat_positions=(1, 2, 3), width: int | None = None) -> DataFrame:
     """S6 keeping the categorical fields: (line, label, c1..cn, numeric features)."""
     width = width or field_count(lines, col, sep)
-    a = _require_width(_fields(col, sep), width, "mixed record")
-    f = lines.select(F.col(col).alias("line"), a.alias("_f"))
-    cats = [f"c{n + 1}" for n in range(len(cat_positions))]
-    numeric_pos = [i for i in range(width - 1) if i not in set(cat_positions)]
-    # Gather the numeric fields into one array so they parse position by position.
-    g = f.select(
+    cats = {p: f"c{n + 1}" for n, p in enumerate(cat_positions)}
+    fields = []
+    for i in range(width - 1):
+        fields.append((cats[i], "string") if i in cats else (f"f{i}", "double"))
+    fields.append(("label", "string"))
+    r = lines.select(F.col(col).alias("line"), _csv(lines, col, fields, sep).alias("_r"))
+    numeric = [i for i in range(width - 1) if i not in cats]
+    return r.select(
         "line",
-        F.get(F.col("_f"), width - 1).alias("label"),
-        *[F.get(F.col("_f"), p).alias(c) for c, p in zip(cats, cat_positions)],
-        F.array(*[F.get(F.col("_f"), p) for p in numeric_pos]).alias("_n"),
+        F.col("_r.label").alias("label"),
+        *[F.col(f"_r.{c}").alias(c) for c in cats.values()],
+        F.array(*[X.nan_to_null(F.col(f"_r.f{i}")) for i in numeric]).alias("features"),
     )
-    return X.parse_double_fields(g, "_n", 0, len(numeric_pos), "features", keep=["line", "label", *cats])
