@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -55,6 +57,7 @@ def dense_index(df: DataFrame, key: str | Sequence[str], index_col: str = "idx",
     nothing upstream.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    ensure_checkpoint_dir(df.sparkSession)
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ordered.select(
@@ -88,6 +91,7 @@ def running_sum_before(
     """
     from pyspark.sql import Window
 
+    ensure_checkpoint_dir(df.sparkSession)
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     tagged = (
         df.repartitionByRange(n, key, order)

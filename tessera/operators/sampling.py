@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.keys import dense_index
+from tessera.session import ensure_checkpoint_dir
 
 MODULUS = 1000
 # Multipliers of the arithmetic draw and split hashes (primes).
@@ -117,6 +118,7 @@ def negative_samples(
     doubles each round) until they have ``n`` or have spent ``n_items`` draws,
     so the result equals an uncapped draw sequence.  Output: (user, item, j).
     """
+    ensure_checkpoint_dir(positives.sparkSession)
     pos = positives.select(F.col(user_col).alias("user"), F.col(item_col).alias("item")).distinct()
     need = pos.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
     indexed = dense_index(items.select(F.col(item_col).alias("item")).distinct(), "item", "idx")
