@@ -59,6 +59,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame over the session's parallelism when it has fewer partitions.
+
+    A source with fewer splits than cores (one small file, one row group)
+    would run every stage up to the first shuffle in a handful of tasks.  Large
+    inputs already have more splits than cores and pass through untouched, so
+    this costs nothing at scale.  Filters and column pruning still reach the scan.
+    """
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            return df.repartition(want)
+    except Exception:  # noqa: BLE001 - partition counts are unavailable over Spark Connect
+        pass
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One of the given parquet tables (spread over the cores when it has fewer splits)."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
