@@ -3,8 +3,9 @@
 Ratings are canonicalised through an alias table with a lookup join (broadcast
 only under a checked size).  The popularity baseline is a partial/final sum
 per item joined back to the scored pairs.  ALS is ``pyspark.ml``'s blocked
-implementation; its input is repartitioned by user on a fixed partition count
-so a seeded fit is reproducible, and its long lineage is checkpointed.
+implementation; its input is range-partitioned on (user, item) over a fixed
+partition count so a seeded fit is reproducible, and its long lineage is
+checkpointed.
 """
 
 from __future__ import annotations
@@ -78,7 +79,9 @@ def fit_als(
 ) -> ALSModel:
     """L1: implicit ALS (``trainImplicit(ratings, rank, iterations, lambda, alpha)``)."""
     n = partitions or ratings.sparkSession.sparkContext.defaultParallelism
-    data = ratings.select("user", "item", "rating").repartition(n, "user").sortWithinPartitions("user", "item")
+    # Range partitions on (user, item): content-determined (a seeded fit repeats) and a
+    # user with a large share of the ratings spans several partitions.
+    data = ratings.select("user", "item", "rating").repartitionByRange(n, "user", "item").sortWithinPartitions("user", "item")
     als = ALS(
         rank=rank,
         maxIter=max_iter,
