@@ -22,7 +22,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (None when not available, e.g. over Spark Connect)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        # py4j hands back either a Python int or a JVM BigInt; str() covers both.
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
 

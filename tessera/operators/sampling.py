@@ -128,12 +128,14 @@ def negative_samples(
 
     cap = F.least(F.lit(n_items).cast("long"), first_draws(F.col("n")).cast("long"))
     todo = need.select("user", "n", F.lit(0).cast("long").alias("lo"), cap.alias("hi"))
-    found = None
+    parts: list[DataFrame] = []
     while True:
         cand = _draws(todo, n_items, seed, chunk).join(indexed, "idx").select("user", "c", "j", "item")
-        neg = cand.join(pos, ["user", "item"], "left_anti")
-        found = neg if found is None else found.unionByName(neg)
-        found = found.checkpoint(eager=True)
+        # Each round's draws are written once; earlier rounds are not rewritten.
+        parts.append(cand.join(pos, ["user", "item"], "left_anti").checkpoint(eager=True))
+        found = parts[0]
+        for p in parts[1:]:
+            found = found.unionByName(p)
         got = found.groupBy("user").agg(F.count(F.lit(1)).alias("got"))
         short = (
             todo.join(got, "user", "left")

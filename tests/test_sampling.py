@@ -86,3 +86,24 @@ def test_top_n_by_salted_is_exact(spark):
     w = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
     want = sorted((r.user, r.item, r.rank) for r in df.withColumn("rank", F.row_number().over(w)).filter("rank <= 5").collect())
     assert got == want
+
+
+def test_spread_only_when_fewer_splits_than_cores(spark):
+    from tessera.session import spread
+
+    want = spark.sparkContext.defaultParallelism
+    small = spark.range(0, 100, numPartitions=1)
+    assert spread(small).rdd.getNumPartitions() == want
+    big = spark.range(0, 100, numPartitions=want + 3)
+    assert spread(big).rdd.getNumPartitions() == want + 3
+
+
+def test_lookup_join_broadcasts_only_small_sides(spark):
+    from tessera.operators.keys import is_small, lookup_join
+
+    left = spark.range(0, 1000).withColumnRenamed("id", "k")
+    right = spark.range(0, 10).withColumnRenamed("id", "k")
+    assert is_small(right) and not is_small(right, max_bytes=1)
+    plan = lookup_join(left, right, "k", "inner")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+    assert lookup_join(left, right, "k", "inner").count() == 10
