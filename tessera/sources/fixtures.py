@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import table
 
-# The header line of a scored-pair file (its first token is the header marker).
-PAIR_HEADER = "id_1,id_2,cmp_fname_c1,cmp_fname_c2,cmp_lname_c1,cmp_lname_c2,cmp_sex,cmp_bd,cmp_bm,cmp_by,cmp_plz,is_match"
+# The header line of a scored-pair file; only its first token, the header marker, matters.
+PAIR_HEADER = "id_1,id_2," + ",".join(f"score_{i}" for i in range(1, 10)) + ",is_match"
 
 # Positions of the derived fixtures (fixture design, not reference values).
 NO_TAB_EVERY = 97
