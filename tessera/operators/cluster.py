@@ -127,6 +127,19 @@ def first_anomalies(found: DataFrame, n: int = 10, dist_col: str = "distance", a
     return found.orderBy(order, *tie).limit(n)
 
 
+def _fit_vectors(vec: DataFrame, k: int, tol: float, max_iter: int, seed: int, runs: int) -> KMeansModel:
+    best = None
+    for r in range(runs):
+        m = KMeans(k=k, tol=tol, maxIter=max_iter, seed=seed + r, featuresCol="features").fit(vec)
+        if best is None or m.summary.trainingCost < best.summary.trainingCost:
+            best = m
+    return best
+
+
+def _vectors(data: DataFrame, features_col: str) -> DataFrame:
+    return data.select(array_to_vector(F.col(features_col)).alias("features"))
+
+
 def fit_kmeans(
     data: DataFrame,
     k: int = 2,
@@ -137,41 +150,57 @@ def fit_kmeans(
     features_col: str = "features",
 ) -> KMeansModel:
     """K-means; ``runs`` > 1 keeps the lowest-cost model of that many seeds."""
-    vec = data.select(array_to_vector(F.col(features_col)).alias("features")).persist()
+    vec = _vectors(data, features_col).persist()
     try:
-        best = None
-        for r in range(runs):
-            m = KMeans(k=k, tol=tol, maxIter=max_iter, seed=seed + r, featuresCol="features").fit(vec)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
-        return best
+        return _fit_vectors(vec, k, tol, max_iter, seed, runs)
     finally:
         vec.unpersist()
 
 
-def k_sweep(data: DataFrame, ks: Sequence[int], tol: float = 1e-6, seed: int = 0, features_col: str = "features") -> DataFrame:
-    """(k, mean distance to nearest centre) for each k, over one persisted input."""
-    data = data.select(features_col).persist()
-    rows = []
+def _sweep(data: DataFrame, ks: Sequence[int], tol: float, seed: int, features_col: str, score, parallel: int) -> list:
+    """Fit each k on one persisted input and score it; up to ``parallel`` fits run as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    data = data.persist()
+    vec = _vectors(data, features_col).persist()
+
+    def one(k):
+        centers = centers_from_model(_fit_vectors(vec, k, tol, 20, seed, 1))
+        return int(k), float(score(data, centers))
+
     try:
-        for k in ks:
-            centers = centers_from_model(fit_kmeans(data, k, tol, seed=seed, features_col=features_col))
-            md = mean_distance(data, centers, features_col).first()[0]
-            rows.append((int(k), float(md)))
+        if parallel > 1:
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                return list(pool.map(one, ks))
+        return [one(k) for k in ks]
     finally:
+        vec.unpersist()
         data.unpersist()
+
+
+def k_sweep(
+    data: DataFrame, ks: Sequence[int], tol: float = 1e-6, seed: int = 0, features_col: str = "features", parallel: int = 1
+) -> DataFrame:
+    """(k, mean distance to nearest centre) for each k.
+
+    ``parallel`` > 1 submits that many fits at once from driver threads (the
+    scheduler interleaves their tasks), as the reference's parallel sweeps do.
+    """
+    score = lambda d, c: mean_distance(d.select(features_col), c, features_col).first()[0]
+    rows = _sweep(data.select(features_col), ks, tol, seed, features_col, score, parallel)
     return data.sparkSession.createDataFrame(rows, "k int, mean_distance double")
 
 
-def k_sweep_entropy(data: DataFrame, ks: Sequence[int], tol: float = 1e-6, seed: int = 0, features_col: str = "features", label_col: str = "label") -> DataFrame:
+def k_sweep_entropy(
+    data: DataFrame,
+    ks: Sequence[int],
+    tol: float = 1e-6,
+    seed: int = 0,
+    features_col: str = "features",
+    label_col: str = "label",
+    parallel: int = 1,
+) -> DataFrame:
     """(k, size-weighted mean label entropy of the clusters) for each k."""
-    data = data.select(features_col, label_col).persist()
-    rows = []
-    try:
-        for k in ks:
-            centers = centers_from_model(fit_kmeans(data, k, tol, seed=seed, features_col=features_col))
-            h = cluster_entropy(assign(data, centers, features_col), "cluster", label_col).first()[0]
-            rows.append((int(k), float(h)))
-    finally:
-        data.unpersist()
+    score = lambda d, c: cluster_entropy(assign(d, c, features_col), "cluster", label_col).first()[0]
+    rows = _sweep(data.select(features_col, label_col), ks, tol, seed, features_col, score, parallel)
     return data.sparkSession.createDataFrame(rows, "k int, weighted_entropy double")

@@ -210,7 +210,7 @@ def q_k_sweep(spark, sf):
 
 
 def q_k_sweep_entropy(spark, sf):
-    return cluster.k_sweep_entropy(_normalized_encoded(spark, sf), [5, 10, 15], seed=SEED)
+    return cluster.k_sweep_entropy(_normalized_encoded(spark, sf), [5, 10, 15], seed=SEED, parallel=3)
 
 
 def q_anomaly_pipeline(spark, sf):

@@ -40,6 +40,10 @@ def test_kmeans_clusters_in_range_and_label_lines(spark):
     assert all(len(r.line) >= 27 for r in lines)
     sweep = cluster.k_sweep(df, [2, 3], seed=1).collect()
     assert sweep[1].mean_distance < sweep[0].mean_distance
+    par = cluster.k_sweep(df, [2, 3], seed=1, parallel=2).collect()
+    assert [(r.k, round(r.mean_distance, 9)) for r in par] == [(r.k, round(r.mean_distance, 9)) for r in sweep]
+    ent = cluster.k_sweep_entropy(df, [2, 3], seed=1, parallel=2).collect()
+    assert [r.k for r in ent] == [2, 3] and all(r.weighted_entropy >= 0 for r in ent)
 
 
 def test_distances_match_python(spark):
