@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
+from tessera.operators.jobs import map_jobs
 
 
 def decode_one_hot(df: DataFrame, features_col: str, keep: int, blocks: Sequence[tuple[int, int]], out_col: str = "features") -> DataFrame:
@@ -90,15 +91,22 @@ def grid(
     impurities: Sequence[str] = ("gini", "entropy"),
     depths: Sequence[int] = (1, 20),
     bins: Sequence[int] = (10, 300),
+    parallel: int = 1,
 ) -> DataFrame:
-    """Train and cv accuracy of every (impurity, depth, bins), best cv (then train) first."""
+    """Train and cv accuracy of every (impurity, depth, bins), best cv (then train) first.
+
+    ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs).
+    """
     train = train.persist()
     cv = cv.persist()
-    rows = []
+
+    def one(params):
+        imp, d, b = params
+        m = fit(train, impurity=imp, depth=d, bins=b)
+        return (imp, int(d), int(b), float(_acc(m, train)), float(_acc(m, cv)))
+
     try:
-        for imp, d, b in product(impurities, depths, bins):
-            m = fit(train, impurity=imp, depth=d, bins=b)
-            rows.append((imp, int(d), int(b), float(_acc(m, train)), float(_acc(m, cv))))
+        rows = map_jobs(one, product(impurities, depths, bins), parallel)
     finally:
         train.unpersist()
         cv.unpersist()

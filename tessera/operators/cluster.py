@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
+from tessera.operators.jobs import map_jobs
 from tessera.operators.stats import cluster_entropy, count_by
 
 MAX_CENTER_VALUES = 5_000_000
@@ -159,8 +160,6 @@ def fit_kmeans(
 
 def _sweep(data: DataFrame, ks: Sequence[int], tol: float, seed: int, features_col: str, score, parallel: int) -> list:
     """Fit each k on one persisted input and score it; up to ``parallel`` fits run as concurrent jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-
     data = data.persist()
     vec = _vectors(data, features_col).persist()
 
@@ -169,10 +168,7 @@ def _sweep(data: DataFrame, ks: Sequence[int], tol: float, seed: int, features_c
         return int(k), float(score(data, centers))
 
     try:
-        if parallel > 1:
-            with ThreadPoolExecutor(max_workers=parallel) as pool:
-                return list(pool.map(one, ks))
-        return [one(k) for k in ks]
+        return map_jobs(one, ks, parallel)
     finally:
         vec.unpersist()
         data.unpersist()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.evaluate import mean_auc
+from tessera.operators.jobs import map_jobs
 from tessera.operators.keys import lookup_join
 
 
@@ -136,18 +137,23 @@ def als_grid(
     alphas: Sequence[float] = (1.0, 40.0),
     max_iter: int = 10,
     seed: int = 0,
+    parallel: int = 1,
 ) -> DataFrame:
-    """Mean AUC of every (rank, lambda, alpha), best first.  Inputs are cached across fits."""
+    """Mean AUC of every (rank, lambda, alpha), best first.  Inputs are cached across fits;
+    ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs)."""
     spark = train.sparkSession
     train = train.persist()
     positives = positives.persist()
     negatives = negatives.persist()
-    rows = []
+
+    def one(params):
+        rank, reg, alpha = params
+        model = fit_als(train, rank, max_iter, reg, alpha, seed)
+        auc = mean_auc(positives, negatives, als_predictor(model)).first()["mean_auc"]
+        return (int(rank), float(reg), float(alpha), float(auc) if auc is not None else None)
+
     try:
-        for rank, reg, alpha in product(ranks, regs, alphas):
-            model = fit_als(train, rank, max_iter, reg, alpha, seed)
-            auc = mean_auc(positives, negatives, als_predictor(model)).first()["mean_auc"]
-            rows.append((int(rank), float(reg), float(alpha), float(auc) if auc is not None else None))
+        rows = map_jobs(one, product(ranks, regs, alphas), parallel)
     finally:
         train.unpersist()
         positives.unpersist()

@@ -113,13 +113,13 @@ def q_tree_categorical(spark, sf):
 def q_tree_grid(spark, sf):
     train, cv, _ = vec_splits(spark, sf)
     fit = lambda df, impurity, depth, bins: classify.fit_tree(df, impurity, depth, bins, SEED)
-    return classify.grid(train, cv, fit, ("gini", "entropy"), (1, 20), (10, 300))
+    return classify.grid(train, cv, fit, ("gini", "entropy"), (1, 20), (10, 300), parallel=4)
 
 
 def q_tree_categorical_grid(spark, sf):
     (train, cv, _), _ = cat_splits(spark, sf)
     fit = lambda df, impurity, depth, bins: classify.fit_tree(df, impurity, depth, bins, SEED)
-    return classify.grid(train, cv, fit, ("gini", "entropy"), (10, 20), (40,))
+    return classify.grid(train, cv, fit, ("gini", "entropy"), (10, 20), (40,), parallel=4)
 
 
 def q_tree_refit(spark, sf):
@@ -138,7 +138,7 @@ def q_forest_predict(spark, sf):
 def q_forest_grid(spark, sf):
     (train, cv, _), _ = cat_splits(spark, sf)
     fit = lambda df, impurity, depth, bins: classify.fit_forest(df, 20, "auto", impurity, depth, bins, SEED)
-    return classify.grid(train, cv, fit, ("gini", "entropy"), (10,), (40,))
+    return classify.grid(train, cv, fit, ("gini", "entropy"), (10,), (40,), parallel=2)
 
 
 def q_forest_error(spark, sf):

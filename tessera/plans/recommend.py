@@ -208,7 +208,7 @@ def q_recommendation_lines(spark, sf):
 def q_als_grid(spark, sf):
     train, cv = split(spark, sf)
     neg = negatives(spark, sf, cv)
-    return recommend.als_grid(train, cv.select("user", "item"), neg, ranks=(5, 10), regs=(1.0,), alphas=(1.0, 40.0), max_iter=5, seed=ALS_SEED)
+    return recommend.als_grid(train, cv.select("user", "item"), neg, ranks=(5, 10), regs=(1.0,), alphas=(1.0, 40.0), max_iter=5, seed=ALS_SEED, parallel=2)
 
 
 # ---- SQL twins ----
