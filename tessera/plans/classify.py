@@ -153,7 +153,7 @@ def q_predict_one(spark, sf):
     return classify.predict_values(forest, "25.0,36000.5,0.04,0.02,30.0,950.0,3.0,11.0")
 
 
-_RF = "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END"
+_RF = "CAST(CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END AS DOUBLE)"
 _BUCKET = "(vec_id * 7919) % 1000"
 
 _LABELED = f"""WITH lab AS (SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
@@ -172,7 +172,7 @@ SELECT l_orderkey AS k1, CAST(l_linenumber AS BIGINT) AS k2, {_RF} AS label,
 FROM j JOIN t USING (p_type) JOIN b USING (p_brand)"""
 
 SQL = {
-    "labeled_vector": """SELECT vec_id, CAST(label AS DOUBLE) AS label, len(embedding) AS n_features,
+    "labeled_vector": """SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS INTEGER) AS n_features,
   round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total, round(CAST(embedding[1] AS DOUBLE), 6) AS first,
   round(CAST(embedding[len(embedding)] AS DOUBLE), 6) AS last FROM embeddings""",
     "one_hot_decode": _DECODE,

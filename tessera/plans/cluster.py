@@ -240,7 +240,7 @@ def _one_hot_sql() -> str:
     pos = 1
     for c, n in zip(CATS, CAT_SIZES):
         for i in range(n):
-            cols.append(f"CASE WHEN i{c}.k = {i} THEN 1.0 ELSE 0.0 END AS f{pos}")
+            cols.append(f"CAST(CASE WHEN i{c}.k = {i} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS f{pos}")
             pos += 1
     for j in range(1, N_MIXED):
         cols.append(f"round(n{j}, 6) AS f{pos}")

@@ -284,7 +284,7 @@ UNION ALL SELECT 'cv', count(*), count(DISTINCT "user"), sum(rating) FROM cv""",
     "top_n_popular": _BASE + _SPLIT + f"SELECT item, popularity FROM pop ORDER BY popularity DESC, item LIMIT {TOP_N}",
     "user_top_items": _BASE
     + """SELECT "user", item, total, rank FROM (
-  SELECT "user", item, total, row_number() OVER (PARTITION BY "user" ORDER BY total DESC, item) AS rank
+  SELECT "user", item, total, CAST(row_number() OVER (PARTITION BY "user" ORDER BY total DESC, item) AS INTEGER) AS rank
   FROM (SELECT "user", item, sum(rating) AS total FROM canonical GROUP BY "user", item)) WHERE rank <= 3""",
     "negative_samples": _BASE + _SPLIT + _NEG + 'SELECT "user", item, j FROM neg',
     "user_auc": _BASE

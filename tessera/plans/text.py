@@ -56,13 +56,13 @@ w AS (SELECT tf.doc_id, tf.term, tf.tf, pd.doc_terms, dfq.df,
 """
 
 SQL = {
-    "tfidf": _TFIDF + "SELECT doc_id, term, tf, CAST(doc_terms AS BIGINT) AS doc_terms, df, weight FROM w",
+    "tfidf": _TFIDF + "SELECT doc_id, term, tf, CAST(doc_terms AS INTEGER) AS doc_terms, df, weight FROM w",
     "tfidf_top_terms": _TFIDF
     + f"""SELECT doc_id, term, weight, rank FROM (
-  SELECT doc_id, term, weight, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS rank FROM w)
+  SELECT doc_id, term, weight, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS INTEGER) AS rank FROM w)
 WHERE rank <= {TOP_TERMS}""",
     "term_counts": with_views("corpus") + "SELECT term, count(*) AS occurrences, count(DISTINCT doc_id) AS docs FROM corpus GROUP BY term",
-    "xml_pages": "SELECT page_id, url, md5(html) AS text_md5, length(html) AS text_chars FROM pages",
+    "xml_pages": "SELECT page_id, url, md5(html) AS text_md5, CAST(length(html) AS INTEGER) AS text_chars FROM pages",
 }
 
 QUERIES = {

@@ -33,8 +33,8 @@ CANONICAL = """canonical AS (
   FROM ratings r LEFT JOIN aliases a ON r.item = a.bad)"""
 
 SCORED = """scored AS (
-  SELECT CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END AS label,
-         CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_tax < 0.04 THEN 1.0 ELSE 2.0 END AS prediction
+  SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END AS DOUBLE) AS label,
+         CAST(CASE WHEN l_quantity < 17 THEN 0.0 WHEN l_tax < 0.04 THEN 1.0 ELSE 2.0 END AS DOUBLE) AS prediction
   FROM lineitem)"""
 
 EMB = """emb AS (

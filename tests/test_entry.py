@@ -42,10 +42,17 @@ def duck(sf_small):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle(spark, duck, sf_small, name):
     df = E.queries()[name](spark, sf_small)
-    cur = duck.execute(E.oracle_sql()[name])
+    sql = E.oracle_sql()[name]
+    types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == types[f.name], f.name
+    cur = duck.execute(sql)
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, cur.fetchall())
