@@ -46,16 +46,16 @@ def lookup_join(
     return left.join(right, on, how)
 
 
-def dense_index(df: DataFrame, key: str | Sequence[str], index_col: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Number distinct rows of ``df`` 0..n−1 in ascending ``key`` order (a distributed zipWithIndex).
+def dense_index_count(df: DataFrame, key: str | Sequence[str], index_col: str = "idx", partitions: int | None = None) -> tuple[DataFrame, int]:
+    """Number distinct rows of ``df`` 0..n−1 in ascending ``key`` order (a distributed zipWithIndex); returns (rows, n).
 
     Rows are range-partitioned and sorted; each row's position inside its
     partition comes from ``monotonically_increasing_id`` (partition id in the
-    upper bits, row number in the lower 33 bits) and partition offsets are a
-    prefix sum over the per-partition counts — one small row per partition.
-    The sorted rows are checkpointed to the shared checkpoint folder first so
-    both passes see the same partitioning, and a lost executor recomputes
-    nothing upstream.
+    upper bits, row number in the lower 33 bits).  As in ``zipWithIndex``, only
+    the per-partition sizes — one number per partition — reach the driver; their
+    prefix sums ship back as a literal array.  The sorted rows are checkpointed
+    to the shared checkpoint folder first so every use sees the same
+    partitioning, and a lost executor recomputes nothing upstream.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ensure_checkpoint_dir(df.sparkSession)
@@ -66,16 +66,21 @@ def dense_index(df: DataFrame, key: str | Sequence[str], index_col: str = "idx",
         F.spark_partition_id().alias("_pid"),
         (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_local"),
     ).checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
+    sizes = {r["_pid"]: r["_n"] for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    width = max(sizes, default=-1) + 1
+    offsets, acc = [], 0
+    for pid in range(width):
+        offsets.append(acc)
+        acc += sizes.get(pid, 0)
+    if not offsets:
+        return tagged.select(*keys, F.lit(0).cast("long").alias(index_col)), 0
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
+    return tagged.select(*keys, (off + F.col("_local")).alias(index_col)), acc
 
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
-    # One row per partition: a proven size bound, so broadcasting it is safe.
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*keys, (F.col("_off") + F.col("_local")).alias(index_col))
+
+def dense_index(df: DataFrame, key: str | Sequence[str], index_col: str = "idx", partitions: int | None = None) -> DataFrame:
+    """``dense_index_count`` without the count."""
+    return dense_index_count(df, key, index_col, partitions)[0]
 
 
 def running_sum_before(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import dense_index
+from tessera.operators.keys import dense_index_count
 from tessera.session import ensure_checkpoint_dir
 
 MODULUS = 1000
@@ -121,8 +121,7 @@ def negative_samples(
     ensure_checkpoint_dir(positives.sparkSession)
     pos = positives.select(F.col(user_col).alias("user"), F.col(item_col).alias("item")).distinct()
     need = pos.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    indexed = dense_index(items.select(F.col(item_col).alias("item")).distinct(), "item", "idx")
-    n_items = indexed.count()
+    indexed, n_items = dense_index_count(items.select(F.col(item_col).alias("item")).distinct(), "item", "idx")
     if n_items == 0:
         return pos.limit(0).select("user", "item", F.lit(0).cast("long").alias("j"))
 
