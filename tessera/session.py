@@ -40,16 +40,22 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tesse
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is only read.  Where it is unset
-    (local tests) a fresh folder is made and recorded in the session.
+    A cluster names a shared folder there; it is only read (it is a static
+    setting).  Without it, the context's checkpoint folder is used if one was
+    set; only where neither exists (local tests) is a folder made and given to
+    the context.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+        return path
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(path)
     return path
 
 
