@@ -65,17 +65,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin a DataFrame over the session's parallelism when it has fewer partitions.
 
     A source with fewer splits than cores (one small file, one row group)
     would run every stage up to the first shuffle in a handful of tasks.  Large
     inputs already have more splits than cores and pass through untouched, so
-    this costs nothing at scale.  Filters and column pruning still reach the scan.
+    this costs nothing at scale; sources under ``min_bytes`` (dimension tables
+    that end up broadcast) are left alone too.  Filters and column pruning
+    still reach the scan.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= min_bytes and df.rdd.getNumPartitions() < want:
             return df.repartition(want)
     except Exception:  # noqa: BLE001 - partition counts are unavailable over Spark Connect
         pass

@@ -93,9 +93,10 @@ def test_spread_only_when_fewer_splits_than_cores(spark):
 
     want = spark.sparkContext.defaultParallelism
     small = spark.range(0, 100, numPartitions=1)
-    assert spread(small).rdd.getNumPartitions() == want
+    assert spread(small, min_bytes=0).rdd.getNumPartitions() == want
+    assert spread(small).rdd.getNumPartitions() == 1  # a tiny source is left alone
     big = spark.range(0, 100, numPartitions=want + 3)
-    assert spread(big).rdd.getNumPartitions() == want + 3
+    assert spread(big, min_bytes=0).rdd.getNumPartitions() == want + 3
 
 
 def test_lookup_join_broadcasts_only_small_sides(spark):
