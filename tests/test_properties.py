@@ -34,3 +34,23 @@ def test_missing_stats_match_python(spark, data):
                 var = sum((x - mean) ** 2 for x in ok) / len(ok)
                 assert _close(r.stdev, math.sqrt(var))
                 assert r.min == min(ok) and r.max == max(ok)
+
+
+pairs = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4)), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(pairs, pairs)
+def test_user_auc_matches_pair_form(spark, pos, neg):
+    from tessera.operators import evaluate
+
+    p = spark.createDataFrame([(u, float(s)) for u, s in pos], "user int, score double")
+    n = spark.createDataFrame([(u, float(s)) for u, s in neg], "user int, score double")
+    got = {r.user: r.auc for r in evaluate.user_auc(p, n).collect()}
+    users = {u for u, _ in pos} & {u for u, _ in neg}
+    assert set(got) == users
+    for u in users:
+        ps = [s for v, s in pos if v == u]
+        ns = [s for v, s in neg if v == u]
+        want = sum(1 for a in ps for b in ns if a > b) / (len(ps) * len(ns))
+        assert math.isclose(got[u], want)
