@@ -36,10 +36,6 @@ def _fields(col: str, sep: str):
     return F.split(F.col(col), sep, -1)
 
 
-def _require_width(a, width: int, what: str):
-    return F.when(F.size(a) == width, a).otherwise(X.fail(f"{what}: expected {width} fields"))
-
-
 def _csv(lines: DataFrame, col: str, fields: list[tuple[str, str]], sep: str, null_value: str | None = None) -> DataFrame:
     """Parse each line with Spark's CSV reader into typed fields (``_r.<name>``).
 
@@ -106,9 +102,13 @@ def parse_mixed(lines: DataFrame, col: str = "value", sep: str = ",", drop_from:
 
 def parse_triples(lines: DataFrame, col: str = "value", sep: str = " ", names=("user", "item", "count"), keep=()) -> DataFrame:
     """``user item count`` integers; a line without three integers fails the job."""
-    a = _require_width(_fields(col, sep), 3, "triple")
-    df = lines.select(*keep, a.alias("_f"))
-    return df.select(*keep, *[X.strict_int(F.col("_f")[i], n).alias(n) for i, n in enumerate(names)])
+    r = lines.select(*keep, _csv(lines, col, [(n, "int") for n in names], sep).alias("_r"))
+    ok = F.col(f"_r.{names[0]}").isNotNull() & F.col(f"_r.{names[1]}").isNotNull() & F.col(f"_r.{names[2]}").isNotNull()
+    return r.select(
+        *keep,
+        F.when(ok, F.col(f"_r.{names[0]}")).otherwise(X.fail("malformed triple")).alias(names[0]),
+        *[F.col(f"_r.{n}").alias(n) for n in names[1:]],
+    )
 
 
 def _id_and_rest(col: str):
