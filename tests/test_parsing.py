@@ -97,3 +97,10 @@ def test_xml_roundtrip(spark, tmp_path):
     xml.write_wiki_pages(pages, path)
     back = sorted(tuple(r) for r in xml.read_wiki_pages(spark, path).select("id", "title", "text").collect())
     assert back == [(1, "A & B", "<p>x</p> & y"), (2, "C", "plain")]
+
+
+def test_read_lines_partition_hint(spark, tmp_path):
+    p = tmp_path / "lines.txt"
+    p.write_text("\n".join(str(i) for i in range(100)) + "\n")
+    lines = text.read_lines(spark, str(p), min_partitions=5)
+    assert lines.rdd.getNumPartitions() >= 5 and lines.count() == 100
