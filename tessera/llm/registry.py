@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, licenses, quality, urls
+from tessera.llm import decontaminate, langid, licenses, packing, quality, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.q_warc,
     "op2_quality": quality.q_quality,
+    "op3_packing": packing.q_packing,
     "op4_langid": langid.q_langid,
     "op5_licenses": licenses.q_licenses,
     "op9_urls": urls.q_urls,
@@ -17,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_warc": warc.SQL,
     "op5_licenses": licenses.SQL,
     "op9_urls": urls.SQL,
     "op10_decontaminate": decontaminate.SQL,
