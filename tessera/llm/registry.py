@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, licenses, packing, quality, urls, warc
+from tessera.llm import decontaminate, langid, licenses, packing, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.q_warc,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": packing.q_packing,
     "op4_langid": langid.q_langid,
     "op5_licenses": licenses.q_licenses,
+    "op6_suffixes": suffixes.q_suffixes,
     "op9_urls": urls.q_urls,
     "op10_decontaminate": decontaminate.q_decontaminate,
 }
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op5_licenses": licenses.SQL,
+    "op6_suffixes": suffixes.SQL,
     "op9_urls": urls.SQL,
     "op10_decontaminate": decontaminate.SQL,
 }
