@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, licenses, packing, quality, suffixes, urls, warc
+from tessera.llm import decontaminate, langid, licenses, minhash, packing, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.q_warc,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": langid.q_langid,
     "op5_licenses": licenses.q_licenses,
     "op6_suffixes": suffixes.q_suffixes,
+    "op7_minhash": minhash.q_minhash,
     "op9_urls": urls.q_urls,
     "op10_decontaminate": decontaminate.q_decontaminate,
 }
@@ -23,6 +24,7 @@ SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op5_licenses": licenses.SQL,
     "op6_suffixes": suffixes.SQL,
+    "op7_minhash": minhash.SQL,
     "op9_urls": urls.SQL,
     "op10_decontaminate": decontaminate.SQL,
 }
