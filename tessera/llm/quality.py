@@ -22,9 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import covered, read_table, window_codes, with_text_columns, word_ids
+from tessera.llm.common import covered, quoted, read_table, window_codes, with_text_columns, word_ids
 
 
 @dataclass(frozen=True)
@@ -129,6 +130,13 @@ def compression_bands(df: DataFrame, text_col: str = "text", params: QualityPara
     return with_text_columns(df, text_col, StructType.fromDDL(SCHEMA), rows)
 
 
+def keep_good(docs: DataFrame, text_col: str = "text", params: QualityParams = QualityParams()) -> DataFrame:
+    """The documents that pass, with their own columns."""
+    text, row = "_text", "_row"
+    judged = compression_bands(docs.select(quoted(text_col).alias(text), F.struct(*[quoted(c) for c in docs.columns]).alias(row)), text, params)
+    return judged.where("kept").select(*[F.col(row).getField(c).alias(c) for c in docs.columns])
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return compression_bands(docs).drop("text")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, licenses, minhash, packing, quality, suffixes, urls, warc
+from tessera.llm import decontaminate, langid, licenses, maxent, minhash, packing, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.q_warc,
@@ -16,8 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": licenses.q_licenses,
     "op6_suffixes": suffixes.q_suffixes,
     "op7_minhash": minhash.q_minhash,
+    "op8_maxent": maxent.q_maxent,
     "op9_urls": urls.q_urls,
     "op10_decontaminate": decontaminate.q_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
