@@ -9,9 +9,10 @@ piece lengths (at most ``capacity`` numbers) reaches the driver.  There:
   histogram.  It is solved by multiplicative weights: every length has a
   weight, which falls as it is covered; a bounded-knapsack dynamic program
   prices the best configuration under the current weights.
-* The solution is rounded down to whole configurations, never covering a length
-  more often than it occurs; what is left over is packed by best fit
-  decreasing, also on the histogram.
+* The solution is rounded to whole configurations, never covering a length more
+  often than it occurs, and the program is solved again for what is left; the
+  last rest and the short pieces are packed by best fit decreasing, also on the
+  histogram.
 
 The result is a table of intervals "pieces of length L with rank in [a, b) go
 to these slots", whose size depends on the capacity, not on the corpus.  A
@@ -41,8 +42,16 @@ from tessera.llm.common import quoted, read_table
 from tessera.session import scratch_path
 
 CAPACITY = 4096
-ITERATIONS = 100
-RATE = 0.5
+ITERATIONS = 200
+SOLVES = 6
+RATE = 1.0
+#: Share of the scarcest size that one step covers.
+STEP = 0.5
+#: A configuration's value starts from size ** POWER: few long pieces before many short ones.
+POWER = 1.5
+#: The program's sizes are in 1/1024 of the capacity; pieces up to 1/4 of it are left to best fit.
+UNITS = 1024
+SMALL = 4
 
 
 class WordCache:
@@ -143,71 +152,74 @@ def tokenize_pieces(
 
 
 def price(values: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of greatest value: a bounded knapsack over lengths 1..capacity.
+    """The configuration of greatest value: a bounded knapsack over sizes 1..capacity.
 
-    Copies of a length are split into powers of two, so each enters the dynamic
+    Copies of a size are split into powers of two, so each enters the dynamic
     program about log(copies) times; one vector step per entry.
     """
     entries: list[tuple[int, int]] = []
-    for length in np.flatnonzero(counts).tolist():
-        left, k = min(int(counts[length]), capacity // length), 1
+    for size in np.flatnonzero(counts).tolist():
+        left, k = min(int(counts[size]), capacity // size), 1
         while left > 0:
             take = min(k, left)
-            entries.append((length, take))
+            entries.append((size, take))
             left -= take
             k *= 2
     best = np.zeros(capacity + 1)
     took = np.zeros((len(entries), capacity + 1), dtype=bool)
-    for i, (length, take) in enumerate(entries):
-        size = length * take
-        better = best[:-size] + values[length] * take
-        won = better > best[size:] + 1e-12
-        took[i, size:] = won
-        np.copyto(best[size:], better.copy(), where=won)
+    for i, (size, take) in enumerate(entries):
+        room = size * take
+        better = best[:-room] + values[size] * take
+        won = better > best[room:] + 1e-12
+        took[i, room:] = won
+        best[room:][won] = better[won]
     found: dict[int, int] = {}
     room = int(np.argmax(best))
     for i in range(len(entries) - 1, -1, -1):
         if took[i, room]:
-            length, take = entries[i]
-            found[length] = found.get(length, 0) + take
-            room -= length * take
+            size, take = entries[i]
+            found[size] = found.get(size, 0) + take
+            room -= size * take
     return found
 
 
 def solve(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS, rate: float = RATE) -> list[tuple[float, dict[int, int]]]:
-    """Fractional configurations that cover ``counts`` (index = length), by multiplicative weights.
+    """Fractional configurations that cover ``counts`` (index = size), by multiplicative weights.
 
-    A step takes the priced configuration as often as covers a fixed share of
-    its scarcest length, and lowers the weights of what it covered by
-    ``exp(-rate * covered share)``.  At the end all amounts are scaled so that
-    the total work matches the histogram.
+    A step takes the priced configuration as often as covers a share of its
+    scarcest size, and lowers the weight of each size by
+    ``exp(-rate * share of it that was covered)``.  At the end all amounts are
+    scaled so that their volume is that of the histogram.
     """
-    lengths = np.flatnonzero(counts)
-    if not len(lengths):
+    sizes = np.arange(len(counts))
+    if not counts.any():
         return []
     weight = np.ones(len(counts))
+    prior = (sizes / capacity) ** POWER
     chosen: dict[tuple, float] = {}
     for _ in range(iterations):
-        # Value per copy: length (space well filled) times weight (not yet covered).
-        config = price(np.arange(len(counts)) * weight, counts, capacity)
-        amount = min(counts[n] / a for n, a in config.items())
+        # Value per copy: by size (space well filled) times weight (not yet covered).
+        config = price(prior * weight / weight[counts > 0].max(), counts, capacity)
+        amount = STEP * min(counts[n] / a for n, a in config.items())
         key = tuple(sorted(config.items(), reverse=True))
         chosen[key] = chosen.get(key, 0.0) + amount
         for n, a in config.items():
             weight[n] *= math.exp(-rate * a * amount / counts[n])
-    total = float(np.dot(np.arange(len(counts)), counts))
-    done = sum(x * sum(n * a for n, a in key) for key, x in chosen.items())
-    scale = total / done
-    return sorted(((x * scale, dict(key)) for key, x in chosen.items()), key=lambda p: (-p[0], sorted(p[1].items())))
+    scale = float(np.dot(sizes, counts)) / sum(x * sum(n * a for n, a in key) for key, x in chosen.items())
+    # Fullest configurations first: they are the ones rounding should keep.
+    return sorted(((x * scale, dict(key)) for key, x in chosen.items()), key=lambda p: (-sum(n * a for n, a in p[1].items()), -p[0], sorted(p[1].items())))
 
 
-def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-    """Best fit decreasing on a histogram: (number of equal sequences, their content as (length, copies))."""
-    open_: dict[int, list[tuple[int, tuple]]] = {}  # free space -> groups of equal sequences
-    full: list[tuple[int, tuple]] = []
+Group = tuple[int, tuple[tuple[int, int], ...]]  # (number of equal sequences, their content as (length, copies))
+
+
+def best_fit(counts: np.ndarray, capacity: int, begun: list[Group]) -> list[Group]:
+    """Best fit decreasing on a histogram, into the free space of ``begun`` sequences first."""
+    open_: dict[int, list[Group]] = {}  # free space -> groups of equal sequences
+    full: list[Group] = []
     free_sizes = np.zeros(capacity + 1, dtype=bool)
 
-    def put(free: int, group: tuple[int, tuple]) -> None:
+    def put(free: int, group: Group) -> None:
         if not group[0]:
             return
         if free == 0:
@@ -216,6 +228,8 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[tuple[i
             open_.setdefault(free, []).append(group)
             free_sizes[free] = True
 
+    for number, content in begun:
+        put(capacity - sum(n * k for n, k in content), (number, content))
     for length in range(capacity, 0, -1):
         left = int(counts[length])
         while left:
@@ -244,23 +258,71 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[tuple[i
     return full + [g for groups in open_.values() for g in groups]
 
 
-def plan(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-    """Whole configurations that hold every piece of the histogram exactly once: (times, content)."""
+def fill(times: int, config: dict[int, int], supply: dict[int, list[list[int]]]) -> Iterator[Group]:
+    """Give the slots of a configuration of size classes real lengths, longest first, as groups of equal sequences."""
+    slots = [c for c, copies in sorted(config.items(), reverse=True) for _ in range(copies)]
+    runs: list[list[list[int]]] = []
+    for c in slots:  # each slot takes ``times`` pieces of its class
+        need, mine = times, []
+        while need:
+            take = min(need, supply[c][-1][1])
+            mine.append([supply[c][-1][0], take])
+            supply[c][-1][1] -= take
+            need -= take
+            if not supply[c][-1][1]:
+                supply[c].pop()
+        runs.append(mine[::-1])
+    while times:
+        same = min(r[-1][1] for r in runs)
+        content: dict[int, int] = {}
+        for r in runs:
+            content[r[-1][0]] = content.get(r[-1][0], 0) + 1
+            r[-1][1] -= same
+            if not r[-1][1]:
+                r.pop()
+        times -= same
+        yield same, tuple(sorted(content.items(), reverse=True))
+
+
+def plan(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS, solves: int = SOLVES) -> list[Group]:
+    """Whole configurations that hold every piece of the histogram exactly once.
+
+    The linear program is over the long pieces (above ``capacity / SMALL``) in
+    classes of ``capacity / UNITS`` tokens, rounded up, which bounds its size.  It is
+    solved and rounded down several times, each time on what the last rounding
+    left; the rest and the short pieces then go to the free space by best fit.
+    """
     left = counts.astype(np.int64).copy()
-    out: list[tuple[int, tuple]] = []
-    for amount, config in solve(left.copy(), capacity, iterations):
-        times = min(int(amount), *(int(left[n]) // a for n, a in config.items()))
-        if times > 0:
-            out.append((times, tuple(sorted(config.items(), reverse=True))))
-            for n, a in config.items():
-                left[n] -= times * a
-    return out + best_fit(left, capacity)
+    step = max(1, capacity // UNITS)
+    units = capacity // step
+    supply: dict[int, list[list[int]]] = {}
+    classes = np.zeros(units + 1, dtype=np.int64)
+    for length in range(1, capacity + 1):  # ascending, so the longest is taken first (from the end)
+        c = -(-length // step)
+        if left[length] and length > capacity // SMALL and c <= units:
+            supply.setdefault(c, []).append([length, int(left[length])])
+            classes[c] += left[length]
+    begun: list[Group] = []
+    for _ in range(solves):
+        before = int(classes.sum())
+        for amount, config in solve(classes, units, iterations):
+            times = min(round(amount), *(int(classes[c]) // a for c, a in config.items()))
+            if times > 0:
+                for c, a in config.items():
+                    classes[c] -= times * a
+                for group in fill(times, config, supply):
+                    begun.append(group)
+                    for length, k in group[1]:
+                        left[length] -= group[0] * k
+        if int(classes.sum()) in (0, before):
+            break
+    return best_fit(left, capacity, begun)
 
 
 class Slots:
     """The plan as sorted interval arrays, one lookup per (length, rank)."""
 
-    def __init__(self, configs: list[tuple[int, tuple[tuple[int, int], ...]]], capacity: int) -> None:
+    def __init__(self, configs: list[Group], capacity: int) -> None:
         rows: list[tuple[int, int, int, int, int]] = []
         ranks = np.zeros(capacity + 1, dtype=np.int64)
         sequence = 0
