@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 # The JVM treats every char at or below U+0020 as whitespace in
 # String.trim, while Spark's trim only removes spaces.
 _JVM_WS = "[\\x00-\\x20]"
-# The only spellings java.lang.Boolean.parseBoolean-style strict
-# parsing accepts (case-insensitive).
-_BOOL_TRUE = "true"
-_BOOL_FALSE = "false"
 # Fixed value: the textual marker for a missing score.
 MISSING_MARKER = "?"
 
@@ -65,23 +61,6 @@ def strict_double(c) -> Column:
     return F.when(v.isNotNull(), v).otherwise(fail("malformed double"))
 
 
-def missing_double(c, marker: str = MISSING_MARKER) -> Column:
-    """Double parse where ``marker`` (and NaN) means missing → NULL; anything else bad fails."""
-    c = _col(c)
-    v = lenient_double(c)
-    return F.when(c == marker, F.lit(None).cast("double")).when(v.isNull(), fail("malformed double")).otherwise(nan_to_null(v))
-
-
-def strict_boolean(c) -> Column:
-    """Only ``true``/``false`` in any case; anything else fails."""
-    low = F.lower(_col(c))
-    return (
-        F.when(low == _BOOL_TRUE, F.lit(True))
-        .when(low == _BOOL_FALSE, F.lit(False))
-        .otherwise(fail("malformed boolean"))
-    )
-
-
 def nan_to_null(c) -> Column:
     """Missing is NULL inside the library: map NaN to NULL once at the edge (§1)."""
     c = _col(c)

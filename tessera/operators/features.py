@@ -4,8 +4,7 @@ Per-position moments come from one aggregate and are shipped to the tasks as
 array literals: their size is the feature width, not the row count.
 Category indexes are computed distributed (``dense_index``) and attached with a
 size-checked lookup join.  TF-IDF is two aggregations and two joins; the
-document-frequency table is broadcast only when its estimated size is small,
-otherwise adaptive execution splits the partitions of very common terms.
+sizes measured at run time decide how the document frequencies are joined.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ from tessera.operators.stats import column_moments
 
 MAX_WIDTH = 100_000
 MAX_LITERAL_CATEGORIES = 10_000
+# A term is a run of letters of any script.
+WORD = r"\p{L}+"
 
 
 def moments(df: DataFrame, features_col: str, width: int) -> tuple[list[float], list[float]]:
@@ -42,8 +43,8 @@ def zscore(df: DataFrame, features_col: str, means: Sequence[float], stdevs: Seq
 
 
 def category_index(df: DataFrame, col: str, index_col: str = "index") -> DataFrame:
-    """Distinct values of ``col`` numbered 0..n−1 in ascending order (distributed)."""
-    return dense_index(df.select(col).distinct(), col, index_col)
+    """Distinct values of ``col`` numbered 0..n−1 in ascending order (distributed); NULL is no category."""
+    return dense_index(df.select(col).where(F.col(col).isNotNull()).distinct(), col, index_col)
 
 
 def small_categories(df: DataFrame, cols: Sequence[str], max_values: int = MAX_LITERAL_CATEGORIES) -> dict[str, list] | None:
@@ -86,6 +87,7 @@ def one_hot(
     Small category sets (the usual case) become sorted literal lists and the
     index is an ``array_position`` lookup inside codegen; a column with too
     many categories is indexed distributed and attached with a lookup join.
+    Both forms number the same categories alike and refuse a NULL value.
     ``indexes`` (value lists or index DataFrames) apply an existing encoding to
     new data; returns the encoded frame and the indexes used.
     """
@@ -133,12 +135,12 @@ def random_projection(df: DataFrame, features_col: str, matrix: Sequence[Sequenc
     return df.select("*", *cols)
 
 
-def token_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = "[a-z]+") -> DataFrame:
+def token_arrays(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = WORD) -> DataFrame:
     """(doc, tokens): every ``pattern`` match of the lower-cased whole text, one array per document."""
     return docs.select(id_col, F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0).alias("tokens"))
 
 
-def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = "[a-z]+") -> DataFrame:
+def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = WORD) -> DataFrame:
     """(doc, term) for every ``pattern`` match of the lower-cased whole text."""
     return token_arrays(docs, id_col, text_col, pattern).select(id_col, F.explode("tokens").alias("term"))
 
@@ -148,14 +150,16 @@ def tfidf(
     id_col: str = "doc_id",
     text_col: str = "text",
     total_docs: Column | int | None = None,
-    pattern: str = "[a-z]+",
+    pattern: str = WORD,
 ) -> DataFrame:
     """``(count in doc / terms in doc) · ln(docs / docs containing term)`` per (doc, term).
 
-    Terms in a document are the size of its token array (no aggregate or join);
-    document frequency counts each document's distinct terms, so map-side
-    partial aggregation leaves one (term, count) row per task and term to
-    shuffle.  ``total_docs`` defaults to the number of documents.
+    Terms in a document are the size of its token array (no aggregate or join).
+    Document frequency is counted on the (doc, term) rows, so the text is
+    tokenised once (both sides read one shuffle).  The join carries no
+    broadcast hint: adaptive execution chooses from measured sizes and splits
+    the partitions of very common terms.  ``total_docs`` defaults to the number of
+    documents.
     """
     toks = token_arrays(docs, id_col, text_col, pattern)
     tf = (
@@ -163,9 +167,9 @@ def tfidf(
         .groupBy(id_col, "term", "doc_terms")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    df = toks.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.count() if total_docs is None else total_docs
-    j = lookup_join(tf, df, "term", "inner")
+    j = tf.join(df, "term")
     return j.select(id_col, "term", "tf", "doc_terms", "df", X.tfidf_weight("tf", "doc_terms", "df", F.lit(n_docs)).alias("weight"))
 
 

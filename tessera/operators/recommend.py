@@ -10,9 +10,11 @@ checkpointed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,11 +117,45 @@ def factor_text(factors: DataFrame, sep: str = ", ") -> DataFrame:
     return factors.select("id", F.array_join(F.transform("features", lambda x: x.cast("string")), sep).alias("text"))
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int = 5) -> DataFrame:
-    """L3/T4: top ``n`` items for each given user → (user, item, score, rank)."""
-    recs = model.recommendForUserSubset(users.select("user").distinct(), n)
-    ex = recs.select("user", F.posexplode("recommendations").alias("pos", "rec"))
-    return ex.select("user", F.col("rec.item").alias("item"), F.col("rec.rating").cast("double").alias("score"), (F.col("pos") + 1).alias("rank"))
+def recommend(model: ALSModel, users: DataFrame, n: int = 5, block: int = 10_000) -> DataFrame:
+    """L3/T4: top ``n`` items for each given user → (user, item, score, rank).
+
+    The wanted users are a parameter table.  Their factors are shipped to the
+    tasks ``block`` users at a time (a bounded size), each task scores its item
+    factors against them in one matrix product and keeps its own top ``n`` per
+    user, and those few rows are ranked per user.
+    """
+    wanted = model.userFactors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
+    held, out = [], None
+    for r in wanted.toLocalIterator():
+        held.append((r["id"], list(r["features"])))
+        if len(held) == block:
+            part = _recommend_block(model, held, n)
+            out, held = (part if out is None else out.unionByName(part)), []
+    if held or out is None:
+        part = _recommend_block(model, held, n)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _recommend_block(model: ALSModel, users: list[tuple[int, list[float]]], n: int) -> DataFrame:
+    spark = model.itemFactors.sparkSession
+    shared = spark.sparkContext.broadcast(([u for u, _ in users], np.array([f for _, f in users], dtype=np.float32)))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, factors = shared.value
+        for items in batches:
+            if not ids or not len(items):
+                continue
+            names = items["id"].to_numpy()
+            scores = factors @ np.stack(items["features"].to_numpy()).astype(np.float32).T
+            for u, row in zip(ids, scores):
+                best = np.lexsort((names, -row))[:n]
+                yield pd.DataFrame({"user": u, "item": names[best], "score": row[best].astype(float)})
+
+    local = model.itemFactors.select("id", "features").mapInPandas(score, "user int, item int, score double")
+    order = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
+    return local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("user", "item", "score", "rank")
 
 
 def recommendation_lines(recs: DataFrame) -> DataFrame:

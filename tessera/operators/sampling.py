@@ -17,17 +17,21 @@ from pyspark.sql import functions as F
 from tessera.operators.keys import dense_index_count
 from tessera.session import ensure_checkpoint_dir
 
+# Buckets of the key hash.  Fine enough that any fraction a split can state gets its share.
+FINE = 1 << 31
+# Buckets of the arithmetic form, which any SQL can repeat.
 MODULUS = 1000
-# Multipliers of the arithmetic draw and split hashes (primes).
+# Chosen multipliers of the arithmetic split hash and of the draws (primes), and the draws' modulus 2**31 - 1.
 P_USER = 7919
 P_DRAW = 104729
-P_MIX = 31
 P_SEED = 15485863
-USER_MOD = 97
+DRAW_A = 48271
+DRAW_B = 69621
+DRAW_MOD = 2147483647
 
 
-def key_bucket(keys: Sequence[str], seed: int = 0, modulus: int = MODULUS) -> Column:
-    """Bucket in ``[0, modulus)`` from a 64-bit hash of the key columns."""
+def key_bucket(keys: Sequence[str], seed: int = 0, modulus: int = FINE) -> Column:
+    """Bucket in ``[0, modulus)`` from a 64-bit hash of the key columns (NULL keys hash like any value)."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(modulus))
 
 
@@ -39,44 +43,82 @@ def arithmetic_bucket(k1: str, k2: str | None = None, seed: int = 0, modulus: in
     return F.pmod(e + F.lit(seed), F.lit(modulus))
 
 
-def hash_split(df: DataFrame, weights: Sequence[float], bucket: Column | None = None, keys: Sequence[str] | None = None, seed: int = 0) -> list[DataFrame]:
-    """M1: deterministic split by key hash.  ``weights`` are normalised; returns one DataFrame per weight."""
+def _placed(bucket: Column | None, keys: Sequence[str], seed: int, modulus: int | None) -> tuple[Column, int]:
+    """A bucket column that always lies in ``[0, modulus)``: a NULL bucket is bucket 0, larger ones wrap."""
     if bucket is None:
-        bucket = key_bucket(keys or df.columns, seed)
+        return key_bucket(keys, seed), FINE
+    m = modulus or MODULUS
+    return F.pmod(F.coalesce(bucket.cast("long"), F.lit(0)), F.lit(m)), m
+
+
+def hash_split(
+    df: DataFrame,
+    weights: Sequence[float],
+    bucket: Column | None = None,
+    keys: Sequence[str] | None = None,
+    seed: int = 0,
+    modulus: int | None = None,
+) -> list[DataFrame]:
+    """M1: deterministic split by key hash.  ``weights`` are normalised; returns one DataFrame per weight.
+
+    Every row is in exactly one part: a NULL bucket counts as 0 and a bucket
+    beyond ``modulus`` (that of the given bucket column) wraps.  A positive weight
+    too small for the modulus is refused rather than given no rows.
+    """
+    place, m = _placed(bucket, keys or df.columns, seed, modulus)
     total = float(sum(weights))
     bounds, acc = [], 0.0
     for w in weights:
-        lo = round(acc / total * MODULUS)
+        lo = round(acc / total * m)
         acc += w
-        hi = round(acc / total * MODULUS)
+        hi = round(acc / total * m)
+        if w > 0 and hi == lo:
+            raise ValueError(f"weight {w} needs a finer bucket than {m}")
         bounds.append((lo, hi))
-    tagged = df.withColumn("_bucket", bucket)
+    tagged = df.withColumn("_bucket", place)
     return [tagged.filter((F.col("_bucket") >= lo) & (F.col("_bucket") < hi)).drop("_bucket") for lo, hi in bounds]
 
 
-def hash_sample(df: DataFrame, fraction: float, bucket: Column | None = None, keys: Sequence[str] | None = None, seed: int = 0) -> DataFrame:
+def hash_sample(
+    df: DataFrame, fraction: float, bucket: Column | None = None, keys: Sequence[str] | None = None, seed: int = 0, modulus: int | None = None
+) -> DataFrame:
     """M2 (deterministic form): rows whose key bucket falls below ``fraction``."""
-    if bucket is None:
-        bucket = key_bucket(keys or df.columns, seed)
-    return df.filter(bucket < F.lit(round(fraction * MODULUS)))
+    place, m = _placed(bucket, keys or df.columns, seed, modulus)
+    below = round(fraction * m)
+    if fraction > 0 and below == 0:
+        raise ValueError(f"fraction {fraction} needs a finer bucket than {m}")
+    return df.filter(place < F.lit(below))
+
 
+def random_split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str] | None = None) -> list[DataFrame]:
+    """M1 (random form): a seeded split by a hash of the keys (all columns by default).
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """M1 (random form): ``randomSplit`` with a seed."""
-    return df.randomSplit(list(weights), seed)
+    The part of a row follows from its content and the seed, not from the
+    layout of the data, so it is the same on every cluster; equal rows go to
+    the same part.
+    """
+    return hash_split(df, weights, keys=keys, seed=seed)
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """M2 (random form): sampling without replacement, seeded."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
+    """M2 (random form): a seeded sample without replacement, independent of the layout as ``random_split``."""
+    return hash_sample(df, fraction, keys=keys, seed=seed)
 
 
 def draw_index(user: Column, j: Column, n_items: Column, seed: int = 0) -> Column:
-    """The j-th seeded draw of a user, an index in ``[0, n_items)``."""
-    u = user.cast("long")
-    jj = j.cast("long")
-    mix = u * P_USER + jj * P_DRAW + F.pmod(u, F.lit(USER_MOD)) * jj * P_MIX + F.lit(seed * P_SEED)
-    return F.pmod(mix, n_items)
+    """The j-th seeded draw of a user, an index in ``[0, n_items)``.
+
+    Three modular squarings mix user and draw non-linearly, so a user's draws
+    neither walk the items in fixed steps nor follow another user's.  All
+    products stay below 2**63, so any SQL with 64-bit integers can repeat them.
+    """
+    m = F.lit(DRAW_MOD)
+    u = F.pmod(user.cast("long") * P_USER + F.lit(seed * P_SEED), m)
+    x = F.pmod(u * u, m)
+    y = F.pmod((x + j.cast("long")) * DRAW_A, m)
+    z = F.pmod(F.pmod(y * y, m) * DRAW_B + y, m)
+    w = F.pmod(F.pmod(z * z, m) * DRAW_A + z, m)
+    return F.pmod(w, n_items)
 
 
 def _draws(users: DataFrame, n_items: int, seed: int, chunk: int) -> DataFrame:
@@ -119,7 +161,8 @@ def negative_samples(
     so the result equals an uncapped draw sequence.  Output: (user, item, j).
     """
     ensure_checkpoint_dir(positives.sparkSession)
-    pos = positives.select(F.col(user_col).alias("user"), F.col(item_col).alias("item")).distinct()
+    # Every round and the final ranking read the positives: compute them once.
+    pos = positives.select(F.col(user_col).alias("user"), F.col(item_col).alias("item")).distinct().checkpoint(eager=True)
     need = pos.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
     indexed, n_items = dense_index_count(items.select(F.col(item_col).alias("item")).distinct(), "item", "idx")
     if n_items == 0:

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tessera.functions import exprs as X
 
@@ -124,13 +123,10 @@ def score_threshold(df: DataFrame, score_col: str, flag_col: str, thresholds: Se
 
 
 def class_priors(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Share of rows per label.  The window runs over the per-label counts only."""
+    """Share of rows per label; the total is a scalar subquery, so labels never meet in one task."""
     counts = count_by(df, label_col)
-    return counts.select(
-        label_col,
-        "count",
-        (F.col("count") / F.sum("count").over(Window.partitionBy())).alias("prior"),
-    )
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.select(label_col, "count", (F.col("count") / total).alias("prior"))
 
 
 def chance_agreement(a: DataFrame, b: DataFrame, label_col: str = "label") -> DataFrame:
@@ -141,28 +137,19 @@ def chance_agreement(a: DataFrame, b: DataFrame, label_col: str = "label") -> Da
 
 
 def column_moments(df: DataFrame, array_col: str, width: int) -> DataFrame:
-    """Per position sum, sum of squares, mean and population stdev (one pass)."""
-    aggs = []
-    for i in range(width):
-        x = F.get(F.col(array_col), i)
-        aggs += [
-            F.sum(x).alias(f"s{i}"),
-            F.sum(x * x).alias(f"q{i}"),
-            F.avg(x).alias(f"a{i}"),
-            F.stddev_pop(x).alias(f"d{i}"),
-        ]
-    wide = df.agg(*aggs)
-    structs = [
-        F.struct(
-            F.lit(i).alias("pos"),
-            F.col(f"s{i}").alias("sum"),
-            F.col(f"q{i}").alias("sum_sq"),
-            F.col(f"a{i}").alias("mean"),
-            F.col(f"d{i}").alias("stdev"),
-        )
-        for i in range(width)
-    ]
-    return wide.select(F.inline(F.array(*structs)))
+    """Per position sum, sum of squares, mean and population stdev (one pass).
+
+    Positions are rows of one partial aggregate, so the plan does not grow with
+    ``width``; positions that no row has come out with NULL statistics.
+    """
+    x = F.col("_x")
+    per = (
+        df.select(F.posexplode(F.slice(array_col, 1, width)).alias("pos", "_x"))
+        .groupBy("pos")
+        .agg(F.sum(x).alias("sum"), F.sum(x * x).alias("sum_sq"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("stdev"))
+    )
+    every = df.sparkSession.range(width).select(F.col("id").cast("int").alias("pos"))
+    return every.join(per, "pos", "left").select("pos", "sum", "sum_sq", "mean", "stdev")
 
 
 def entropy(counts: DataFrame, count_col: str = "count", by: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import exprs as X
 from tessera.operators import cluster, features, sampling, stats
 from tessera.plans.views import with_views
-from tessera.session import scratch_path
+from tessera.session import ensure_checkpoint_dir, scratch_path
 from tessera.sources import fixtures, text
 
 N_MIXED = 6
@@ -135,12 +135,23 @@ def q_distance_threshold(spark, sf):
     return cluster.nth_largest(scored_embeddings(spark, sf), "distance", THRESHOLD_RANK)
 
 
-def _anomalies(spark, sf):
-    d = scored_embeddings(spark, sf)
+def _kept(df: DataFrame) -> DataFrame:
+    """Rows computed once and read again, in the shared checkpoint folder (nothing stays cached)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _above_threshold(distances: DataFrame) -> DataFrame:
+    """Rows beyond the n-th largest distance; threshold and filter read the same scored rows."""
+    d = _kept(distances)
     t = cluster.nth_largest(d, "distance", THRESHOLD_RANK).first()["threshold"]
     return cluster.anomalies(d, t)
 
 
+def _anomalies(spark, sf):
+    return _above_threshold(scored_embeddings(spark, sf).select("vec_id", "distance"))
+
+
 def q_anomalies(spark, sf):
     return _anomalies(spark, sf).select("vec_id", "distance")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import exprs as X
 from tessera.operators import evaluate, recommend, sampling, stats
 from tessera.plans.views import with_views
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import fixtures, text
 
 # Query parameters (a point lookup and one user's history are the feature of those queries).
@@ -16,6 +17,7 @@ ITEM_ID = 42
 LOOKUP_ID = 7
 NAME_SUBSTRING = "red"
 TOP_N = 5
+SOME_USERS = 10
 TRAIN_SHARE = 900  # of 1000 buckets
 
 
@@ -36,17 +38,16 @@ def all_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.canonical_ratings(fixtures.rating_rows(spark, sf), aliases(spark, sf))
 
 
-def split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    r = all_ratings(spark, sf)
+def split(spark: SparkSession, sf: str, ratings: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    r = all_ratings(spark, sf) if ratings is None else ratings
     train, cv = sampling.hash_split(r, [0.9, 0.1], bucket=sampling.arithmetic_bucket("k1", "k2"))
     return train, cv
 
 
-def negatives(spark: SparkSession, sf: str, cv: DataFrame | None = None) -> DataFrame:
-    if cv is None:
-        _, cv = split(spark, sf)
-    items = all_ratings(spark, sf).select("item")
-    return sampling.negative_samples(cv.select("user", "item"), items)
+def kept_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """``all_ratings`` computed once, for queries that read it several times."""
+    ensure_checkpoint_dir(spark)
+    return all_ratings(spark, sf).checkpoint(eager=True)
 
 
 def q_ratings_parse(spark, sf):
@@ -145,25 +146,26 @@ def q_user_top_items(spark, sf):
 
 
 def q_negative_samples(spark, sf):
-    return negatives(spark, sf)
+    ratings = kept_ratings(spark, sf)
+    _, cv = split(spark, sf, ratings)
+    return sampling.negative_samples(cv.select("user", "item"), ratings.select("item"))
 
 
 def _popularity_auc(spark, sf):
-    train, cv = split(spark, sf)
-    neg = negatives(spark, sf, cv)
-    predict = recommend.popularity_predictor(train)
-    return cv.select("user", "item"), neg.select("user", "item"), predict
+    ratings = kept_ratings(spark, sf)
+    train, cv = split(spark, sf, ratings)
+    pos = cv.select("user", "item")
+    neg = sampling.negative_samples(pos, ratings.select("item"))
+    return pos, neg.select("user", "item"), recommend.popularity_predictor(train)
 
 
 def q_user_auc(spark, sf):
-    pos, neg, predict = _popularity_auc(spark, sf)
-    out = evaluate.user_auc(predict(pos), predict(neg))
+    out = evaluate.predicted_auc(*_popularity_auc(spark, sf))
     return out.select("user", X.round6("auc").alias("auc"), "n_pos", "n_neg")
 
 
 def q_mean_auc(spark, sf):
-    pos, neg, predict = _popularity_auc(spark, sf)
-    out = evaluate.mean_auc(pos, neg, predict)
+    out = evaluate.mean_auc(*_popularity_auc(spark, sf))
     return out.select(X.round6("mean_auc").alias("mean_auc"), "users")
 
 
@@ -189,26 +191,34 @@ def q_factor_text(spark, sf):
     return u.unionByName(i).withColumn("rank", F.lit(model.rank))
 
 
+def _some_users(cv: DataFrame) -> DataFrame:
+    """The users that recommendations are printed for: the first ones, as in the analysis."""
+    return cv.select("user").distinct().orderBy("user").limit(SOME_USERS)
+
+
 def q_recommend_top_n(spark, sf):
     model, _, cv = _als(spark, sf)
-    return recommend.recommend(model, cv.select("user"), TOP_N)
+    return recommend.recommend(model, _some_users(cv), TOP_N)
 
 
 def q_recommendation_names(spark, sf):
     model, _, cv = _als(spark, sf)
-    recs = recommend.recommend(model, cv.select("user"), TOP_N)
+    recs = recommend.recommend(model, _some_users(cv), TOP_N)
     return recs.join(names(spark, sf).withColumnRenamed("id", "item"), "item", "left")
 
 
 def q_recommendation_lines(spark, sf):
     model, _, cv = _als(spark, sf)
-    return recommend.recommendation_lines(recommend.recommend(model, cv.select("user"), TOP_N))
+    return recommend.recommendation_lines(recommend.recommend(model, _some_users(cv), TOP_N))
 
 
 def q_als_grid(spark, sf):
-    train, cv = split(spark, sf)
-    neg = negatives(spark, sf, cv)
-    return recommend.als_grid(train, cv.select("user", "item"), neg, ranks=(5, 10), regs=(1.0,), alphas=(1.0, 40.0), max_iter=5, seed=ALS_SEED, parallel=2)
+    """L6 with the whole parameter set: 8 fits of 10 iterations."""
+    ratings = kept_ratings(spark, sf)
+    train, cv = split(spark, sf, ratings)
+    pos = cv.select("user", "item")
+    neg = sampling.negative_samples(pos, ratings.select("item"))
+    return recommend.als_grid(train, pos, neg, seed=ALS_SEED, parallel=4)
 
 
 # ---- SQL twins ----
@@ -232,8 +242,9 @@ items AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx FROM (SELECT
 ni AS (SELECT count(*) AS n_items FROM items),
 draws AS (
   SELECT d."user", d.n, d.j,
-         (CAST(d."user" AS BIGINT) * 7919 + d.j * 104729 + (CAST(d."user" AS BIGINT) % 97) * d.j * 31) % ni.n_items AS idx
-  FROM (SELECT "user", n, unnest(generate_series(0, (SELECT n_items FROM ni) - 1)) AS j FROM need) d CROSS JOIN ni),
+         ((d.z * d.z) % 2147483647 * 48271 + d.z) % 2147483647 % ni.n_items AS idx
+  FROM (SELECT "user", n, j, ((y * y) % 2147483647 * 69621 + y) % 2147483647 AS z FROM (SELECT "user", n, j, ((((CAST("user" AS BIGINT) * 7919) % 2147483647) * ((CAST("user" AS BIGINT) * 7919) % 2147483647)) % 2147483647 + j) * 48271 % 2147483647 AS y
+    FROM (SELECT "user", n, unnest(generate_series(0, (SELECT n_items FROM ni) - 1)) AS j FROM need))) d CROSS JOIN ni),
 negs AS (
   SELECT d."user", i.item, d.j, d.n FROM draws d JOIN items i ON d.idx = i.idx
   WHERE NOT EXISTS (SELECT 1 FROM pos p WHERE p."user" = d."user" AND p.item = i.item)),

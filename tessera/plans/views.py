@@ -49,7 +49,7 @@ center_arrays AS (
   SELECT cluster, list(value ORDER BY pos) AS center FROM centers GROUP BY cluster)"""
 
 CORPUS = """corpus AS (
-  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents)"""
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS term FROM documents)"""
 
 ALL = {
     "pairs": PAIRS,

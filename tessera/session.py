@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,8 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder there; it is only read (it is a static
     setting).  Without it, the context's checkpoint folder is used if one was
-    set; only where neither exists (local tests) is a folder made and given to
-    the context.
+    set.  Where neither exists a machine-local folder is made, but only for a
+    local master: on a cluster other machines could not read it, so there this
+    raises.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(path)
     return path
@@ -65,29 +67,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin a DataFrame over the session's parallelism when it has fewer partitions.
-
-    A source with fewer splits than cores (one small file, one row group)
-    would run every stage up to the first shuffle in a handful of tasks.  Large
-    inputs already have more splits than cores and pass through untouched, so
-    this costs nothing at scale; sources under ``min_bytes`` (dimension tables
-    that end up broadcast) are left alone too.  Filters and column pruning
-    still reach the scan.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size >= min_bytes and df.rdd.getNumPartitions() < want:
-            return df.repartition(want)
-    except Exception:  # noqa: BLE001 - partition counts are unavailable over Spark Connect
-        pass
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables (spread over the cores when it has fewer splits)."""
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    """One of the given parquet tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -212,9 +212,3 @@ def label_centers(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("cluster", "pos")
         .agg(F.avg("x").alias("value"))
     )
-
-
-def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, term): ``[a-z]+`` tokens of the lower-cased document text, whole texts."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    return d.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("term"))

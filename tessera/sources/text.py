@@ -8,6 +8,8 @@ they run inside the scan stage; strict parsers fail the job on a bad line
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,15 +41,18 @@ def _fields(col: str, sep: str):
 def _csv(lines: DataFrame, col: str, fields: list[tuple[str, str]], sep: str, null_value: str | None = None) -> DataFrame:
     """Parse each line with Spark's CSV reader into typed fields (``_r.<name>``).
 
-    FAILFAST: a value that does not parse as its type, or a line with the wrong
-    number of fields, fails the job.  Ints, doubles and booleans parse with the
-    JVM's own rules; quoting is off so a line splits exactly at ``sep``.
+    FAILFAST: a value that does not parse as its type, a line with the wrong
+    number of fields, or an empty field (which the reader would turn into NULL)
+    fails the job.  Ints, doubles and booleans parse with the JVM's own rules;
+    quoting is off so a line splits exactly at ``sep``.
     """
     ddl = ", ".join(f"`{n}` {t}" for n, t in fields)
     opts = {"mode": "FAILFAST", "sep": sep, "quote": "", "escape": ""}
     if null_value is not None:
         opts["nullValue"] = null_value
-    return F.from_csv(F.col(col), ddl, opts)
+    s = re.escape(sep)
+    whole = F.when(F.col(col).rlike(f"^{s}|{s}{s}|{s}$|^$"), X.fail("empty field")).otherwise(F.col(col))
+    return F.from_csv(whole, ddl, opts)
 
 
 def parse_scored_pairs(lines: DataFrame, col: str = "value", n_scores: int = 9) -> DataFrame:

@@ -34,10 +34,11 @@ WIKI_PAGE_SCHEMA = T.StructType(
 
 
 def read_wiki_pages(spark: SparkSession, path: str, schema: T.StructType = WIKI_PAGE_SCHEMA) -> DataFrame:
-    """Pages of a MediaWiki dump → (id, title, ns, text)."""
+    """Pages of a MediaWiki dump → (id, title, ns, text); a page with a bad field fails the job."""
     raw = (
         spark.read.format("xml")
         .option("rowTag", PAGE_TAG)
+        .option("mode", "FAILFAST")
         .option("ignoreSurroundingSpaces", "false")
         .schema(schema)
         .load(path)

@@ -3,6 +3,14 @@ from pyspark.sql import functions as F
 from tessera.operators import sampling
 
 
+def draw(u, j, n_items, seed=0):
+    p = 2**31 - 1
+    x = ((u * 7919 + seed * 15485863) % p) ** 2 % p
+    y = (x + j) * 48271 % p
+    z = (y * y % p * 69621 + y) % p
+    return (z * z % p * 48271 + z) % p % n_items
+
+
 def brute_negatives(pos, items, seed=0):
     items = sorted(set(items))
     n_items = len(items)
@@ -13,7 +21,7 @@ def brute_negatives(pos, items, seed=0):
     for u, p in by_user.items():
         got, j = 0, 0
         while j < n_items and got < len(p):
-            idx = (u * 7919 + j * 104729 + (u % 97) * j * 31 + seed * 15485863) % n_items
+            idx = draw(u, j, n_items, seed)
             if items[idx] not in p:
                 out.add((u, items[idx], j))
                 got += 1
@@ -88,15 +96,77 @@ def test_top_n_by_salted_is_exact(spark):
     assert got == want
 
 
-def test_spread_only_when_fewer_splits_than_cores(spark):
-    from tessera.session import spread
-
-    want = spark.sparkContext.defaultParallelism
-    small = spark.range(0, 100, numPartitions=1)
-    assert spread(small, min_bytes=0).rdd.getNumPartitions() == want
-    assert spread(small).rdd.getNumPartitions() == 1  # a tiny source is left alone
-    big = spark.range(0, 100, numPartitions=want + 3)
-    assert spread(big, min_bytes=0).rdd.getNumPartitions() == want + 3
+def test_draws_spread_over_the_items(spark):
+    for n_items in (1000, 1791):
+        users = [*range(1, 40), *[41 + 97 * k for k in range(20)]]
+        df = spark.createDataFrame([(u, j) for u in users for j in range(200)], "u int, j int")
+        got = df.select("u", "j", sampling.draw_index(F.col("u"), F.col("j"), F.lit(n_items)).alias("i")).collect()
+        assert all(r.i == draw(r.u, r.j, n_items) for r in got)
+        per_user = {}
+        for r in got:
+            per_user.setdefault(r.u, []).append(r.i)
+        # 200 uniform draws give about 181 (of 1000) and 189 (of 1791) distinct items.
+        assert min(len(set(x)) for x in per_user.values()) > 150
+        assert len({tuple(x) for x in per_user.values()}) == len(users)
+        counts = [0] * n_items
+        for r in got:
+            counts[r.i] += 1
+        mean = len(got) / n_items
+        chi2 = sum((c - mean) ** 2 / mean for c in counts)
+        assert abs(chi2 - n_items) < 6 * (2 * n_items) ** 0.5
+
+
+def test_split_loses_no_row(spark):
+    rows = [(i, "x") for i in range(3000)] + [(None, "x"), (None, None)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    for parts in (
+        sampling.hash_split(df, [0.9, 0.1], bucket=sampling.arithmetic_bucket("k")),
+        sampling.hash_split(df, [0.9, 0.1], bucket=sampling.key_bucket(["k"], modulus=10_000)),
+        sampling.hash_split(df, [0.9, 0.1], bucket=sampling.key_bucket(["k"], modulus=10_000), modulus=10_000),
+        sampling.hash_split(df, [5, 1, 0, 2], keys=["k"]),
+        sampling.random_split(df, [0.5, 0.5], 7),
+    ):
+        assert sum(p.count() for p in parts) == len(rows)
+    assert 0 < sampling.hash_split(spark.range(200_000), [0.0003, 0.9997], keys=["id"])[0].count() < 200
+
+
+def test_small_fractions(spark):
+    import pytest
+
+    df = spark.range(200_000)
+    assert 20 < sampling.hash_sample(df, 0.0004, keys=["id"]).count() < 160
+    with pytest.raises(ValueError, match="finer"):
+        sampling.hash_sample(df, 0.0004, bucket=sampling.arithmetic_bucket("id"))
+    with pytest.raises(ValueError, match="finer"):
+        sampling.hash_split(df, [0.0003, 1.0], bucket=sampling.arithmetic_bucket("id"))
+
+
+def test_seeded_random_operators_do_not_depend_on_layout(spark):
+    a, b = spark.range(0, 1000, numPartitions=4), spark.range(0, 1000, numPartitions=7)
+    ids = lambda d: sorted(r.id for r in d.collect())
+    for x, y in zip(sampling.random_split(a, [0.8, 0.2], 3), sampling.random_split(b, [0.8, 0.2], 3)):
+        assert ids(x) == ids(y)
+    assert ids(sampling.bernoulli_sample(a, 0.1, 5)) == ids(sampling.bernoulli_sample(b, 0.1, 5))
+    assert ids(sampling.bernoulli_sample(a, 0.1, 5)) != ids(sampling.bernoulli_sample(a, 0.1, 6))
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from tessera import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_lookup_join_broadcasts_only_small_sides(spark):
