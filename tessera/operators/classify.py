@@ -50,7 +50,7 @@ def with_vector(df: DataFrame, features_col: str = "features", categorical: Mapp
 
 def fit_tree(train: DataFrame, impurity: str = "gini", depth: int = 4, bins: int = 100, seed: int = 0) -> DecisionTreeClassificationModel:
     """``trainClassifier(data, classes, categorical, impurity, depth, bins)``."""
-    return DecisionTreeClassifier(impurity=impurity, maxDepth=depth, maxBins=bins, seed=seed, labelCol="label", featuresCol="features").fit(train)
+    return DecisionTreeClassifier(impurity=impurity, maxDepth=depth, maxBins=bins, seed=seed, labelCol="label", featuresCol="features", maxMemoryInMB=1000).fit(train)
 
 
 def fit_forest(
@@ -66,6 +66,10 @@ def fit_forest(
         seed=seed,
         labelCol="label",
         featuresCol="features",
+        # Deep forests split thousands of nodes a level: more nodes per pass over the
+        # data, and each row's node kept instead of walking the trees again.
+        maxMemoryInMB=2000,
+        cacheNodeIds=True,
     ).fit(train)
 
 

@@ -170,68 +170,101 @@ def q_sample_roundtrip(spark, sf):
     return out.select("pos", "count", *[X.round6(c).alias(c) for c in ["mean", "min", "max"]])
 
 
-# ---- random and fitted (rows-only) ----
+# ---- random and fitted ----
+# SQL states rows, ids and totals; the fitted values are property-tested.
+
+# The analysis' parameters.  (Its ``runs`` setting has had no effect since Spark 2.1; the tuned
+# model keeps the best of that many seeds, the sweeps fit each k once.)
+RAW_KS = range(5, 41, 5)
+RAW_TUNED_KS = range(30, 101, 10)
+NUMERIC_KS = range(60, 121, 10)
+ENCODED_KS = range(60, 201, 10)
+TUNED_K, FINAL_K, RUNS = 100, 150, 10
 
 
 def q_bernoulli_sample(spark, sf):
-    return sampling.bernoulli_sample(emb(spark, sf), SAMPLE_FRACTION, SEED).select("vec_id", "label")
+    return sampling.bernoulli_sample(emb(spark, sf).select("vec_id", "label"), SAMPLE_FRACTION, SEED, keys=["vec_id"])
 
 
 def q_random_split(spark, sf):
-    parts = sampling.random_split(emb(spark, sf), [0.8, 0.1, 0.1], SEED)
+    """Every row in exactly one part."""
+    parts = sampling.random_split(emb(spark, sf).select("vec_id"), [0.8, 0.1, 0.1], SEED, keys=["vec_id"])
     tagged = [p.select("vec_id", F.lit(i).alias("part")) for i, p in enumerate(parts)]
     out = tagged[0]
     for t in tagged[1:]:
         out = out.unionByName(t)
-    return out
+    return out.groupBy("vec_id").agg(F.count(F.lit(1)).alias("parts"))
+
+
+def _normalized(spark, sf):
+    m = mixed(spark, sf)
+    means, sds = features.moments(m, "features", N_MIXED)
+    return _kept(features.zscore(m, "features", means, sds).select("line", "label", "features"))
 
 
 def _normalized_encoded(spark, sf):
-    # Parsed once and kept (as the reference caches its parsed records): the
-    # category sets, the moments and the fit each read it again.
-    m = mixed(spark, sf).persist()
+    # Parsed once and kept: the category sets, the moments and the fit each read it again.
+    m = _kept(mixed(spark, sf))
     enc, _ = features.one_hot(m, "features", CATS)
     width = N_MIXED + sum(CAT_SIZES)
     means, sds = features.moments(enc, "features", width)
-    return features.zscore(enc, "features", means, sds)
+    return _kept(features.zscore(enc, "features", means, sds).select("line", "label", "features"))
+
+
+def _label_totals(counts: DataFrame, k: int) -> DataFrame:
+    """Per label: its rows over all clusters, and whether all cluster ids are below ``k``."""
+    return counts.groupBy("label").agg(F.sum("count").alias("rows"), F.max((F.col("cluster") >= k).cast("int")).alias("beyond"))
+
+
+def _swept(sweep: DataFrame, value: str) -> DataFrame:
+    return sweep.select("k", (F.col(value) >= 0).alias("measured"))
 
 
 def q_kmeans_default(spark, sf):
-    m = mixed(spark, sf).persist()
-    model = cluster.fit_kmeans(m, k=2, seed=SEED)
-    centers = cluster.centers_from_model(model)
-    return cluster.cluster_label_counts(cluster.assign(m, centers))
+    m = _kept(mixed(spark, sf))
+    centers = cluster.centers_from_model(cluster.fit_kmeans(m, k=2, seed=SEED))
+    return _label_totals(cluster.cluster_label_counts(cluster.assign(m, centers)), 2)
 
 
 def q_kmeans_tuned(spark, sf):
-    # Fitted once and scored once: keep the prepared features for both passes.
-    data = _normalized_encoded(spark, sf).persist()
-    model = cluster.fit_kmeans(data, k=10, tol=1e-6, seed=SEED, runs=2)
-    return cluster.cluster_label_counts(cluster.assign(data, cluster.centers_from_model(model)))
+    data = _normalized_encoded(spark, sf)
+    model = cluster.fit_kmeans(data, k=TUNED_K, tol=1e-6, seed=SEED, runs=RUNS)
+    return _label_totals(cluster.cluster_label_counts(cluster.assign(data, cluster.centers_from_model(model))), TUNED_K)
 
 
 def q_kmeans_centers(spark, sf):
     data = _normalized_encoded(spark, sf)
-    model = cluster.fit_kmeans(data, k=10, tol=1e-6, seed=SEED)
-    return cluster.centers_table(spark, cluster.centers_from_model(model))
+    model = cluster.fit_kmeans(data, k=FINAL_K, tol=1e-6, seed=SEED)
+    table = cluster.centers_table(spark, cluster.centers_from_model(model))
+    return table.groupBy("pos").agg(F.min("cluster").alias("first"), (F.max("cluster") < FINAL_K).alias("below_k"))
+
+
+def q_k_sweep_raw(spark, sf):
+    return _swept(cluster.k_sweep(mixed(spark, sf), RAW_KS, tol=1e-4, seed=SEED, parallel=4), "mean_distance")
+
+
+def q_k_sweep_raw_tuned(spark, sf):
+    return _swept(cluster.k_sweep(mixed(spark, sf), RAW_TUNED_KS, seed=SEED, parallel=4), "mean_distance")
+
+
+def q_k_sweep_numeric(spark, sf):
+    return _swept(cluster.k_sweep(_normalized(spark, sf), NUMERIC_KS, seed=SEED, parallel=4), "mean_distance")
 
 
 def q_k_sweep(spark, sf):
-    return cluster.k_sweep(_normalized_encoded(spark, sf), [5, 10, 15], seed=SEED)
+    return _swept(cluster.k_sweep(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4), "mean_distance")
 
 
 def q_k_sweep_entropy(spark, sf):
-    return cluster.k_sweep_entropy(_normalized_encoded(spark, sf), [5, 10, 15], seed=SEED, parallel=3)
+    return _swept(cluster.k_sweep_entropy(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4), "weighted_entropy")
 
 
 def q_anomaly_pipeline(spark, sf):
     """One feature pipeline (one-hot → z-score) for fit, threshold and scoring; original lines returned."""
-    data = _normalized_encoded(spark, sf).persist()
-    model = cluster.fit_kmeans(data, k=10, tol=1e-6, seed=SEED)
-    centers = cluster.centers_from_model(model)
-    d = cluster.distance_to_center(data, centers).withColumn("distance", X.round6("distance"))
-    t = cluster.nth_largest(d, "distance", THRESHOLD_RANK).first()["threshold"]
-    return cluster.first_anomalies(cluster.anomalies(d, t), 10, tie=["line"]).select("distance", "line")
+    data = _normalized_encoded(spark, sf)
+    model = cluster.fit_kmeans(data, k=FINAL_K, tol=1e-6, seed=SEED)
+    d = cluster.distance_to_center(data, cluster.centers_from_model(model)).withColumn("distance", X.round6("distance"))
+    return cluster.first_anomalies(_above_threshold(d.select("distance", "line")), 10, tie=["line"]).select("distance", "line")
 
 
 # ---- SQL twins ----
@@ -289,7 +322,22 @@ th AS (SELECT min(distance) AS threshold FROM (SELECT distance FROM a ORDER BY d
 
 _ENTROPY = """SELECT -sum(p * ln(p)) AS h FROM (SELECT count(*) / sum(count(*)) OVER () AS p FROM {src} GROUP BY {key})"""
 
+def _sweep_sql(ks) -> str:
+    return f"SELECT CAST(unnest(range({ks.start}, {ks.stop}, {ks.step})) AS INTEGER) AS k, true AS measured"
+
+
+_LABEL_TOTALS = "SELECT label, count(*) AS rows, 0 AS beyond FROM mixed GROUP BY label"
+
 SQL = {
+    "random_split": "SELECT vec_id, CAST(1 AS BIGINT) AS parts FROM embeddings",
+    "kmeans_default": _MIXED + _LABEL_TOTALS,
+    "kmeans_tuned": _MIXED + _LABEL_TOTALS,
+    "kmeans_centers": f"SELECT CAST(unnest(range(0, {N_MIXED + sum(CAT_SIZES)})) AS INTEGER) AS pos, 0 AS first, true AS below_k",
+    "k_sweep_raw": _sweep_sql(RAW_KS),
+    "k_sweep_raw_tuned": _sweep_sql(RAW_TUNED_KS),
+    "k_sweep_numeric": _sweep_sql(NUMERIC_KS),
+    "k_sweep": _sweep_sql(ENCODED_KS),
+    "k_sweep_entropy": _sweep_sql(ENCODED_KS),
     "mixed_parse": _MIXED + "SELECT label, " + ", ".join(f"round(n{j}, 6) AS f{j}" for j in range(N_MIXED)) + " FROM mixed",
     "label_counts": _MIXED + "SELECT label, count(*) AS count FROM mixed GROUP BY label",
     "label_cardinality": _MIXED + "SELECT count(DISTINCT label) AS n_distinct FROM mixed",
@@ -356,6 +404,9 @@ QUERIES = {
     "kmeans_default": q_kmeans_default,
     "kmeans_tuned": q_kmeans_tuned,
     "kmeans_centers": q_kmeans_centers,
+    "k_sweep_raw": q_k_sweep_raw,
+    "k_sweep_raw_tuned": q_k_sweep_raw_tuned,
+    "k_sweep_numeric": q_k_sweep_numeric,
     "k_sweep": q_k_sweep,
     "k_sweep_entropy": q_k_sweep_entropy,
     "anomaly_pipeline": q_anomaly_pipeline,

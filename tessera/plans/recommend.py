@@ -169,7 +169,8 @@ def q_mean_auc(spark, sf):
     return out.select(X.round6("mean_auc").alias("mean_auc"), "users")
 
 
-# ---- fitted models (rows-only checks) ----
+# ---- fitted models ----
+# SQL states which rows a fitted result has; the scores are property-tested.
 
 ALS_SEED = 7
 
@@ -180,15 +181,18 @@ def _als(spark, sf, rank=10, max_iter=5, reg=0.01, alpha=1.0):
 
 
 def q_als_predict(spark, sf):
+    """The held-out pairs the model can score (user and item known from training)."""
     model, _, cv = _als(spark, sf)
-    return recommend.als_predictor(model)(cv.select("user", "item"))
+    scored = recommend.als_predictor(model)(cv.select("user", "item"))
+    return scored.select("user", "item", (~F.isnan("score")).alias("scored"))
 
 
 def q_factor_text(spark, sf):
+    """L2: every factor of both sides as text; here its id and number of values."""
     model, _, _ = _als(spark, sf)
     u = recommend.factor_text(model.userFactors).withColumn("side", F.lit("user"))
     i = recommend.factor_text(model.itemFactors).withColumn("side", F.lit("item"))
-    return u.unionByName(i).withColumn("rank", F.lit(model.rank))
+    return u.unionByName(i).select("id", "side", F.size(F.split("text", ", ")).alias("n_values"))
 
 
 def _some_users(cv: DataFrame) -> DataFrame:
@@ -198,18 +202,21 @@ def _some_users(cv: DataFrame) -> DataFrame:
 
 def q_recommend_top_n(spark, sf):
     model, _, cv = _als(spark, sf)
-    return recommend.recommend(model, _some_users(cv), TOP_N)
+    recs = recommend.recommend(model, _some_users(cv), TOP_N)
+    return recs.select("user", "rank", (~F.isnan("score")).alias("scored"))
 
 
 def q_recommendation_names(spark, sf):
     model, _, cv = _als(spark, sf)
     recs = recommend.recommend(model, _some_users(cv), TOP_N)
-    return recs.join(names(spark, sf).withColumnRenamed("id", "item"), "item", "left")
+    named = recs.join(names(spark, sf).withColumnRenamed("id", "item"), "item", "left")
+    return named.select("user", "rank")
 
 
 def q_recommendation_lines(spark, sf):
     model, _, cv = _als(spark, sf)
-    return recommend.recommendation_lines(recommend.recommend(model, _some_users(cv), TOP_N))
+    lines = recommend.recommendation_lines(recommend.recommend(model, _some_users(cv), TOP_N))
+    return lines.select("user", F.size(F.split(F.substring_index("line", " -> ", -1), ", ")).alias("n_items"))
 
 
 def q_als_grid(spark, sf):
@@ -218,7 +225,8 @@ def q_als_grid(spark, sf):
     train, cv = split(spark, sf, ratings)
     pos = cv.select("user", "item")
     neg = sampling.negative_samples(pos, ratings.select("item"))
-    return recommend.als_grid(train, pos, neg, seed=ALS_SEED, parallel=4)
+    out = recommend.als_grid(train, pos, neg, seed=ALS_SEED, parallel=4)
+    return out.select("rank", "lambda", "alpha", F.col("auc").between(0, 1).alias("share"))
 
 
 # ---- SQL twins ----
@@ -263,7 +271,21 @@ ua AS (
 
 _BASE = with_views("ratings", "aliases", "canonical")
 
+_SOME = f""", wanted AS (SELECT "user" FROM (SELECT DISTINCT "user" FROM cv ORDER BY "user" LIMIT {SOME_USERS}) WHERE "user" IN (SELECT "user" FROM train))
+"""
+
 SQL = {
+    "als_predict": _BASE
+    + _SPLIT
+    + 'SELECT "user", item, true AS scored FROM cv WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)',
+    "factor_text": _BASE
+    + _SPLIT
+    + """SELECT DISTINCT "user" AS id, 'user' AS side, 10 AS n_values FROM train UNION ALL SELECT DISTINCT item, 'item', 10 FROM train""",
+    "recommend_top_n": _BASE + _SPLIT + _SOME + f'SELECT "user", CAST(unnest(range(1, {TOP_N + 1})) AS INTEGER) AS rank, true AS scored FROM wanted',
+    "recommendation_names": _BASE + _SPLIT + _SOME + f'SELECT "user", CAST(unnest(range(1, {TOP_N + 1})) AS INTEGER) AS rank FROM wanted',
+    "recommendation_lines": _BASE + _SPLIT + _SOME + f'SELECT "user", {TOP_N} AS n_items FROM wanted',
+    "als_grid": """SELECT * FROM (SELECT unnest([10, 50]) AS rank) CROSS JOIN (SELECT unnest([1.0, 0.0001])::DOUBLE AS lambda)
+CROSS JOIN (SELECT unnest([1.0, 40.0])::DOUBLE AS alpha) CROSS JOIN (SELECT true AS share)""",
     "ratings_parse": with_views("ratings") + 'SELECT "user", item, CAST(rating AS INTEGER) AS "count" FROM ratings',
     "id_stats": with_views("ratings")
     + """SELECT 'user' AS "column", count(*) AS count, round(avg("user"), 6) AS mean, round(stddev_pop("user"), 6) AS stdev,
