@@ -12,8 +12,11 @@ from tests.llm.test_suffixes import brute as brute_repeats
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+SYLLABLES = "an ber cho dra el fin gor hu is jal kem lo mir nat or pel qua rin sto tu vel wes yo zim".split()
+
+
 def prose(rnd, n):
-    return " ".join(rnd.choice(["river", "town", "people", "market", "winter", "garden", "letter", "window", "silver", "north"]) + str(rnd.randint(0, 400)) for _ in range(n))
+    return " ".join("".join(rnd.choice(SYLLABLES) for _ in range(rnd.randint(1, 4))) for _ in range(n))
 
 
 def documents(rnd, items):
