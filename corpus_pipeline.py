@@ -25,8 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, minhash, packing, quality, suffixes
-from tessera.llm.common import read_table
-from tessera.llm.minhash import held
+from tessera.llm.common import held, read_table
 
 SPAN_BYTES = 99
 

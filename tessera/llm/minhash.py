@@ -12,14 +12,16 @@ connect.
   at the threshold miss every bucket with probability about (1 - 0.8**4)**40,
   under 1e-9.
 * **Equal sets** are one class with one representative, so copies never meet.
-* **Stars**: in every bucket each member is compared with one centre only, so a
-  bucket of n members gives n - 1 candidates.  Candidates are confirmed on the
-  full sets of strings.
-* **No link lost**: members that a star left in other components than the rest
-  of their bucket meet further, differently chosen centres; then pairs of a
-  bucket that are still in different components are compared outright, unless
-  the sizes of the sets or the triangle inequality of the Jaccard distance
-  (through a centre both were compared with) exclude a link.
+* **Stars**: in every bucket each member is compared with one centre only, the
+  member that shares the most buckets with others, so a bucket of n members
+  gives n - 1 candidates.  Candidates are confirmed on the full sets of strings.
+* **No link lost**: two members x and y of a bucket that are not both linked to
+  its centre c may still be linked.  Let R and A be what a member lacks of c and
+  has beyond c.  If x is not linked to c, a link of x and y needs more than
+  ``q * |A_y| + (1 - q) * |R_y|`` differences in common, q = t / (1 + t) for
+  threshold t.  So some element of any sufficiently long part of y's differences
+  is among x's: an equi-join on (centre, difference) finds all such pairs, few
+  besides, and never all pairs of a bucket.
 
 Components are found by alternating large and small stars on DataFrames; links
 and labels stay distributed.
@@ -43,14 +45,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, quoted, read_table, window_codes
-from tessera.session import scratch_path
+from tessera.llm.common import held, mix64, quoted, read_table, window_codes
 
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 40, 4
 BINS = BANDS * ROWS
-STAR_ROUNDS = 4
 WALK = 2048
 U = np.uint64
 
@@ -140,19 +140,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     return rows.mapInArrow(sign, f"doc_id {kind}, text_key long, n_shingles long, node binary, bands array<long>")
 
 
-def held(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: no lineage, the same rows for every later use."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of ``edges (a, b)``: root is the smallest node of its component.
+    """``node, root`` for every node of ``edges (a, b)`` but the roots: root is the smallest node of its component.
 
     Alternating large and small stars: every node is re-linked to the smallest
-    node it knows, until nothing changes (a number of rounds that grows with
-    the logarithm of the component size).
+    node it knows, until all links lead straight to roots (a number of rounds
+    that grows with the logarithm of the component size).
     """
 
     def star(links: DataFrame, large: bool) -> DataFrame:
@@ -164,33 +157,42 @@ def connected(edges: DataFrame) -> DataFrame:
         least = seen.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         near = seen.join(least, "u")
         if large:
-            out = near.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
-            out = near.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+            return near.where("v > u AND v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        out = near.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
-    def state(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).collect()[0])
+    def settled(links: DataFrame) -> bool:
+        """No node has two links, and none that is linked to has a link itself."""
+        ends = links.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+            links.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+        )
+        sums = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+        return sums.where("out > 1 OR (out = 1 AND in = 1)").agg(F.count(F.lit(1))).collect()[0][0] == 0
 
-    links = held(edges.select("a", "b").where("a <> b").distinct(), "links")
-    before = state(links)
+    links = edges.select("a", "b").where("a <> b")
     while True:
         links = held(star(star(links, True), False), "links")
-        after = state(links)
-        if after == before:
+        if settled(links):
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = after
 
 
-def jaccard(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """Add ``shared`` and ``union`` (set sizes) to pairs (a, b), from the full sets of strings."""
+def jaccard(pairs: DataFrame, texts: DataFrame, shingle: int, differences: bool = False) -> DataFrame:
+    """Add ``shared`` and ``union`` (set sizes) to pairs (a, b), from the full sets of strings.
+
+    With ``differences`` also ``added`` and ``removed``: hashes of what ``a`` has
+    beyond ``b``, and lacks of it.
+    """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
+    def hashes(items: set[bytes], salt: int) -> list[int]:
+        # Signed 64-bit values in a fixed order.
+        return sorted(xxhash.xxh3_64_intdigest(x, salt) - (1 << 63) for x in items)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, set()
         for batch in batches:
-            shared, union = [], []
+            shared, union, added, removed = [], [], [], []
             for b, ta, tb in zip(batch.column(1), batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary()), strict=True):
                 if b.as_py() != last:  # rows of one centre mostly follow each other
                     last, known = b.as_py(), shingle_strings(tb.as_py(), shingle)
@@ -198,10 +200,16 @@ def jaccard(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                 both = len(other & known)
                 shared.append(both)
                 union.append(len(other) + len(known) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "shared", "union"])
+                added.append(hashes(other - known, 1) if differences else None)
+                removed.append(hashes(known - other, 2) if differences else None)
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(union, pa.int64()), pa.array(added, longs), pa.array(removed, longs)],
+                names=["a", "b", "shared", "union", "added", "removed"],
+            )
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(compare, "a binary, b binary, shared long, union long")
+    return joined.mapInArrow(compare, "a binary, b binary, shared long, union long, added array<long>, removed array<long>")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -216,7 +224,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # A class stands in a bucket once, also when two of its bands had equal keys.
     spread = classes.select("node", "n", F.explode(F.array_distinct("bands")).alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
+    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = held(spread.join(shared, "bucket"), "members")
     wanted = members.select("node").distinct().join(classes.select("node", "r.doc_id", "r.text_key"), "node")
     source = docs.select(quoted(id_col).alias("doc_id"), F.xxhash64(quoted(text_col)).alias("text_key"), quoted(text_col).alias("text"))
@@ -224,45 +232,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     match = wanted["doc_id"].eqNullSafe(source["doc_id"]) & (wanted["text_key"] == source["text_key"])
     texts = held(source.join(wanted, match).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    size_fits = "100 * least(n, cn) >= {} * greatest(n, cn)".format(percent)
     link = f"100 * shared >= {percent} * union"
-    roots = None  # node -> root of the links found so far; nodes without a row are their own root
-    links = None
-    tried = None
+    # Centre of a bucket: the member with the most company over all its buckets (then the smaller
+    # node), which is the text the others are copies of, or close to it.
+    company = members.groupBy("node").agg(F.sum("members").alias("company"))
+    ranked = members.join(company, "node").withColumn("rank", F.struct((-F.col("company")).alias("k"), F.col("node").alias("c")))
+    centres = ranked.groupBy("bucket").agg(F.min("rank").alias("m")).select("bucket", "m.c")
+    star = members.join(centres, "bucket").where("node <> c").select(F.col("node").alias("a"), F.col("c").alias("b")).distinct()
+    scored = held(jaccard(star, texts, shingle, differences=True), "scored")
+    links = scored.where(link).select("a", "b")
+    roots = connected(links)
+    rest = across(scored, roots, link, percent)
+    fits = classes.select("node", "n")
+    rest = rest.join(fits.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(fits.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    rest = held(rest.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"), "rest")
+    more = held(jaccard(rest, texts, shingle).where(link).select("a", "b"), "more")
+    if not more.isEmpty():
+        roots = connected(links.unionByName(more))
 
     def rooted(df: DataFrame) -> DataFrame:
-        if roots is None:
-            return df.withColumn("root", F.col("node"))
         return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def contested() -> DataFrame:
-        """Members of the buckets that still hold several components."""
-        all_ = rooted(members)
-        mixed = all_.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-        return held(all_.join(mixed, "bucket"), "contested")
-
-    def confirm(pairs: DataFrame) -> None:
-        nonlocal roots, links, tried
-        fresh = pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        scored = held(jaccard(fresh, texts, shingle), "scored")
-        tried = scored if tried is None else tried.unionByName(scored)
-        good = scored.where(link).select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        roots = connected(links)
-
-    for turn in range(STAR_ROUNDS):
-        open_ = contested()
-        if open_.isEmpty():
-            break
-        # The same order of centres in all buckets of a turn, another one each turn.
-        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("c"), F.col("n").alias("cn"), F.col("root").alias("croot"))
-        centres = open_.groupBy("bucket").agg(F.min(rank).alias("m")).select("bucket", "m.c", "m.cn", "m.croot")
-        pairs = open_.join(centres, "bucket").where("root <> croot").where(size_fits).select(F.col("node").alias("a"), F.col("c").alias("b")).distinct()
-        confirm(pairs)
-    else:
-        open_ = contested()
-        if not open_.isEmpty():
-            confirm(rest_of_pairs(open_, tried, percent))
     found = rooted(classes.select("node", "first_id"))
     label = found.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labelled = found.join(label, "root").select("node", "component_id")
@@ -271,27 +261,23 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def rest_of_pairs(open_: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components that neither size nor triangle inequality excludes.
+def across(scored: DataFrame, roots: DataFrame, link: str, percent: int) -> DataFrame:
+    """Pairs (a, b) compared with the same centre, a not linked to it, in different components, that can be linked.
 
-    The Jaccard distance is a metric: if x and y were both compared with c, then
-    d(x, y) >= |d(x, c) - d(y, c)|.
+    ``b`` offers the part of its differences that a link cannot avoid (what it
+    has beyond the centre first: such elements are rare); ``a`` all of its.
     """
-    one = open_.select("bucket", F.col("node").alias("a"), F.col("n"), F.col("root").alias("ra"))
-    two = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("cn"), F.col("root").alias("rb"))
-    pairs = one.join(two, "bucket").where("ra < rb").where(f"100 * least(n, cn) >= {percent} * greatest(n, cn)").select("a", "b").distinct()
-    # Either order of a pair may have been tried.
-    done = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    far = 1.0 - percent / 100.0 + 1e-9
-    away = tried.select(F.col("a").alias("x"), F.col("b").alias("c"), (1.0 - F.col("shared") / F.col("union")).alias("d"))
-    apart = (
-        pairs.join(away.select(F.col("x").alias("a"), "c", F.col("d").alias("da")), "a")
-        .join(away.select(F.col("x").alias("b"), "c", F.col("d").alias("db")), ["b", "c"])
-        .where(F.abs(F.col("da") - F.col("db")) > far)
-        .select("a", "b")
-        .distinct()
+    root = roots.select(F.col("node").alias("a"), "root")
+    known = scored.join(root, "a", "left").withColumn("root", F.coalesce("root", "a"))
+    odd = known.where(f"NOT ({link})").select("b").distinct()
+    every = F.concat("added", "removed")
+    spare = F.floor((F.size("added") * percent + F.size("removed") * 100) / (100 + percent)).cast("int")
+    x = known.where(f"NOT ({link})").select("a", "b", "root", F.explode(every).alias("e"))
+    y = known.join(odd, "b", "left_semi").select(
+        F.col("a").alias("y"), "b", F.col("root").alias("yroot"), F.explode(F.slice(every, F.lit(1), F.size(every) - spare)).alias("e")
     )
-    return pairs.join(done, ["a", "b"], "left_anti").join(apart, ["a", "b"], "left_anti")
+    met = x.join(y, ["b", "e"]).where("root <> yroot").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b"))
+    return met.distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -64,13 +64,43 @@ def test_chain_links_reach_the_smallest_id(spark):
     assert len(set(got.values())) == 1
 
 
-def test_leftover_pairs_are_compared_outright(spark, monkeypatch):
-    # Without any star round, the outright comparison alone must find every link.
-    monkeypatch.setattr(M, "STAR_ROUNDS", 1)
-    rows = near_copies(random.Random(77), 8)
+def test_odd_members_of_a_bucket_find_each_other(spark):
+    # Copies of one text with nested edits: some are linked to each other but not to the centre.
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1000, " ".join(base))] + [(2000 + k, " ".join(base[: 99 - k % 3]) + f" tail{k}") for k in range(30)]
+    for k in range(12):
+        words = list(base)
+        for at in rnd.sample(range(100), 14):
+            words[at] = f"v{k // 3}-{at}"
+        for c in range(4):
+            own = list(words)
+            for at in rnd.sample(range(100), c):
+                own[at] = f"own{k}-{c}"
+            rows.append((10 * k + c, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in M.components(df, shingle=2).collect()}
     assert got == {i: c for (i, _), (_, c) in zip(rows, brute(rows, 2), strict=True)}
+    assert len(set(got.values())) > 3
+
+
+def test_needed_differences_bound():
+    # The join of ``across`` must meet every linked pair whose first text is not linked to the centre.
+    rnd = random.Random(12)
+    met = 0
+    for _ in range(4000):
+        c = set(range(rnd.randint(3, 20)))
+        pool = [100 + i for i in range(6)]
+        x, y = ({e for e in c if rnd.random() > 0.2} | set(rnd.sample(pool, rnd.randint(0, 5))) for _ in range(2))
+        if not x or not y or 100 * len(x & c) >= 80 * len(x | c) or 100 * len(x & y) < 80 * len(x | y) or x == y:
+            continue
+        added, removed = sorted(y - c), sorted(c - y)
+        spare = (len(added) * 80 + len(removed) * 100) // 180
+        part = [(e, 0) for e in added] + [(e, 1) for e in removed]
+        mine = {(e, 0) for e in x - c} | {(e, 1) for e in c - x}
+        assert mine & set(part[: len(part) - spare])
+        met += 1
+    assert met > 50
 
 
 def test_signature_misses_are_rare():
