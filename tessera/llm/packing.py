@@ -54,6 +54,16 @@ UNITS = 1024
 SMALL = 4
 
 
+def _byte_units() -> list[str]:
+    """The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the others for 256, 257, ..."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+
+
+_BYTE_UNITS = _byte_units()
+
+
 class WordCache:
     """Token ids (little-endian uint32 bytes) per white-space separated word, as the tokenizer gives them.
 
@@ -82,13 +92,17 @@ class WordCache:
 
     def _encode(self, word: bytes) -> bytes:
         core = word.rstrip(b".,;:!?")
-        if core.isalpha():  # ASCII letters only
+        text = core.decode()
+        low = text.lower()
+        # Latin letters only: normalisation leaves their lower case as it is, and they are one unit
+        # of the tokenizer, so its model can be asked directly (in its byte alphabet).
+        if text.isalpha() and low.isalpha() and low.isprintable() and max(low) < "\u0250" and len(low) == len(text):
             if len(core) < len(word):
                 return self._look(core) + self._look(word[len(core) :])
-            low = core.lower()
-            if low != core:
-                return self._look(low)
-            return np.array([t.id for t in self.tokenizer.model.tokenize(low.decode())], dtype="<u4").tobytes()
+            if low != text:
+                return self._look(low.encode())
+            units = "".join([_BYTE_UNITS[b] for b in core])
+            return np.array([t.id for t in self.tokenizer.model.tokenize(units)], dtype="<u4").tobytes()
         return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: bytes) -> bytes:
