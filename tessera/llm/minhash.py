@@ -17,11 +17,12 @@ connect.
   gives n - 1 candidates.  Candidates are confirmed on the full sets of strings.
 * **No link lost**: two members x and y of a bucket that are not both linked to
   its centre c may still be linked.  Let R and A be what a member lacks of c and
-  has beyond c.  If x is not linked to c, a link of x and y needs more than
-  ``q * |A_y| + (1 - q) * |R_y|`` differences in common, q = t / (1 + t) for
-  threshold t.  So some element of any sufficiently long part of y's differences
-  is among x's: an equi-join on (centre, difference) finds all such pairs, few
-  besides, and never all pairs of a bucket.
+  has beyond c, and q = t / (1 + t) for threshold t.  A link of x and y needs
+  ``q (|A_x| + |A_y|) + (1 - q) (|R_x| + |R_y|) - (1 - 2q) |c|`` differences in
+  common; if x is not linked to c that is more than y's own terms.  So some
+  element of any sufficiently long part of y's differences is among x's: an
+  equi-join on (centre, difference) finds all such pairs, few besides, and never
+  all pairs of a bucket.
 
 Components are found by alternating large and small stars on DataFrames; links
 and labels stay distributed.
@@ -264,19 +265,26 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def across(scored: DataFrame, roots: DataFrame, link: str, percent: int) -> DataFrame:
     """Pairs (a, b) compared with the same centre, a not linked to it, in different components, that can be linked.
 
-    ``b`` offers the part of its differences that a link cannot avoid (what it
-    has beyond the centre first: such elements are rare); ``a`` all of its.
+    ``y`` offers the part of its differences that a link with ``x`` cannot avoid (what
+    it has beyond the centre first: such elements are rare), ``x`` all of its.  The
+    part is shorter the farther ``x`` is from the centre, and empty where the
+    triangle inequality of the Jaccard distance rules a link out.
     """
     root = roots.select(F.col("node").alias("a"), "root")
     known = scored.join(root, "a", "left").withColumn("root", F.coalesce("root", "a"))
     odd = known.where(f"NOT ({link})").select("b").distinct()
     every = F.concat("added", "removed")
-    spare = F.floor((F.size("added") * percent + F.size("removed") * 100) / (100 + percent)).cast("int")
-    x = known.where(f"NOT ({link})").select("a", "b", "root", F.explode(every).alias("e"))
+    # In units of 1 / (100 + percent): what y's own differences ask for, and what x asks for beyond
+    # that (more, the farther x is from the centre, whose size is shared + removed).
+    own = F.size("removed") * 100 + F.size("added") * percent
+    excess = own - (F.col("shared") + F.size("removed")) * (100 - percent)
+    x = known.where(f"NOT ({link})").select("a", "b", "root", excess.alias("excess"), F.explode(every).alias("e"))
     y = known.join(odd, "b", "left_semi").select(
-        F.col("a").alias("y"), "b", F.col("root").alias("yroot"), F.explode(F.slice(every, F.lit(1), F.size(every) - spare)).alias("e")
+        F.col("a").alias("y"), "b", F.col("root").alias("yroot"), own.alias("own"), F.size(every).alias("size"), F.posexplode(every).alias("at", "e")
     )
-    met = x.join(y, ["b", "e"]).where("root <> yroot").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b"))
+    # With o common differences needed, one is among the first size - o + 1 of y's.
+    needed = (F.col("excess") + F.col("own")) <= (F.col("size") - F.col("at")) * (100 + percent)
+    met = x.join(y, ["b", "e"]).where((F.col("root") != F.col("yroot")) & needed).select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b"))
     return met.distinct()
 
 
