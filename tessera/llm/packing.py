@@ -11,8 +11,9 @@ piece lengths (at most ``capacity`` numbers) reaches the driver.  There:
   prices the best configuration under the current weights.
 * The solution is rounded to whole configurations, never covering a length more
   often than it occurs, and the program is solved again for what is left; the
-  last rest and the short pieces are packed by best fit decreasing, also on the
-  histogram.
+  last rest is packed by best fit decreasing, also on the histogram.
+* Programs over the long pieces first, over the short ones that exceed their free
+  space, and over all lengths are compared; the plan of fewest sequences is taken.
 
 The result is a table of intervals "pieces of length L with rank in [a, b) go
 to these slots", whose size depends on the capacity, not on the corpus.  A
@@ -49,9 +50,11 @@ RATE = 1.0
 STEP = 0.5
 #: A configuration's value starts from size ** POWER: few long pieces before many short ones.
 POWER = 1.5
-#: The program's sizes are in 1/1024 of the capacity; pieces up to 1/4 of it are left to best fit.
+#: The program's sizes are in 1/1024 of the capacity; the first program is over pieces above 1/4 of it.
 UNITS = 1024
 SMALL = 4
+#: A plan this share (or one sequence) above the volume bound, which no plan can beat, is not tried again.
+GAP = 0.001
 
 
 def _byte_units() -> list[str]:
@@ -298,22 +301,20 @@ def fill(times: int, config: dict[int, int], supply: dict[int, list[list[int]]])
         yield same, tuple(sorted(content.items(), reverse=True))
 
 
-def plan(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS, solves: int = SOLVES) -> list[Group]:
-    """Whole configurations that hold every piece of the histogram exactly once.
+def cover(left: np.ndarray, capacity: int, above: int, iterations: int, solves: int) -> list[Group]:
+    """Whole configurations of pieces longer than ``above``; what they hold is taken out of ``left``.
 
-    The linear program is over the long pieces (above ``capacity / SMALL``) in
-    classes of ``capacity / UNITS`` tokens, rounded up, which bounds its size.  It is
-    solved and rounded down several times, each time on what the last rounding
-    left; the rest and the short pieces then go to the free space by best fit.
+    The program has classes of ``capacity / UNITS`` tokens, rounded up, which
+    bounds its size.  It is solved and rounded down several times, each time on
+    what the last rounding left.
     """
-    left = counts.astype(np.int64).copy()
     step = max(1, capacity // UNITS)
     units = capacity // step
     supply: dict[int, list[list[int]]] = {}
     classes = np.zeros(units + 1, dtype=np.int64)
-    for length in range(1, capacity + 1):  # ascending, so the longest is taken first (from the end)
+    for length in range(above + 1, capacity + 1):  # ascending, so the longest is taken first (from the end)
         c = -(-length // step)
-        if left[length] and length > capacity // SMALL and c <= units:
+        if left[length] and c <= units:
             supply.setdefault(c, []).append([length, int(left[length])])
             classes[c] += left[length]
     begun: list[Group] = []
@@ -330,7 +331,39 @@ def plan(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS, solves
                         left[length] -= group[0] * k
         if int(classes.sum()) in (0, before):
             break
-    return best_fit(left, capacity, begun)
+    return begun
+
+
+def plan(counts: np.ndarray, capacity: int, iterations: int = ITERATIONS, solves: int = SOLVES) -> list[Group]:
+    """Whole configurations that hold every piece of the histogram exactly once: the fewest of up to three plans.
+
+    The first has a program over the long pieces (above ``capacity / SMALL``);
+    the rest goes to the free space by best fit.  Unless that is within ``GAP`` of the
+    volume bound, the second solves the program again over the rest that exceeds the
+    free space of the long pieces' sequences, and the third has one program over
+    all lengths.  Pieces so short that rounding to classes would cost them more
+    than a sixteenth stay with best fit, which they let fill any sequence.
+    """
+    sizes = np.arange(len(counts))
+    sequences = lambda groups: sum(n for n, _ in groups)
+    step = max(1, capacity // UNITS)
+    least = 0 if step == 1 else 16 * step
+    left = counts.astype(np.int64).copy()
+    bound = -(-int(np.dot(sizes, left)) // capacity)
+    begun = cover(left, capacity, capacity // SMALL, iterations, solves)
+    plans = [best_fit(left, capacity, begun)]
+    if sequences(plans[0]) > bound + max(1, int(GAP * bound)):
+        spare = sum(n * (capacity - sum(x * k for x, k in content)) for n, content in begun)
+        volume = int(np.dot(sizes, left))
+        if volume - spare >= capacity:
+            part = np.floor(left * ((volume - spare) / volume)).astype(np.int64)
+            rest = left - part
+            more = cover(part, capacity, least, iterations, solves)
+            plans.append(best_fit(rest + part, capacity, begun + more))
+        left = counts.astype(np.int64).copy()
+        begun = cover(left, capacity, least, iterations, solves)
+        plans.append(best_fit(left, capacity, begun))
+    return min(plans, key=sequences)
 
 
 class Slots:

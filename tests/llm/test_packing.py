@@ -93,6 +93,23 @@ def test_plan_places_each_piece_once():
         assert bins <= 1.03 * bound + 1
 
 
+def test_short_pieces_go_through_the_program():
+    n, capacity = 1000, 4096
+    short = np.zeros(capacity + 1, dtype=np.int64)
+    short[900], short[748] = 2 * n, 3 * n  # 2 * 900 + 3 * 748 = 4044: n sequences, best fit alone makes 1.1 n
+    mixed = short.copy()
+    mixed[3000], mixed[2000], mixed[40] = 500, 700, 300
+    for counts, most in ((short, 1.02 * n), (mixed, 1.02 * (n + 850))):
+        configs = P.plan(counts, capacity)
+        assert sum(k for k, _ in configs) <= most
+        held = np.zeros_like(counts)
+        for k, content in configs:
+            assert sum(x * c for x, c in content) <= capacity
+            for x, c in content:
+                held[x] += k * c
+        assert (held == counts).all()
+
+
 def test_price_is_the_best_bounded_knapsack():
     import itertools
 
