@@ -9,8 +9,8 @@ Base rules come first: too few words, or too many words inside repeated 3-word
 windows.
 
 Cases: a null or empty text has no words and fails the base rules; a text
-shorter than one chunk is one chunk; a last partial chunk is measured only with
-the whole text; equal rows get equal verdicts; an empty table gives an empty
+shorter than one chunk is one chunk; a last partial chunk is measured by the
+last ``chunk_bytes`` of the text; equal rows get equal verdicts; an empty table gives an empty
 result; result columns replace input columns of the same name.
 """
 
@@ -94,6 +94,8 @@ def verdict(text: bytes, params: QualityParams, z: zstandard.ZstdCompressor) ->
     ratio = len(z.compress(text)) / size
     step = params.chunk_bytes
     parts = [text[i : i + step] for i in range(0, size - step + 1, step)] or [text]
+    if size > step and size % step:
+        parts.append(text[-step:])  # of full length, so the same band holds
     band = band_of(len(parts[0]), params.chunks)
     found = [len(z.compress(p)) / len(p) for p in parts]
     bad = sum(not band.low <= r <= band.high for r in found)

@@ -1,7 +1,9 @@
+import base64
 import random
 import re
 from collections import Counter
 
+import zstandard
 from tessera.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,6 +64,25 @@ def test_ratios_and_length_bands():
     assert [quality.band_of(n, quality.WHOLE_BANDS).below for n in (1, 511, 512, 10**9)] == [512, 512, 1024, float("inf")]
 
 
+def test_encoded_tail_shorter_than_a_chunk():
+    rnd = random.Random(3)
+    z, p = zstandard.ZstdCompressor(level=3), quality.QualityParams()
+    vocabulary = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 7))) for _ in range(250)]
+    plain = 0
+    for _ in range(30):
+        text = b""
+        while len(text) < 2200:
+            text += rnd.choice(vocabulary).encode() + b" "
+        if not quality.verdict(text, p, z)[0]:
+            continue
+        plain += 1
+        ok, ratio, _, high, bad, reason = quality.verdict(text + base64.b64encode(rnd.randbytes(1275)), p, z)
+        assert (ok, reason, bad) == (False, "chunks", 1) and ratio <= 0.70 < high
+        # Whole chunks alone have no further tail.
+        assert quality.verdict(text[:2048], p, z)[2] == quality.verdict(text[:2048], p, z)[3]
+    assert plain >= 20
+
+
 def test_empty_table_and_columns(spark):
     df = spark.createDataFrame([], "doc_id long, `a.b` int, text string")
     assert quality.compression_bands(df).count() == 0
