@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, licenses, maxent, minhash, packing, quality, suffixes, urls, warc
+from tessera.llm import codes, decontaminate, langid, licenses, maxent, minhash, packing, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.q_warc,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_maxent": maxent.q_maxent,
     "op9_urls": urls.q_urls,
     "op10_decontaminate": decontaminate.q_decontaminate,
+    "op11_codes": codes.q_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -30,4 +31,5 @@ SQL: dict[str, str] = {
     "op7_minhash": minhash.SQL,
     "op9_urls": urls.SQL,
     "op10_decontaminate": decontaminate.SQL,
+    "op11_codes": codes.SQL,
 }
