@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import codes, decontaminate, langid, licenses, maxent, minhash, packing, periodic, quality, suffixes, urls, warc
+from tessera.llm import codes, decontaminate, langid, licenses, maxent, minhash, multiindex, packing, periodic, quality, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.q_warc,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": urls.q_urls,
     "op10_decontaminate": decontaminate.q_decontaminate,
     "op11_codes": codes.q_codes,
+    "op12_nearest": multiindex.q_nearest,
     "op13_periodic": periodic.q_periodic,
     "pipeline": corpus_pipeline.run,
 }
