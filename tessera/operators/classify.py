@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
 from tessera.operators.jobs import map_jobs
+from tessera.operators.keys import spread
 
 
 def decode_one_hot(df: DataFrame, features_col: str, keep: int, blocks: Sequence[tuple[int, int]], out_col: str = "features") -> DataFrame:
@@ -50,14 +51,15 @@ def with_vector(df: DataFrame, features_col: str = "features", categorical: Mapp
 
 def fit_tree(train: DataFrame, impurity: str = "gini", depth: int = 4, bins: int = 100, seed: int = 0) -> DecisionTreeClassificationModel:
     """``trainClassifier(data, classes, categorical, impurity, depth, bins)``."""
-    return DecisionTreeClassifier(impurity=impurity, maxDepth=depth, maxBins=bins, seed=seed, labelCol="label", featuresCol="features", maxMemoryInMB=1000).fit(train)
+    tree = DecisionTreeClassifier(impurity=impurity, maxDepth=depth, maxBins=bins, seed=seed, labelCol="label", featuresCol="features", maxMemoryInMB=1000)
+    return _fitted_on(tree, train)
 
 
 def fit_forest(
     train: DataFrame, trees: int = 20, strategy: str = "auto", impurity: str = "entropy", depth: int = 30, bins: int = 300, seed: int = 0
 ) -> RandomForestClassificationModel:
     """Random forest (``featureSubsetStrategy='auto'``)."""
-    return RandomForestClassifier(
+    forest = RandomForestClassifier(
         numTrees=trees,
         featureSubsetStrategy=strategy,
         impurity=impurity,
@@ -70,7 +72,19 @@ def fit_forest(
         # data, and each row's node kept instead of walking the trees again.
         maxMemoryInMB=2000,
         cacheNodeIds=True,
-    ).fit(train)
+    )
+    return _fitted_on(forest, train)
+
+
+def _fitted_on(estimator, train: DataFrame):
+    """Fit on rows dealt evenly over the cluster and kept meanwhile (a persisted input is taken as it is)."""
+    if train.is_cached:
+        return estimator.fit(train)
+    rows = spread(train.select("label", "features")).persist()
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predictions(model, df: DataFrame) -> DataFrame:
@@ -101,8 +115,8 @@ def grid(
 
     ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs).
     """
-    train = train.persist()
-    cv = cv.persist()
+    train = spread(train.select("label", "features")).persist()
+    cv = spread(cv.select("label", "features")).persist()
 
     def one(params):
         imp, d, b = params

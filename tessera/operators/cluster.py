@@ -4,25 +4,32 @@ Centres are k × d numbers (bounded by the parameters, checked) and travel to
 the tasks with the function; assigning a point is an argmin over k distances
 computed per Arrow batch in numpy (vectorised, no join, no per-row Python).  Fits use
 ``pyspark.ml.clustering.KMeans`` (k-means‖ initialisation) on a persisted
-input; sweeps loop over k on the driver and submit one job sequence per k.
+input that is dealt evenly over the cluster first: each fit reads it some
+hundred times.  Sweeps fit every k on that input and score all models in one
+scan, which carries the centres of every k and sends partial sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
 from tessera.operators.jobs import map_jobs
-from tessera.operators.stats import cluster_entropy, count_by
+from tessera.operators.keys import spread
+from tessera.operators.stats import count_by
 
 MAX_CENTER_VALUES = 1_000_000
+# Rows compared with all centres at once, and counts a scoring task holds before it sends them.
+BLOCK_ROWS = 4096
+MAX_COUNTS = 4_000_000
 
 
 def centers_from_table(centers: DataFrame, cluster_col: str = "cluster", pos_col: str = "pos", value_col: str = "value") -> list[list[float]]:
@@ -119,10 +126,45 @@ def cluster_label_lines(counts: DataFrame, cluster_col: str = "cluster", label_c
     )
 
 
-def nth_largest(df: DataFrame, col: str, n: int = 100) -> DataFrame:
-    """The n-th greatest value (the least one when there are fewer), via a top-n then min."""
-    top = df.select(col).orderBy(F.col(col).desc()).limit(n)
-    return top.agg(F.min(col).alias("threshold"))
+def nth_largest(df: DataFrame, col: str, n: int = 100, at_once: int = 10_000, accuracy: int = 10_000) -> DataFrame:
+    """The n-th greatest value (the least one when there are fewer; NULLs do not count, NaN is the greatest).
+
+    Up to ``at_once`` rows are merged in one task as a top-n.  For a larger n two
+    approximate quantiles bracket the wanted rank, rows beyond them are counted
+    exactly, and the search goes on between them (a share of about 4 / ``accuracy``
+    of the rows) until ``at_once`` rows hold the rank.  Each pass is two aggregates
+    over ``df``, whose partial results do not grow with the rows.
+    """
+    v = F.col("threshold")
+    values = df.select(F.col(col).alias("threshold")).where(F.col(col).isNotNull())
+    wanted, last = n, None
+    if wanted > at_once and dict(values.dtypes)["threshold"] in ("float", "double"):
+        nan = values.agg(F.count_if(F.isnan(v))).first()[0]
+        if nan:
+            values = values.where(F.isnan(v) if wanted <= nan else ~F.isnan(v))
+            wanted = wanted if wanted <= nan else wanted - nan
+    while wanted > at_once:
+        total, low, high = values.agg(F.count(F.lit(1)), F.min(v), F.max(v)).first()
+        if wanted >= total or low == high:
+            return values.agg(F.min(v).alias("threshold"))
+        if total != last:
+            at = 1 - wanted / total
+            low, high = values.agg(F.percentile_approx(v, [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)], accuracy)).first()[0]
+        # Otherwise the quantiles, rounded to doubles, could not part the rows: the ends go one by one.
+        last = total
+        a, b = F.lit(low), F.lit(high)
+        above, top, inner, bottom = values.agg(F.count_if(v > b), F.count_if(v == b), F.count_if((v > a) & (v < b)), F.count_if(v == a)).first()
+        if wanted <= above:
+            values = values.where(v > b)
+        elif wanted <= above + top:
+            return values.where(v == b).agg(F.min(v).alias("threshold"))
+        elif wanted <= above + top + inner:
+            values, wanted = values.where((v > a) & (v < b)), wanted - above - top
+        elif wanted <= above + top + inner + bottom:
+            return values.where(v == a).agg(F.min(v).alias("threshold"))
+        else:
+            values, wanted = values.where(v < a), wanted - above - top - inner - bottom
+    return values.orderBy(v.desc()).limit(wanted).agg(F.min(v).alias("threshold"))
 
 
 def anomalies(df: DataFrame, threshold: float | Column, dist_col: str = "distance") -> DataFrame:
@@ -160,40 +202,179 @@ def fit_kmeans(
     features_col: str = "features",
 ) -> KMeansModel:
     """K-means; ``runs`` > 1 keeps the lowest-cost model of that many seeds."""
-    vec = _vectors(data, features_col).persist()
+    vec = spread(_vectors(data, features_col)).persist()
     try:
         return _fit_vectors(vec, k, tol, max_iter, seed, runs)
     finally:
         vec.unpersist()
 
 
-def _sweep(data: DataFrame, ks: Sequence[int], tol: float, seed: int, features_col: str, score, parallel: int) -> list:
-    """Fit each k on one persisted input and score it; up to ``parallel`` fits run as concurrent jobs."""
-    data = data.persist()
-    vec = _vectors(data, features_col).persist()
+def nearest_block(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre (ties to the lowest id) and squared distance of each row.
 
-    def one(k):
-        centers = centers_from_model(_fit_vectors(vec, k, tol, 20, seed, 1))
-        return int(k), float(score(data, centers))
+    One matrix product ranks the centres; rows whose two best differ by less than
+    rounding can explain are compared again term by term, as ``assign`` does, and
+    the distance to the chosen centre is always taken term by term.
+    """
+    norm = (centers * centers).sum(axis=1)
+    rank = norm - 2 * (x @ centers.T)
+    own = rank.argmin(axis=1).astype(np.int64)
+    if len(centers) > 1:
+        two = np.partition(rank, 1, axis=1)
+        size = (x * x).sum(axis=1) + norm.max()
+        for i in np.flatnonzero(~(two[:, 1] - two[:, 0] > 1e-9 * size)):
+            own[i] = ((x[i] - centers) ** 2).sum(axis=1).argmin()
+    return own, ((x - centers[own]) ** 2).sum(axis=1)
+
+
+def _blocks(features: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    flat = features.flatten().to_numpy(zero_copy_only=False)
+    x = flat.reshape(len(features), -1) if len(features) else np.empty((0, 0))
+    for lo in range(0, len(x), BLOCK_ROWS):
+        yield lo, x[lo : lo + BLOCK_ROWS]
+
+
+def _shipped(models: Mapping[int, Sequence[Sequence[float]]]) -> dict[int, np.ndarray]:
+    out = {int(k): np.asarray(c, dtype=float) for k, c in models.items()}
+    if sum(c.size for c in out.values()) > MAX_CENTER_VALUES:
+        raise ValueError("centre tables too large to ship to tasks")
+    return out
+
+
+def mean_distances(df: DataFrame, models: Mapping[int, Sequence[Sequence[float]]], features_col: str = "features") -> DataFrame:
+    """L22 for many models in one scan: (k, mean distance to the nearest of that model's centres).
+
+    A task sends one row per model: its number of rows and their summed distance.
+    """
+    shipped = _shipped(models)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, dict.fromkeys(shipped, 0.0)
+        for batch in batches:
+            for _, x in _blocks(batch.column(0)):
+                n += len(x)
+                for k, c in shipped.items():
+                    total[k] += float(np.sqrt(nearest_block(x, c)[1]).sum())
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()), pa.array([n] * len(total), pa.int64()), pa.array(list(total.values()), pa.float64())], names=["k", "n", "total"]
+            )
+
+    sums = df.select(features_col).mapInArrow(score, "k int, n long, total double")
+    return sums.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("mean_distance"))
+
+
+def cluster_counts(
+    df: DataFrame, models: Mapping[int, Sequence[Sequence[float]]], features_col: str = "features", label_col: str = "label"
+) -> DataFrame:
+    """A26 for many models in one scan: (k, cluster, label, count).
+
+    A task counts per (model, cluster, label) and sends its counts when it ends,
+    or earlier when its labels have become so many that they fill ``MAX_COUNTS``.
+    """
+    shipped = _shipped(models)
+    kind = dict(df.dtypes)[label_col]
+    width = sum(len(c) for c in shipped.values())
+    names = ["k", "cluster", "label", "count"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels: dict = {}
+        held = {k: np.zeros((len(c), 0), dtype=np.int64) for k, c in shipped.items()}
+
+        def sent(label_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+            known = pa.array(list(labels), label_type)
+            for k, n in held.items():
+                cluster, label = np.nonzero(n)
+                if len(cluster):
+                    cols = [pa.array(np.full(len(cluster), k), pa.int32()), pa.array(cluster, pa.int32()), known.take(pa.array(label)), pa.array(n[cluster, label])]
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
+                held[k] = np.zeros((len(n), 0), dtype=np.int64)
+            labels.clear()
+
+        for batch in batches:
+            found = batch.column(1).dictionary_encode(null_encoding="encode")
+            code = np.array([labels.setdefault(v, len(labels)) for v in found.dictionary.to_pylist()], dtype=np.int64)
+            own_label = code[found.indices.to_numpy()] if len(code) else np.empty(0, np.int64)
+            for k, c in shipped.items():
+                n = np.zeros((len(c), len(labels)), dtype=np.int64)
+                n[:, : held[k].shape[1]] = held[k]
+                for lo, x in _blocks(batch.column(0)):
+                    own, _ = nearest_block(x, c)
+                    n += np.bincount(own * len(labels) + own_label[lo : lo + len(x)], minlength=n.size).reshape(n.shape)
+                held[k] = n
+            if width * len(labels) > MAX_COUNTS:
+                yield from sent(batch.column(1).type)
+        if labels:
+            yield from sent(batch.column(1).type)
+
+    parts = df.select(features_col, label_col).mapInArrow(count, f"k int, cluster int, label {kind}, count long")
+    return parts.groupBy("k", "cluster", "label").agg(F.sum("count").alias("count"))
+
+
+def entropies(counts: DataFrame) -> DataFrame:
+    """A27/A28 for many models: (k, size-weighted mean label entropy of the clusters) from (k, cluster, label, count)."""
+    n = F.col("count")
+    per = counts.groupBy("k", "cluster").agg(F.sum(n).alias("size"), F.sum(n * F.log(n.cast("double"))).alias("nlogn"))
+    # size * entropy = size * ln(size) - sum(n ln n)
+    weighted = F.col("size") * F.log(F.col("size").cast("double")) - F.col("nlogn")
+    return per.groupBy("k").agg((F.sum(F.greatest(weighted, F.lit(0.0))) / F.sum("size")).alias("weighted_entropy"))
+
+
+def lloyd(df: DataFrame, centers: Sequence[Sequence[float]], steps: int = 1, features_col: str = "features") -> list[list[float]]:
+    """Centres after ``steps`` rounds of k-means from given centres (a centre without points stays).
+
+    Each task sends one row per centre it saw: the number of its points and their
+    sum; the driver holds k x d numbers.
+    """
+    now = _shipped({0: centers})[0]
+
+    def sums(c: np.ndarray):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, total = np.zeros(len(c), dtype=np.int64), np.zeros(c.shape)
+            for batch in batches:
+                for _, x in _blocks(batch.column(0)):
+                    own, _ = nearest_block(x, c)
+                    n += np.bincount(own, minlength=len(c))
+                    np.add.at(total, own, x)
+            used = np.flatnonzero(n)
+            if len(used):
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(n[used]), pa.array(list(total[used]), pa.list_(pa.float64()))], names=["cluster", "n", "total"])
+
+        return add
+
+    for _ in range(steps):
+        parts = df.select(features_col).mapInArrow(sums(now), "cluster int, n long, total array<double>")
+        flat = parts.select("cluster", "n", F.posexplode("total").alias("pos", "v"))
+        moved = now.copy()
+        for r in flat.groupBy("cluster", "pos").agg((F.sum("v") / F.sum("n")).alias("v")).collect():
+            moved[r["cluster"], r["pos"]] = r["v"]
+        now = moved
+    return now.tolist()
+
+
+def _fits(data: DataFrame, ks: Sequence[int], tol: float, seed: int, parallel: int) -> dict[int, list[list[float]]]:
+    """Fitted centres of every k on one persisted input; up to ``parallel`` fits run as concurrent jobs."""
+    return dict(map_jobs(lambda k: (int(k), centers_from_model(_fit_vectors(data, k, tol, 20, seed, 1))), ks, parallel))
 
-    try:
-        return map_jobs(one, ks, parallel)
-    finally:
-        vec.unpersist()
-        data.unpersist()
+
+def _as_arrays(vec: DataFrame, *others: str) -> DataFrame:
+    return vec.select(vector_to_array("features").alias("features"), *others)
 
 
 def k_sweep(
     data: DataFrame, ks: Sequence[int], tol: float = 1e-6, seed: int = 0, features_col: str = "features", parallel: int = 1
 ) -> DataFrame:
-    """(k, mean distance to nearest centre) for each k.
+    """(k, mean distance to nearest centre) for each k; all models are scored in one scan.
 
     ``parallel`` > 1 submits that many fits at once from driver threads (the
     scheduler interleaves their tasks), as the reference's parallel sweeps do.
     """
-    score = lambda d, c: mean_distance(d.select(features_col), c, features_col).first()[0]
-    rows = _sweep(data.select(features_col), ks, tol, seed, features_col, score, parallel)
-    return data.sparkSession.createDataFrame(rows, "k int, mean_distance double")
+    vec = spread(_vectors(data, features_col)).persist()
+    try:
+        rows = mean_distances(_as_arrays(vec), _fits(vec, ks, tol, seed, parallel)).collect()
+    finally:
+        vec.unpersist()
+    return data.sparkSession.createDataFrame(sorted((r["k"], r["mean_distance"]) for r in rows), "k int, mean_distance double")
 
 
 def k_sweep_entropy(
@@ -205,7 +386,10 @@ def k_sweep_entropy(
     label_col: str = "label",
     parallel: int = 1,
 ) -> DataFrame:
-    """(k, size-weighted mean label entropy of the clusters) for each k."""
-    score = lambda d, c: cluster_entropy(assign(d, c, features_col), "cluster", label_col).first()[0]
-    rows = _sweep(data.select(features_col, label_col), ks, tol, seed, features_col, score, parallel)
-    return data.sparkSession.createDataFrame(rows, "k int, weighted_entropy double")
+    """(k, size-weighted mean label entropy of the clusters) for each k; all models are scored in one scan."""
+    vec = spread(data.select(array_to_vector(F.col(features_col)).alias("features"), F.col(label_col).alias("label"))).persist()
+    try:
+        rows = entropies(cluster_counts(_as_arrays(vec, "label"), _fits(vec, ks, tol, seed, parallel))).collect()
+    finally:
+        vec.unpersist()
+    return data.sparkSession.createDataFrame(sorted((r["k"], r["weighted_entropy"]) for r in rows), "k int, weighted_entropy double")

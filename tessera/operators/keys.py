@@ -83,31 +83,10 @@ def dense_index(df: DataFrame, key: str | Sequence[str], index_col: str = "idx",
     return dense_index_count(df, key, index_col, partitions)[0]
 
 
-def running_sum_before(
-    df: DataFrame, key: str, order: str, value: str, out: str = "before", partitions: int | None = None
-) -> DataFrame:
-    """Per ``key``, the sum of ``value`` over rows with a smaller ``order`` (rows unique on (key, order)).
-
-    A window partitioned by ``key`` would hold a hot key in one task.  Here the
-    rows are range-partitioned on (key, order), so a hot key spans many
-    partitions; each partition computes its local prefix, and a table with one
-    row per (key, partition) — at most the partition count per key — supplies
-    each piece's offset.  The tagged rows are checkpointed so both uses see the
-    same partitioning.
-    """
-    from pyspark.sql import Window
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows evenly over the cluster (or ``partitions``), whatever their values.
 
-    ensure_checkpoint_dir(df.sparkSession)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    tagged = (
-        df.repartitionByRange(n, key, order)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    local_w = Window.partitionBy("_pid", key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumn("_local", F.coalesce(F.sum(value).over(local_w), F.lit(0)))
-    pieces = tagged.groupBy(key, "_pid").agg(F.sum(value).alias("_piece"))
-    off_w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(key, "_pid", F.coalesce(F.sum("_piece").over(off_w), F.lit(0)).alias("_off"))
-    j = local.join(offsets, [key, "_pid"])
-    return j.withColumn(out, F.col("_local") + F.col("_off")).drop("_pid", "_local", "_off")
+    For inputs that an iterative fit reads again and again: a join or a filter may
+    leave them in a few partitions, and every later pass would use as many tasks.
+    """
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)

@@ -70,19 +70,6 @@ def test_random_forms_seeded(spark):
     assert parts[0].count() + parts[1].count() == 1000
 
 
-def test_running_sum_before_splits_hot_key(spark):
-    from pyspark.sql import Window
-
-    from tessera.operators.keys import running_sum_before
-
-    rows = [(0, i, i % 3) for i in range(300)] + [(k, i, 1) for k in range(1, 6) for i in range(5)]
-    df = spark.createDataFrame(rows, "key int, o int, v int")
-    got = {(r.key, r.o): r.before for r in running_sum_before(df, "key", "o", "v", partitions=7).collect()}
-    w = Window.partitionBy("key").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
-    want = {(r.key, r.o): r.b for r in df.withColumn("b", F.coalesce(F.sum("v").over(w), F.lit(0))).collect()}
-    assert got == want
-
-
 def test_top_n_by_salted_is_exact(spark):
     from pyspark.sql import Window
 
