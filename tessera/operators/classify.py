@@ -44,7 +44,9 @@ def with_vector(df: DataFrame, features_col: str = "features", categorical: Mapp
             raise ValueError("width is needed to declare categorical features")
         nominal = [{"idx": i, "name": f"f{i}", "num_vals": int(n)} for i, n in sorted(categorical.items())]
         numeric = [{"idx": i, "name": f"f{i}"} for i in range(width) if i not in categorical]
-        meta = {"ml_attr": {"attrs": {"numeric": numeric, "nominal": nominal}, "num_attrs": width}}
+        # An empty list of numeric features cannot be read back as attributes.
+        attrs = {"numeric": numeric, "nominal": nominal} if numeric else {"nominal": nominal}
+        meta = {"ml_attr": {"attrs": attrs, "num_attrs": width}}
         vec = vec.alias(features_col, metadata=meta)
     return df.withColumn(features_col, vec)
 

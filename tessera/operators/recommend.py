@@ -14,14 +14,20 @@ from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import exprs as X
 from tessera.operators.evaluate import mean_auc
 from tessera.operators.jobs import map_jobs
 from tessera.operators.keys import lookup_join
+from tessera.session import scratch_path
+
+#: Item blocks whose lengths may be listed on the driver (one number per block).
+MAX_BLOCKS = 1_000_000
 
 
 def canonical_ratings(ratings: DataFrame, aliases: DataFrame, item_col: str = "item", aggregate: bool = False) -> DataFrame:
@@ -117,45 +123,130 @@ def factor_text(factors: DataFrame, sep: str = ", ") -> DataFrame:
     return factors.select("id", F.array_join(F.transform("features", lambda x: x.cast("string")), sep).alias("text"))
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int = 5, block: int = 10_000) -> DataFrame:
-    """L3/T4: top ``n`` items for each given user → (user, item, score, rank).
+def factor_blocks(factors: DataFrame, size: int) -> DataFrame:
+    """(block, ids, vectors, longest, n): factors in descending order of length, packed ``size`` to a row.
 
-    The wanted users are a parameter table.  Their factors are shipped to the
-    tasks ``block`` users at a time (a bounded size), each task scores its item
-    factors against them in one matrix product and keeps its own top ``n`` per
-    user, and those few rows are ranked per user.
+    Blocks are cut inside range partitions of the length, so no task orders all of
+    them; ``block`` numbers are unique, and ``longest`` is the greatest length in it.
     """
-    wanted = model.userFactors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
-    held, out = [], None
-    for r in wanted.toLocalIterator():
-        held.append((r["id"], list(r["features"])))
-        if len(held) == block:
-            part = _recommend_block(model, held, n)
-            out, held = (part if out is None else out.unionByName(part)), []
-    if held or out is None:
-        part = _recommend_block(model, held, n)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _recommend_block(model: ALSModel, users: list[tuple[int, list[float]]], n: int) -> DataFrame:
-    spark = model.itemFactors.sparkSession
-    shared = spark.sparkContext.broadcast(([u for u, _ in users], np.array([f for _, f in users], dtype=np.float32)))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, factors = shared.value
-        for items in batches:
-            if not ids or not len(items):
-                continue
-            names = items["id"].to_numpy()
-            scores = factors @ np.stack(items["features"].to_numpy()).astype(np.float32).T
-            for u, row in zip(ids, scores):
-                best = np.lexsort((names, -row))[:n]
-                yield pd.DataFrame({"user": u, "item": names[best], "score": row[best].astype(float)})
-
-    local = model.itemFactors.select("id", "features").mapInPandas(score, "user int, item int, score double")
-    order = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
-    return local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("user", "item", "score", "rank")
+    rows = factors.select("id", F.transform("features", lambda x: x.cast("double")).alias("f"))
+    rows = rows.withColumn("length", F.sqrt(X.array_sum(F.transform("f", lambda x: x * x))))
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    ordered = rows.repartitionByRange(parts, F.col("length").desc(), "id").sortWithinPartitions(F.col("length").desc(), "id")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, at = [], TaskContext.get().partitionId() << 32
+
+        def row(table: pa.Table, block: int) -> pa.RecordBatch:
+            table = table.combine_chunks()
+            vectors = table.column("f").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+            cols = [[block], [table.column("id").to_pylist()], [vectors], [table.column("length")[0].as_py()], [table.num_rows]]
+            kinds = [pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.float64(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["block", "ids", "vectors", "longest", "n"])
+
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= size:
+                table = pa.Table.from_batches(waiting)
+                while table.num_rows >= size:
+                    yield row(table.slice(0, size), at)
+                    table, at = table.slice(size), at + 1
+                waiting = table.to_batches()
+        if sum(b.num_rows for b in waiting):
+            yield row(pa.Table.from_batches(waiting), at)
+
+    return ordered.mapInArrow(pack, "block long, ids array<int>, vectors binary, longest double, n int")
+
+
+def _best_of_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """(user_block, user, item, score, length): the top ``n`` of each user in each block of items it is paired with."""
+    side = items.select("block", F.col("ids").alias("i_ids"), F.col("vectors").alias("i_vectors"), F.col("n").alias("i_n"))
+    who = users.select(F.col("block").alias("user_block"), "ids", "vectors", "n")
+    met = pairs.join(side, "block").join(who, "user_block").select("user_block", "ids", "vectors", "n", "i_ids", "i_vectors", "i_n")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                u = np.frombuffer(r["vectors"], dtype="<f8").reshape(r["n"], -1)
+                v = np.frombuffer(r["i_vectors"], dtype="<f8").reshape(r["i_n"], -1)
+                names, scores = np.array(r["i_ids"]), u @ v.T
+                top = np.full(len(u), -np.inf) if len(v) <= n else np.partition(scores, -n, axis=1)[:, -n]
+                i, j = np.nonzero(scores >= top[:, None] - 1e-12 * (1 + np.abs(top[:, None])) if len(v) > n else scores >= top[:, None])
+                # Components in order, so a pair's score does not depend on its blocks.
+                exact = np.zeros(len(i))
+                for k in range(u.shape[1]):
+                    exact += u[i, k] * v[j, k]
+                order = np.lexsort((names[j], -exact, i))
+                i, j, exact = i[order], j[order], exact[order]
+                keep = np.arange(len(i)) - np.searchsorted(i, i) < n
+                i, j, exact = i[keep], j[keep], exact[keep]
+                length = np.sqrt((u * u).sum(axis=1))
+                block = np.full(len(i), r["user_block"], dtype=np.int64)
+                cols = [pa.array(block), pa.array(np.array(r["ids"], dtype=np.int32)[i]), pa.array(names[j].astype(np.int32)), pa.array(exact), pa.array(length[i])]
+                yield pa.RecordBatch.from_arrays(cols, names=["user_block", "user", "item", "score", "length"])
+
+    return met.mapInArrow(score, "user_block long, user int, item int, score double, length double")
+
+
+def recommend(model: ALSModel, users: DataFrame, n: int = 5, block: int = 4096) -> DataFrame:
+    """L3/T4: top ``n`` items for each given user → (user, item, score, rank); ties go to the smaller item id.
+
+    Users and items are packed into blocks by descending factor length, and block
+    pairs are joined on block ids and scored by one matrix product each:
+
+    1. every user block meets the first item blocks that hold ``n`` items or more,
+       which gives each user a lower bound for its n-th best score;
+    2. since a score is at most the product of the lengths, a user block then needs
+       only item blocks with ``longest * length > bound`` for one of its users.  Those
+       are a prefix of the blocks, found in their sorted list of lengths (one number
+       per ``block`` items, the only thing that reaches the driver).
+
+    Users without factors get no row, an empty model none at all.
+    """
+    return recommend_from(model.userFactors, model.itemFactors, users, n, block)
+
+
+def recommend_from(user_factors: DataFrame, item_factors: DataFrame, users: DataFrame, n: int = 5, block: int = 4096) -> DataFrame:
+    """``recommend`` for given factor tables (id, features)."""
+    wanted = user_factors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
+    u = _stored(factor_blocks(wanted, block), "user-blocks")
+    i = _stored(factor_blocks(item_factors, block), "item-blocks")
+    heads = sorted(((r["longest"], r["block"], r["n"]) for r in i.select("longest", "block", "n").toLocalIterator()), key=lambda h: (-h[0], h[1]))
+    if len(heads) > MAX_BLOCKS:
+        raise ValueError("too many item blocks: raise the block size")
+    order = Window.partitionBy("user_block", "user").orderBy(F.col("score").desc(), "item")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+
+    count, first = 0, 0
+    while first < len(heads) and count < n:
+        count, first = count + heads[first][2], first + 1
+    ids = np.array([h[1] for h in heads], dtype=np.int64)
+    start = F.array(*[F.lit(int(b)) for b in ids[:first]]).cast("array<long>")
+    one = _stored(ranked(_best_of_pairs(u.select(F.col("block").alias("user_block"), F.explode(start).alias("block")), u, i, n)), "first")
+    # Per user block, the least factor length an item must have to enter some user's top n.
+    kth = one.groupBy("user_block", "user").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("s"), F.first("length").alias("length"))
+    # A hair below, for rounding.  A user of length zero scores 0 everywhere, so all items tie.
+    need = F.when((F.col("m") < n) | (F.col("s") <= 0), 0.0).otherwise(F.col("s") / F.col("length") * (1 - 1e-9))
+    needs = kth.groupBy("user_block").agg(F.min(need).alias("need"))
+    falling = -np.array([h[0] for h in heads])
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for who, need in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                some = ids[first : int(np.searchsorted(falling, -need, side="right"))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), who, dtype=np.int64)), pa.array(some)], names=["user_block", "block"])
+
+    pairs = needs.mapInArrow(passed, "user_block long, block long")
+    both = one.drop("rank").unionByName(_best_of_pairs(pairs, u, i, n))
+    return ranked(both).select("user", "item", "score", "rank")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def recommendation_lines(recs: DataFrame) -> DataFrame:
