@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
-from tessera.operators import classify, evaluate, features, sampling, stats
+from tessera.operators import classify, evaluate, features, sampling, stats, trees
 from tessera.plans.views import with_views
 from tessera.session import table
 from tessera.sources import fixtures, text
@@ -91,8 +91,9 @@ def q_precision_recall(spark, sf):
 
 
 # ---- fitted models ----
-# What SQL can state of a fitted result (its rows, labels and totals) is checked there; the
-# fitted values are bounded or compared in tests/test_models.py.
+# These return the fitted values.  SQL cannot repeat them: tests/test_models.py and tests/test_trees.py
+# check them (rows, labels and totals against the data, predictions against the model, every depth
+# against a fit of that depth), and ``tree_stump`` holds a split against SQL.
 
 # The analysis' hyperparameters.
 IMPURITIES = ("gini", "entropy")
@@ -102,18 +103,6 @@ REFIT_DEPTH, CAT_REFIT_DEPTH, REFIT_BINS = 20, 30, 300
 TREES = 20
 ONE_VECTOR = "25.0,36000.5,0.04,0.02,30.0,950.0,3.0,11.0"
 
-_fitted: dict = {}
-
-
-def _once(spark: SparkSession, sf: str, name: str, fit):
-    """A model that several queries of one application read is fitted once."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _fitted:
-        _fitted.clear()  # one at a time: a deep forest is large
-        _fitted[key] = fit()
-    return _fitted[key]
-
-
 def _fit_tree(df, impurity, depth, bins):
     return classify.fit_tree(df, impurity, depth, bins, SEED)
 
@@ -123,36 +112,15 @@ def _fit_forest(df, impurity, depth, bins):
 
 
 def _metrics(preds: DataFrame) -> DataFrame:
-    """Per label: rows, and whether precision and recall are shares."""
+    """Per label: rows, precision and recall."""
     rows = preds.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
-    pr = evaluate.precision_recall(preds)
-    share = F.col("precision").between(0, 1) & F.col("recall").between(0, 1)
-    return rows.join(pr, "label").select("label", "rows", share.alias("shares"))
-
-
-def _matrix_totals(preds: DataFrame) -> DataFrame:
-    """The confusion matrix by rows: per label the sum over the predicted classes."""
-    m = evaluate.confusion_matrix(preds)
-    total = F.lit(0)
-    for c in m.columns[1:]:
-        total = total + F.col(c)
-    return m.select("label", total.cast("long").alias("total"))
+    return rows.join(evaluate.precision_recall(preds), "label").select("label", "rows", "precision", "recall")
 
 
-def _grid_rows(grid: DataFrame) -> DataFrame:
-    better = F.col("train_accuracy").between(0, 1) & F.col("cv_accuracy").between(0, 1)
-    return grid.select("impurity", "depth", "bins", better.alias("shares"))
-
-
-def _forest(spark, sf):
-    """The forest of the analysis: 20 trees, entropy, depth 30, 300 bins."""
-    (train, _, _), _ = cat_splits(spark, sf)
-    return _once(spark, sf, "forest", lambda: _fit_forest(train, "entropy", CAT_REFIT_DEPTH, REFIT_BINS))
-
-
-def _tested(spark, sf):
-    (_, _, test), _ = cat_splits(spark, sf)
-    return classify.predictions(_forest(spark, sf), test)
+def _forest_test(spark, sf):
+    """Test rows with the prediction of the analysis' forest: 20 trees, entropy, depth 30, 300 bins."""
+    (train, _, test), _ = cat_splits(spark, sf)
+    return classify.predictions(_fit_forest(train, "entropy", CAT_REFIT_DEPTH, REFIT_BINS), test)
 
 
 def q_tree_predict(spark, sf):
@@ -165,21 +133,37 @@ def q_tree_text(spark, sf):
     return classify.tree_text(_fit_tree(train, "gini", 4, 100))
 
 
+def q_tree_nodes(spark, sf):
+    """L8 as data: every node of the tree with the training rows that pass it."""
+    train, _, _ = vec_splits(spark, sf)
+    model = _fit_tree(train, "gini", 4, 100)
+    nodes = trees.training_rows(trees.tree_nodes(model, spark), trees.walk_of(model, spark), train)
+    return nodes.select("id", "feature", "threshold", "left", "right", "prediction", "impurity", "gain", "rows")
+
+
+def q_tree_stump(spark, sf):
+    """The best two-set split of the return flag by the item's type: what a tree of depth 1 starts with."""
+    df, cats = labeled_cat(spark, sf)
+    typed = df.select("label", F.element_at("features", N_NUMERIC + 1).cast("int").alias("type"))
+    best = trees.best_category_split(typed, "type", "label", [0.0, 1.0, 2.0])
+    return best.select("left", F.round("gain", 9).alias("gain"), "left_rows", "right_rows")
+
+
 def q_tree_categorical(spark, sf):
     """Train + cv, categorical features declared, depth 30, 300 bins; confusion matrix on test."""
     (train, cv, test), _ = cat_splits(spark, sf)
     model = _fit_tree(train.unionByName(cv), "entropy", CAT_REFIT_DEPTH, REFIT_BINS)
-    return _matrix_totals(classify.predictions(model, test))
+    return evaluate.confusion_matrix(classify.predictions(model, test))
 
 
 def q_tree_grid(spark, sf):
     train, cv, _ = vec_splits(spark, sf)
-    return _grid_rows(classify.grid(train, cv, _fit_tree, IMPURITIES, GRID_DEPTHS, GRID_BINS, parallel=4))
+    return trees.tree_grid(train, cv, IMPURITIES, GRID_DEPTHS, GRID_BINS, SEED, parallel=4)
 
 
 def q_tree_categorical_grid(spark, sf):
     (train, cv, _), _ = cat_splits(spark, sf)
-    return _grid_rows(classify.grid(train, cv, _fit_tree, IMPURITIES, CAT_DEPTHS, CAT_BINS, parallel=4))
+    return trees.tree_grid(train, cv, IMPURITIES, CAT_DEPTHS, CAT_BINS, SEED, parallel=4)
 
 
 def q_tree_refit(spark, sf):
@@ -197,33 +181,29 @@ def q_tree_categorical_refit(spark, sf):
 
 
 def q_forest_predict(spark, sf):
-    return _matrix_totals(_tested(spark, sf))
+    return evaluate.confusion_matrix(_forest_test(spark, sf))
 
 
 def q_forest_metrics(spark, sf):
-    return _metrics(_tested(spark, sf))
+    return _metrics(_forest_test(spark, sf))
 
 
 def q_forest_accuracy(spark, sf):
-    preds = _tested(spark, sf)
-    both = evaluate.accuracy(preds).crossJoin(evaluate.error_rate(preds))  # one row each
-    return both.select((F.abs(F.col("accuracy") + F.col("error_rate") - 1) < 1e-9).alias("sums_to_one"), F.col("accuracy").between(0, 1).alias("share"))
+    return evaluate.accuracy(_forest_test(spark, sf))
 
 
 def q_forest_grid(spark, sf):
     (train, cv, _), _ = cat_splits(spark, sf)
-    return _grid_rows(classify.grid(train, cv, _fit_forest, IMPURITIES, CAT_DEPTHS, CAT_BINS, parallel=2))
+    return classify.grid(train, cv, _fit_forest, IMPURITIES, CAT_DEPTHS, CAT_BINS, parallel=4)
 
 
 def q_forest_error(spark, sf):
-    preds = _tested(spark, sf)
-    wrong = evaluate.error_rate(preds)
-    return wrong.select(F.col("error_rate").between(0, 1).alias("share"))
+    return evaluate.error_rate(_forest_test(spark, sf))
 
 
 def q_predict_one(spark, sf):
-    got = classify.predict_values(_forest(spark, sf), ONE_VECTOR)
-    return got.select("input", F.col("prediction").isin(0.0, 1.0, 2.0).alias("is_class"))
+    (train, _, _), _ = cat_splits(spark, sf)
+    return classify.predict_values(_fit_forest(train, "entropy", CAT_REFIT_DEPTH, REFIT_BINS), ONE_VECTOR)
 
 
 def q_leading_columns(spark, sf):
@@ -250,32 +230,20 @@ SELECT l_orderkey AS k1, CAST(l_linenumber AS BIGINT) AS k2, {_RF} AS label,
   round(CAST(p_size AS DOUBLE), 6) AS f4, round(p_retailprice, 6) AS f5, CAST(ti AS DOUBLE) AS f6, CAST(bi AS DOUBLE) AS f7
 FROM j JOIN t USING (p_type) JOIN b USING (p_brand)"""
 
-_CAT_TEST = f"""SELECT {_RF} AS label, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE (l_orderkey * 7919 + CAST(l_linenumber AS BIGINT) * 104729) % 1000 >= 900 GROUP BY 1"""
-
-
-def _vec_rows(lo: int, hi: int) -> str:
-    return f"SELECT CAST(label AS DOUBLE) AS label, count(*) AS rows, true AS shares FROM embeddings WHERE {_BUCKET} >= {lo} AND {_BUCKET} < {hi} GROUP BY label"
-
-
-def _grid_sql(depths, bins) -> str:
-    rows = ", ".join(f"('{i}', {d}, {b}, true)" for i in IMPURITIES for d in depths for b in bins)
-    return f"SELECT * FROM (VALUES {rows}) AS g(impurity, depth, bins, shares)"
-
+# All two-set splits of the types, by their counts.
+_STUMP = f"""WITH t AS (SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS c FROM (SELECT DISTINCT p_type FROM part)),
+n AS (SELECT c, {_RF} AS l, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN t USING (p_type) GROUP BY ALL),
+s AS (SELECT b FROM range(1, CAST((SELECT 1 << count(*) FROM t) AS BIGINT) - 1, 2) AS r(b)),
+side AS (SELECT b, (b >> c) & 1 AS is_left, l, sum(n) AS n FROM n CROSS JOIN s GROUP BY ALL),
+g AS (SELECT b, is_left, sum(n) AS rows, 1 - sum(n * n) / (sum(n) * sum(n)) AS gini FROM side GROUP BY b, is_left),
+whole AS (SELECT sum(n) AS rows, 1 - sum(n * n) / (sum(n) * sum(n)) AS gini FROM (SELECT l, sum(n) AS n FROM n GROUP BY l)),
+gain AS (SELECT b, any_value(whole.gini) - sum(g.rows * g.gini) / any_value(whole.rows) AS gain,
+  sum(CASE WHEN is_left = 1 THEN g.rows END) AS left_rows, sum(CASE WHEN is_left = 0 THEN g.rows END) AS right_rows FROM g CROSS JOIN whole GROUP BY b)
+SELECT (SELECT string_agg(c, ',' ORDER BY c) FROM t WHERE (b >> c) & 1 = 1) AS left, round(CAST(gain AS DOUBLE), 9) AS gain,
+  CAST(left_rows AS BIGINT) AS left_rows, CAST(right_rows AS BIGINT) AS right_rows FROM gain ORDER BY gain DESC, b LIMIT 1"""
 
 SQL = {
-    "tree_predict": _vec_rows(800, 900),
-    "tree_refit": _vec_rows(900, 1000),
-    "tree_categorical": f"SELECT label, n AS total FROM ({_CAT_TEST})",
-    "tree_categorical_refit": f"SELECT label, n AS rows, true AS shares FROM ({_CAT_TEST})",
-    "forest_predict": f"SELECT label, n AS total FROM ({_CAT_TEST})",
-    "forest_metrics": f"SELECT label, n AS rows, true AS shares FROM ({_CAT_TEST})",
-    "forest_accuracy": "SELECT true AS sums_to_one, true AS share",
-    "forest_error": "SELECT true AS share",
-    "tree_grid": _grid_sql(GRID_DEPTHS, GRID_BINS),
-    "tree_categorical_grid": _grid_sql(CAT_DEPTHS, CAT_BINS),
-    "forest_grid": _grid_sql(CAT_DEPTHS, CAT_BINS),
-    "predict_one": f"SELECT '{ONE_VECTOR}' AS input, true AS is_class",
+    "tree_stump": _STUMP,
     "leading_columns": """SELECT vec_id, CAST(label AS DOUBLE) AS label, 10 AS n_features,
   round(list_sum(CAST(embedding AS DOUBLE[])[1:10]), 6) AS total FROM embeddings""",
     "labeled_vector": """SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS INTEGER) AS n_features,
@@ -307,6 +275,8 @@ QUERIES = {
     "precision_recall": q_precision_recall,
     "tree_predict": q_tree_predict,
     "tree_text": q_tree_text,
+    "tree_nodes": q_tree_nodes,
+    "tree_stump": q_tree_stump,
     "tree_categorical": q_tree_categorical,
     "tree_grid": q_tree_grid,
     "tree_categorical_grid": q_tree_categorical_grid,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import exprs as X
 from tessera.operators import cluster, features, sampling, stats
 from tessera.plans.views import with_views
-from tessera.session import ensure_checkpoint_dir, scratch_path
+from tessera.session import ensure_checkpoint_dir, scratch_path, table
 from tessera.sources import fixtures, text
 
 N_MIXED = 6
@@ -171,7 +171,9 @@ def q_sample_roundtrip(spark, sf):
 
 
 # ---- random and fitted ----
-# SQL states rows, ids and totals; the fitted values are property-tested.
+# The fitted ones return what was fitted.  SQL cannot repeat a seeded fit: tests/test_models.py and
+# tests/test_sweeps.py check rows, ids and totals, and the scoring against scoring each model alone.
+# ``k_scores`` and ``kmeans_steps`` hold scores and steps from given centres against SQL.
 
 # The analysis' parameters.  (Its ``runs`` setting has had no effect since Spark 2.1; the tuned
 # model keeps the best of that many seeds, the sweeps fit each k once.)
@@ -180,6 +182,8 @@ RAW_TUNED_KS = range(30, 101, 10)
 NUMERIC_KS = range(60, 121, 10)
 ENCODED_KS = range(60, 201, 10)
 TUNED_K, FINAL_K, RUNS = 100, 150, 10
+# Centre sets given to ``k_scores``, and rounds of ``kmeans_steps``.
+GIVEN_KS, STEPS = (2, 5, 20), 3
 
 
 def q_bernoulli_sample(spark, sf):
@@ -211,52 +215,68 @@ def _normalized_encoded(spark, sf):
     return _kept(features.zscore(enc, "features", means, sds).select("line", "label", "features"))
 
 
-def _label_totals(counts: DataFrame, k: int) -> DataFrame:
-    """Per label: its rows over all clusters, and whether all cluster ids are below ``k``."""
-    return counts.groupBy("label").agg(F.sum("count").alias("rows"), F.max((F.col("cluster") >= k).cast("int")).alias("beyond"))
-
-
-def _swept(sweep: DataFrame, value: str) -> DataFrame:
-    return sweep.select("k", (F.col(value) >= 0).alias("measured"))
-
-
 def q_kmeans_default(spark, sf):
     m = _kept(mixed(spark, sf))
     centers = cluster.centers_from_model(cluster.fit_kmeans(m, k=2, seed=SEED))
-    return _label_totals(cluster.cluster_label_counts(cluster.assign(m, centers)), 2)
+    return cluster.cluster_label_counts(cluster.assign(m, centers))
 
 
 def q_kmeans_tuned(spark, sf):
     data = _normalized_encoded(spark, sf)
     model = cluster.fit_kmeans(data, k=TUNED_K, tol=1e-6, seed=SEED, runs=RUNS)
-    return _label_totals(cluster.cluster_label_counts(cluster.assign(data, cluster.centers_from_model(model))), TUNED_K)
+    return cluster.cluster_label_counts(cluster.assign(data, cluster.centers_from_model(model)))
 
 
 def q_kmeans_centers(spark, sf):
     data = _normalized_encoded(spark, sf)
     model = cluster.fit_kmeans(data, k=FINAL_K, tol=1e-6, seed=SEED)
-    table = cluster.centers_table(spark, cluster.centers_from_model(model))
-    return table.groupBy("pos").agg(F.min("cluster").alias("first"), (F.max("cluster") < FINAL_K).alias("below_k"))
+    return cluster.centers_table(spark, cluster.centers_from_model(model))
 
 
 def q_k_sweep_raw(spark, sf):
-    return _swept(cluster.k_sweep(mixed(spark, sf), RAW_KS, tol=1e-4, seed=SEED, parallel=4), "mean_distance")
+    return cluster.k_sweep(mixed(spark, sf), RAW_KS, tol=1e-4, seed=SEED, parallel=4)
 
 
 def q_k_sweep_raw_tuned(spark, sf):
-    return _swept(cluster.k_sweep(mixed(spark, sf), RAW_TUNED_KS, seed=SEED, parallel=4), "mean_distance")
+    return cluster.k_sweep(mixed(spark, sf), RAW_TUNED_KS, seed=SEED, parallel=4)
 
 
 def q_k_sweep_numeric(spark, sf):
-    return _swept(cluster.k_sweep(_normalized(spark, sf), NUMERIC_KS, seed=SEED, parallel=4), "mean_distance")
+    return cluster.k_sweep(_normalized(spark, sf), NUMERIC_KS, seed=SEED, parallel=4)
 
 
 def q_k_sweep(spark, sf):
-    return _swept(cluster.k_sweep(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4), "mean_distance")
+    return cluster.k_sweep(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4)
 
 
 def q_k_sweep_entropy(spark, sf):
-    return _swept(cluster.k_sweep_entropy(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4), "weighted_entropy")
+    return cluster.k_sweep_entropy(_normalized_encoded(spark, sf), ENCODED_KS, seed=SEED, parallel=4)
+
+
+def _first_rows(spark, sf, k: int) -> list[list[float]]:
+    """The k embeddings with the smallest ids."""
+    return [list(r["features"]) for r in emb(spark, sf).orderBy("vec_id").limit(k).collect()]
+
+
+def q_k_scores(spark, sf):
+    """L22/L24 for several given models in one scan: mean distance and label entropy per k."""
+    e = emb(spark, sf)
+    models = {k: _first_rows(spark, sf, k) for k in GIVEN_KS}
+    both = cluster.mean_distances(e, models).join(cluster.entropies(cluster.cluster_counts(e, models)), "k")
+    return both.select("k", X.round6("mean_distance").alias("mean_distance"), X.round6("weighted_entropy").alias("weighted_entropy"))
+
+
+def q_kmeans_steps(spark, sf):
+    """Three rounds of k-means from the label centres."""
+    moved = cluster.lloyd(emb(spark, sf), given_centers(spark, sf), STEPS)
+    return cluster.centers_table(spark, moved).select("cluster", "pos", X.round6("value").alias("value"))
+
+
+def q_median_price(spark, sf):
+    """T3 for a rank that grows with the table: the upper median of the extended prices."""
+    prices = table(spark, sf, "lineitem").select("l_extendedprice")
+    n = prices.count() // 2
+    return cluster.nth_largest(prices, "l_extendedprice", n).select(F.col("threshold").alias("median"))
 
 
 def q_anomaly_pipeline(spark, sf):
@@ -322,22 +342,43 @@ th AS (SELECT min(distance) AS threshold FROM (SELECT distance FROM a ORDER BY d
 
 _ENTROPY = """SELECT -sum(p * ln(p)) AS h FROM (SELECT count(*) / sum(count(*)) OVER () AS p FROM {src} GROUP BY {key})"""
 
-def _sweep_sql(ks) -> str:
-    return f"SELECT CAST(unnest(range({ks.start}, {ks.stop}, {ks.step})) AS INTEGER) AS k, true AS measured"
+
+def _steps_sql() -> str:
+    """Lloyd rounds: nearest centre (ties to the lowest id), then the mean of its rows."""
+    steps = ["c0 AS (SELECT cluster, center FROM center_arrays)"]
+    for i in range(STEPS):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, min(struct_pack(d := list_distance(features, center), c := cluster)).c AS cluster
+  FROM emb CROSS JOIN c{i} GROUP BY vec_id),
+c{i + 1} AS MATERIALIZED (SELECT cluster, list(v ORDER BY pos) AS center FROM (SELECT cluster, pos, avg(x) AS v FROM (
+  SELECT cluster, unnest(features) AS x, unnest(range(len(features))) AS pos FROM emb JOIN a{i} USING (vec_id)) GROUP BY cluster, pos) GROUP BY cluster
+  UNION ALL SELECT cluster, center FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM a{i}))""")
+    return (
+        with_views("emb", "centers")
+        + ", "
+        + ", ".join(steps)
+        + f""" SELECT CAST(cluster AS INTEGER) AS cluster, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value
+FROM (SELECT cluster, unnest(center) AS value, unnest(range(len(center))) AS pos FROM c{STEPS})"""
+    )
 
 
-_LABEL_TOTALS = "SELECT label, count(*) AS rows, 0 AS beyond FROM mixed GROUP BY label"
+_K_SCORES = (
+    with_views("emb")
+    + f""", m AS (SELECT k, n - 1 AS cluster, features AS center FROM (SELECT features, row_number() OVER (ORDER BY vec_id) AS n FROM emb)
+  JOIN (SELECT unnest([{", ".join(map(str, GIVEN_KS))}]) AS k) ON n <= k),
+a AS (SELECT k, vec_id, any_value(label) AS label, min(struct_pack(d := list_distance(features, center), c := cluster)) AS b FROM emb CROSS JOIN m GROUP BY k, vec_id),
+d AS (SELECT k, avg(b.d) AS mean_distance FROM a GROUP BY k),
+n AS (SELECT k, b.c AS c, label, count(*) AS n FROM a GROUP BY ALL),
+h AS (SELECT k, c, any_value(t) AS t, -sum(n / t * ln(n / t)) AS h FROM (SELECT *, sum(n) OVER (PARTITION BY k, c) AS t FROM n) GROUP BY k, c),
+e AS (SELECT k, sum(t * h) / sum(t) AS weighted_entropy FROM h GROUP BY k)
+SELECT k, round(mean_distance, 6) AS mean_distance, round(weighted_entropy, 6) AS weighted_entropy FROM d JOIN e USING (k)"""
+)
 
 SQL = {
     "random_split": "SELECT vec_id, CAST(1 AS BIGINT) AS parts FROM embeddings",
-    "kmeans_default": _MIXED + _LABEL_TOTALS,
-    "kmeans_tuned": _MIXED + _LABEL_TOTALS,
-    "kmeans_centers": f"SELECT CAST(unnest(range(0, {N_MIXED + sum(CAT_SIZES)})) AS INTEGER) AS pos, 0 AS first, true AS below_k",
-    "k_sweep_raw": _sweep_sql(RAW_KS),
-    "k_sweep_raw_tuned": _sweep_sql(RAW_TUNED_KS),
-    "k_sweep_numeric": _sweep_sql(NUMERIC_KS),
-    "k_sweep": _sweep_sql(ENCODED_KS),
-    "k_sweep_entropy": _sweep_sql(ENCODED_KS),
+    "k_scores": _K_SCORES,
+    "kmeans_steps": _steps_sql(),
+    "median_price": """SELECT l_extendedprice AS median FROM lineitem ORDER BY 1 DESC
+LIMIT 1 OFFSET (SELECT count(*) // 2 - 1 FROM lineitem)""",
     "mixed_parse": _MIXED + "SELECT label, " + ", ".join(f"round(n{j}, 6) AS f{j}" for j in range(N_MIXED)) + " FROM mixed",
     "label_counts": _MIXED + "SELECT label, count(*) AS count FROM mixed GROUP BY label",
     "label_cardinality": _MIXED + "SELECT count(DISTINCT label) AS n_distinct FROM mixed",
@@ -409,5 +450,8 @@ QUERIES = {
     "k_sweep_numeric": q_k_sweep_numeric,
     "k_sweep": q_k_sweep,
     "k_sweep_entropy": q_k_sweep_entropy,
+    "k_scores": q_k_scores,
+    "kmeans_steps": q_kmeans_steps,
+    "median_price": q_median_price,
     "anomaly_pipeline": q_anomaly_pipeline,
 }

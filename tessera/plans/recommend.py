@@ -170,7 +170,9 @@ def q_mean_auc(spark, sf):
 
 
 # ---- fitted models ----
-# SQL states which rows a fitted result has; the scores are property-tested.
+# These return the fitted values.  SQL cannot repeat them: tests/test_recommend.py and tests/test_models.py
+# hold a half-step against a plain solve and the rows against the data, and ``recommend_blocks`` holds
+# the ranking of given factors against SQL.
 
 ALS_SEED = 7
 
@@ -184,15 +186,15 @@ def q_als_predict(spark, sf):
     """The held-out pairs the model can score (user and item known from training)."""
     model, _, cv = _als(spark, sf)
     scored = recommend.als_predictor(model)(cv.select("user", "item"))
-    return scored.select("user", "item", (~F.isnan("score")).alias("scored"))
+    return scored.select("user", "item", "score")
 
 
 def q_factor_text(spark, sf):
-    """L2: every factor of both sides as text; here its id and number of values."""
+    """L2: every factor of both sides as text."""
     model, _, _ = _als(spark, sf)
     u = recommend.factor_text(model.userFactors).withColumn("side", F.lit("user"))
     i = recommend.factor_text(model.itemFactors).withColumn("side", F.lit("item"))
-    return u.unionByName(i).select("id", "side", F.size(F.split("text", ", ")).alias("n_values"))
+    return u.unionByName(i)
 
 
 def _some_users(cv: DataFrame) -> DataFrame:
@@ -202,21 +204,38 @@ def _some_users(cv: DataFrame) -> DataFrame:
 
 def q_recommend_top_n(spark, sf):
     model, _, cv = _als(spark, sf)
-    recs = recommend.recommend(model, _some_users(cv), TOP_N)
-    return recs.select("user", "rank", (~F.isnan("score")).alias("scored"))
+    return recommend.recommend(model, _some_users(cv), TOP_N)
+
+
+def _given_factors(spark, sf):
+    """Factors taken from the data, so that SQL can rank them: customers by their ratings, parts by theirs."""
+    r = all_ratings(spark, sf)
+
+    def side(key):
+        g = r.groupBy(F.col(key).alias("id")).agg(F.avg("rating").alias("a"), F.count(F.lit(1)).alias("n"), F.max("rating").alias("m"))
+        sign = F.when(F.col("id") % 3 == 0, -1.0).otherwise(1.0)
+        return g.select("id", F.array(F.col("a") * sign, F.col("n").cast("double"), F.col("m")).alias("features"))
+
+    return side("user"), side("item")
+
+
+def q_recommend_blocks(spark, sf):
+    """T4 for all users over given factors, in blocks joined on block ids."""
+    users, items = _given_factors(spark, sf)
+    recs = recommend.recommend_from(users, items, users.select(F.col("id").alias("user")), TOP_N, block=256)
+    return recs.select("user", "rank", X.round6("score").alias("score"))
 
 
 def q_recommendation_names(spark, sf):
     model, _, cv = _als(spark, sf)
     recs = recommend.recommend(model, _some_users(cv), TOP_N)
     named = recs.join(names(spark, sf).withColumnRenamed("id", "item"), "item", "left")
-    return named.select("user", "rank")
+    return named.select("user", "rank", "item", "name", "score")
 
 
 def q_recommendation_lines(spark, sf):
     model, _, cv = _als(spark, sf)
-    lines = recommend.recommendation_lines(recommend.recommend(model, _some_users(cv), TOP_N))
-    return lines.select("user", F.size(F.split(F.substring_index("line", " -> ", -1), ", ")).alias("n_items"))
+    return recommend.recommendation_lines(recommend.recommend(model, _some_users(cv), TOP_N))
 
 
 def q_als_grid(spark, sf):
@@ -225,8 +244,7 @@ def q_als_grid(spark, sf):
     train, cv = split(spark, sf, ratings)
     pos = cv.select("user", "item")
     neg = sampling.negative_samples(pos, ratings.select("item"))
-    out = recommend.als_grid(train, pos, neg, seed=ALS_SEED, parallel=4)
-    return out.select("rank", "lambda", "alpha", F.col("auc").between(0, 1).alias("share"))
+    return recommend.als_grid(train, pos, neg, seed=ALS_SEED, parallel=4)
 
 
 # ---- SQL twins ----
@@ -271,21 +289,13 @@ ua AS (
 
 _BASE = with_views("ratings", "aliases", "canonical")
 
-_SOME = f""", wanted AS (SELECT "user" FROM (SELECT DISTINCT "user" FROM cv ORDER BY "user" LIMIT {SOME_USERS}) WHERE "user" IN (SELECT "user" FROM train))
-"""
-
 SQL = {
-    "als_predict": _BASE
-    + _SPLIT
-    + 'SELECT "user", item, true AS scored FROM cv WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)',
-    "factor_text": _BASE
-    + _SPLIT
-    + """SELECT DISTINCT "user" AS id, 'user' AS side, 10 AS n_values FROM train UNION ALL SELECT DISTINCT item, 'item', 10 FROM train""",
-    "recommend_top_n": _BASE + _SPLIT + _SOME + f'SELECT "user", CAST(unnest(range(1, {TOP_N + 1})) AS INTEGER) AS rank, true AS scored FROM wanted',
-    "recommendation_names": _BASE + _SPLIT + _SOME + f'SELECT "user", CAST(unnest(range(1, {TOP_N + 1})) AS INTEGER) AS rank FROM wanted',
-    "recommendation_lines": _BASE + _SPLIT + _SOME + f'SELECT "user", {TOP_N} AS n_items FROM wanted',
-    "als_grid": """SELECT * FROM (SELECT unnest([10, 50]) AS rank) CROSS JOIN (SELECT unnest([1.0, 0.0001])::DOUBLE AS lambda)
-CROSS JOIN (SELECT unnest([1.0, 40.0])::DOUBLE AS alpha) CROSS JOIN (SELECT true AS share)""",
+    "recommend_blocks": _BASE
+    + f""", u AS (SELECT "user", avg(rating) * CASE WHEN "user" % 3 = 0 THEN -1 ELSE 1 END AS a, count(*) AS n, max(rating) AS m FROM canonical GROUP BY "user"),
+i AS (SELECT item, avg(rating) * CASE WHEN item % 3 = 0 THEN -1 ELSE 1 END AS a, count(*) AS n, max(rating) AS m FROM canonical GROUP BY item),
+s AS (SELECT "user", item, u.a * i.a + u.n * i.n + u.m * i.m AS score FROM u CROSS JOIN i)
+SELECT "user", CAST(rank AS INTEGER) AS rank, round(score, 6) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM s) WHERE rank <= {TOP_N}""",
     "ratings_parse": with_views("ratings") + 'SELECT "user", item, CAST(rating AS INTEGER) AS "count" FROM ratings',
     "id_stats": with_views("ratings")
     + """SELECT 'user' AS "column", count(*) AS count, round(avg("user"), 6) AS mean, round(stddev_pop("user"), 6) AS stdev,
@@ -355,6 +365,7 @@ QUERIES = {
     "als_predict": q_als_predict,
     "factor_text": q_factor_text,
     "recommend_top_n": q_recommend_top_n,
+    "recommend_blocks": q_recommend_blocks,
     "recommendation_names": q_recommendation_names,
     "recommendation_lines": q_recommendation_lines,
     "als_grid": q_als_grid,
