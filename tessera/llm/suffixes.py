@@ -45,8 +45,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tessera.llm.common import mix64, quoted, read_table
+from tessera.llm.common import free_name, mix64, quoted, read_table
 
 THRESHOLD = 50
 CHUNK_BYTES = 4 << 20
@@ -55,6 +56,9 @@ BUCKET_ENTRIES = 500_000
 MAX_SURROUNDINGS = 4
 LAST = np.int64((1 << 63) - 1)
 U = np.uint64
+# Masks of a little-endian word's bytes from the k-th on, and of those before the k-th.
+FROM = np.array([(1 << 64) - (1 << 8 * k) for k in range(9)], dtype=U)
+UPTO = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U)
 
 
 # -- packing of integer columns ------------------------------------------------
@@ -90,7 +94,11 @@ class Chunk:
         sizes = np.fromiter((len(x.as_buffer()) for x in raw), dtype=np.int64, count=len(raw))
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.buf = np.frombuffer(b"".join(x.as_py() for x in raw), dtype=np.uint8)
+        # Zero bytes around the text, so words that begin before it or end after it can be read.
+        self.front = threshold + 8
+        padded = np.frombuffer(b"".join([bytes(self.front), *(x.as_py() for x in raw), bytes(2 * threshold + 16)]), dtype=np.uint8)
+        self.buf = padded[self.front : self.front + int(sizes.sum())]
+        self.eight = np.ndarray((len(padded) - 7,), dtype=U, buffer=padded, strides=(1,))
 
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         """Row of each position (rows without bytes hold none)."""
@@ -98,13 +106,14 @@ class Chunk:
 
     def words(self, at: np.ndarray, before: int, after: int) -> np.ndarray:
         """Rows of uint64 words with the bytes [at - before, at + after), zero outside the document."""
-        width = (before + after + 7) // 8 * 8
+        count = (before + after + 7) // 8
         doc = self.doc_of(at)
-        idx = at[:, None] + np.arange(-before, width - before)
-        inside = (idx >= self.starts[doc][:, None]) & (idx < self.ends[doc][:, None])
-        inside[:, before + after :] = False
-        out = np.where(inside, self.buf[np.clip(idx, 0, len(self.buf) - 1)], np.uint8(0))
-        return np.ascontiguousarray(out).view(np.uint64)
+        begin, end = self.starts[doc], np.minimum(self.ends[doc], at + after)
+        out = np.empty((len(at), count), dtype=U)
+        for w in range(count):
+            first = at - before + 8 * w
+            out[:, w] = self.eight[first + self.front] & FROM[np.clip(begin - first, 0, 8)] & UPTO[np.clip(end - first, 0, 8)]
+        return out
 
     def digest(self, at: np.ndarray, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
         """80-bit digests (64 and 16 bits) of the bytes around positions and of how far they reach."""
@@ -386,10 +395,11 @@ def find_repeats(
     size = docs.agg(F.sum(F.octet_length(quoted(text_col))).alias("n")).collect()[0]["n"] or 0
     chunks = max(1, -(-size // chunk_bytes))
     buckets = max(1, -(-size * 2 // (threshold // 2) // BUCKET_ENTRIES))
-    names = [c for c in docs.columns if c not in ("repeat_spans", "_chunk")]
+    names = [c for c in docs.columns if c != "repeat_spans"]
+    chunk_col = free_name("_chunk", names)
     id_at, text_at = names.index(id_col), names.index(text_col)
     chunk = F.pmod(F.xxhash64(quoted(id_col), quoted(text_col)), F.lit(chunks)).cast("int")
-    dealt = docs.select(*[quoted(c) for c in names], chunk.alias("_chunk")).repartition(_partitions(spark, chunks), "_chunk")
+    dealt = docs.select(*[quoted(c) for c in names], chunk.alias(chunk_col)).repartition(_partitions(spark, chunks), chunk_col)
 
     def state_of(table: pa.Table) -> State:
         return State(table.column(id_at), table.column(text_at), threshold, buckets)
@@ -410,19 +420,19 @@ def find_repeats(
 
     def finish(left: pa.Table, answers: pa.Table) -> pa.Table:
         spans = replay(state_of(left), answers, 3).spans() if left.num_rows else []
-        return left.drop_columns(["_chunk"]).append_column("repeat_spans", pa.array(spans, pa.list_(pa.int64())))
+        return left.drop_columns([chunk_col]).append_column("repeat_spans", pa.array(spans, pa.list_(pa.int64())))
 
     def reply(sent: DataFrame) -> DataFrame:
         return sent.groupBy("bucket").applyInArrow(answer, ANSWER)
 
-    def with_answers(func, answers: DataFrame, schema: str) -> DataFrame:
-        return dealt.groupBy("_chunk").cogroup(answers.groupBy("chunk")).applyInArrow(func, schema)
+    def with_answers(func, answers: DataFrame, schema) -> DataFrame:
+        return dealt.groupBy(chunk_col).cogroup(answers.groupBy("chunk")).applyInArrow(func, schema)
 
-    one = reply(dealt.groupBy("_chunk").applyInArrow(send_first, SENT))
+    one = reply(dealt.groupBy(chunk_col).applyInArrow(send_first, SENT))
     two = one.unionByName(reply(with_answers(send_later(2), one, SENT)))
     three = two.unionByName(reply(with_answers(send_later(3), two, SENT)))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[quoted(c) for c in names]).schema.fields)
-    return with_answers(finish, three, ddl + ", repeat_spans array<long>")
+    schema = StructType([*docs.select(*[quoted(c) for c in names]).schema.fields, StructField("repeat_spans", ArrayType(LongType()))])
+    return with_answers(finish, three, schema)
 
 
 def cut_bytes(text: bytes, spans: list[int]) -> bytes:
@@ -449,7 +459,9 @@ def whole_characters(text: bytes, spans: list[int]) -> list[int]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, **options) -> DataFrame:
     """The documents without their repeated spans (whole characters only); ``n_chars``, where present, follows the text."""
     kind = dict(docs.dtypes)
-    found = find_repeats(docs, id_col, text_col, threshold, **options)
+    # The other columns travel as one struct, so none of them clashes with those added here.
+    row = F.struct(*[quoted(c) for c in docs.columns if c != text_col])
+    found = find_repeats(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), row.alias("row")), "id", "text", threshold, **options)
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -460,16 +472,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.array(out, pa.binary()).cast(pa.string())
 
     changed = F.size("repeat_spans") > 0
-    new = F.when(changed, cut(quoted(text_col), F.col("repeat_spans"))).otherwise(quoted(text_col))
-    out = found.withColumn("_cut", new)
+    new = F.when(changed, cut(F.col("text"), F.col("repeat_spans"))).otherwise(F.col("text"))
+    out = found.withColumn("cut", new)
     cols = []
     for c in docs.columns:
         if c == text_col:
-            cols.append(F.col("_cut").alias(c))
+            cols.append(F.col("cut").alias(c))
         elif c == "n_chars":
-            cols.append(F.when(changed, F.length("_cut").cast(kind[c])).otherwise(quoted(c)).alias(c))
+            cols.append(F.when(changed, F.length("cut").cast(kind[c])).otherwise(F.col("row").getField(c)).alias(c))
         else:
-            cols.append(quoted(c))
+            cols.append(F.col("row").getField(c).alias(c))
     return out.select(*cols)
 
 

@@ -16,11 +16,11 @@ def brute(docs, items, window=10):
     windows = {}
     for item, text in items:
         w = norm(text)
-        if item is None or not w:
+        if not w:
             continue
         k = min(window, len(w))
         for i in range(len(w) - k + 1):
-            windows.setdefault(tuple(w[i : i + k]), set()).add(str(item))
+            windows.setdefault(tuple(w[i : i + k]), set()).update([] if item is None else [str(item)])
     out = []
     for _, text in docs:
         w = norm(text)
@@ -28,7 +28,7 @@ def brute(docs, items, window=10):
         for i in range(len(w)):
             for k in range(1, window + 1):
                 names = windows.get(tuple(w[i : i + k])) if i + k <= len(w) else None
-                if names:
+                if names is not None:  # an item without an id is hit, but names nothing
                     hit |= set(range(i, i + k))
                     found |= names
         out.append((len(w), hit, sorted(found)))

@@ -145,3 +145,38 @@ def test_drop_keeps_one_and_the_columns(spark):
     assert out.columns == df.columns
     assert sorted((r["doc_id"] for r in out.collect())) == [1, 2, 4]
     assert M.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_candidates_grow_with_documents_not_pairs(spark, monkeypatch):
+    """One template, four random words changed in every document: hardly any two are linked."""
+    from tessera.llm import minhash as M
+
+    counts = {}
+    real = M.across
+    monkeypatch.setattr(M, "across", lambda *a: (lambda out: (counts.__setitem__(size, out.count()), out)[1])(real(*a)))
+    rnd = random.Random(5)
+    base = [f"t{i}" for i in range(60)]
+    for size in (150, 300, 600):
+        rows = []
+        for i in range(size):
+            words = list(base)
+            for at in rnd.sample(range(60), 4):
+                words[at] = f"r{rnd.randrange(10**6)}"
+            rows.append((i, " ".join(words)))
+        got = {r["doc_id"]: r["component_id"] for r in M.components(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+        sets = {i: M.shingle_strings(t.encode(), 2) for i, t in rows}
+        parent = {i: i for i in sets}
+
+        def top(i, parent=parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in sets:
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = sorted((top(i), top(j)))
+                    parent[b] = a
+        assert got == {i: top(i) for i in sets}
+    print(counts)
+    assert counts.get(600, 0) < 0.02 * 600 * 599 / 2
