@@ -19,10 +19,10 @@ connect.
   its centre c may still be linked.  Let R and A be what a member lacks of c and
   has beyond c, and q = t / (1 + t) for threshold t.  A link of x and y needs
   ``q (|A_x| + |A_y|) + (1 - q) (|R_x| + |R_y|) - (1 - 2q) |c|`` differences in
-  common; if x is not linked to c that is more than y's own terms.  So some
-  element of any sufficiently long part of y's differences is among x's: an
-  equi-join on (centre, difference) finds all such pairs, few besides, and never
-  all pairs of a bucket.
+  common.  With the differences of a star's members in one order, rarest first, the
+  first one that x and y share must leave either of them that many: an equi-join on
+  (centre, difference) of those early ones finds all such pairs, and few besides,
+  because a rare difference is held by few members.
 
 Components are found by alternating large and small stars on DataFrames; links
 and labels stay distributed.
@@ -37,22 +37,25 @@ columns replace input columns of the same name.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held, mix64, quoted, read_table, window_codes
+from tessera.llm.common import free_name, held, mix64, quoted, read_table, window_codes
 
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 40, 4
 BINS = BANDS * ROWS
 WALK = 2048
+#: Step between grades of a member's own terms in the join on differences.
+GRADE = 1.25
 U = np.uint64
 
 
@@ -265,33 +268,46 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def across(scored: DataFrame, roots: DataFrame, link: str, percent: int) -> DataFrame:
     """Pairs (a, b) compared with the same centre, a not linked to it, in different components, that can be linked.
 
-    ``y`` offers the part of its differences that a link with ``x`` cannot avoid (what
-    it has beyond the centre first: such elements are rare), ``x`` all of its.  The
-    part is shorter the farther ``x`` is from the centre, and empty where the
-    triangle inequality of the Jaccard distance rules a link out.
+    A link needs o differences in common, o = (excess of x + own of y) / (100 + percent), so
+    the first one they share, in an order common to the star, leaves each of them o of its
+    own or more.  The rarest differences of the star come first: what all members have
+    against an odd centre comes last and brings no pair together.  ``g`` grades y's own terms,
+    so that x offers each grade only the differences that can meet its o.
     """
     root = roots.select(F.col("node").alias("a"), "root")
-    known = scored.join(root, "a", "left").withColumn("root", F.coalesce("root", "a"))
-    odd = known.where(f"NOT ({link})").select("b").distinct()
-    every = F.concat("added", "removed")
-    # In units of 1 / (100 + percent): what y's own differences ask for, and what x asks for beyond
-    # that (more, the farther x is from the centre, whose size is shared + removed).
+    both = 100 + percent
+    known = scored.join(root, "a", "left").withColumn("root", F.coalesce("root", "a")).withColumn("linked", F.expr(link))
+    odd = known.where("NOT linked").select("b").distinct()
+    # In units of 1 / (100 + percent): what a member's own differences ask for, and what asks beyond the
+    # other's (more, the farther it is from the centre, whose size is shared + removed).
     own = F.size("removed") * 100 + F.size("added") * percent
     excess = own - (F.col("shared") + F.size("removed")) * (100 - percent)
-    x = known.where(f"NOT ({link})").select("a", "b", "root", excess.alias("excess"), F.explode(every).alias("e"))
-    y = known.join(odd, "b", "left_semi").select(
-        F.col("a").alias("y"), "b", F.col("root").alias("yroot"), own.alias("own"), F.size(every).alias("size"), F.posexplode(every).alias("at", "e")
-    )
-    # With o common differences needed, one is among the first size - o + 1 of y's.
-    needed = (F.col("excess") + F.col("own")) <= (F.col("size") - F.col("at")) * (100 + percent)
-    met = x.join(y, ["b", "e"]).where((F.col("root") != F.col("yroot")) & needed).select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b"))
+    every = F.concat("added", "removed")
+    flat = known.join(odd, "b", "left_semi").select("a", "b", "root", "linked", own.alias("own"), excess.alias("excess"), F.size(every).alias("size"), F.explode(every).alias("e"))
+    # Rarest differences first, one order for all members of a star; a member holds ``left`` of its own from each on.
+    often = flat.groupBy("b", "e").agg(F.count(F.lit(1)).alias("f"))
+    order = Window.partitionBy("b", "a").orderBy("f", "e")
+    placed = flat.join(often, ["b", "e"]).withColumn("left", F.col("size") - F.row_number().over(order) + 1)
+    # Two members that may be linked have sizes that make o >= excess / 100, whichever the other is.
+    placed = held(placed.where("f > 1 AND 100 * left >= excess").drop("f"), "differences")
+
+    def grade(value):
+        return F.floor(F.log(F.greatest(value, F.lit(0)) + 1.0) / math.log(GRADE)).cast("int")
+
+    y = placed.where(F.col("left") * both > F.col("own")).select(F.col("a").alias("y"), "b", "e", F.col("root").alias("yroot"), F.col("own").alias("yown"), F.col("left").alias("yleft"), grade(F.col("own")).alias("g"))
+    # x meets only grades of y's own terms that its difference can still serve.
+    grades = F.sequence(F.greatest(grade(F.col("excess") * percent / 100.0) - 1, F.lit(0)), F.greatest(grade(F.col("left") * both - F.col("excess")) + 1, F.lit(0)))
+    x = placed.where("NOT linked").select("a", "b", "e", "root", "excess", "left", F.explode(grades).alias("g"))
+    needed = F.col("excess") + F.col("yown") <= F.least("left", "yleft") * both
+    met = x.join(y, ["b", "e", "g"]).where((F.col("root") != F.col("yroot")) & needed).select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b"))
     return met.distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without those near-duplicate to one with a smaller id (columns of ``docs``)."""
-    gone = components(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(gone, quoted(id_col).eqNullSafe(F.col("_gone")) & (F.xxhash64(quoted(text_col)) == F.col("_key")), "left_anti")
+    lost, key = free_name("_gone", docs.columns), free_name("_key", docs.columns)
+    gone = components(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias(lost), F.col("text_key").alias(key)).distinct()
+    return docs.join(gone, quoted(id_col).eqNullSafe(F.col(lost)) & (F.xxhash64(quoted(text_col)) == F.col(key)), "left_anti")
 
 
 def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
