@@ -39,6 +39,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, lengthened until it clashes with none of ``taken`` (Spark ignores case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def with_text_columns(
     df: DataFrame, text_col: str, schema: StructType, rows: Callable[[Iterator[bytes | None]], Iterable[tuple]]
 ) -> DataFrame:
@@ -57,9 +65,7 @@ def with_text_columns(
         return pa.StructArray.from_arrays(cols, fields=list(kind))
 
     udf = F.arrow_udf(evaluate, schema)
-    tmp = "_computed"
-    while tmp in df.columns:
-        tmp += "_"
+    tmp = free_name("_computed", df.columns)
     keep = [quoted(c) for c in df.columns if c not in schema.names]
     out = df.withColumn(tmp, udf(quoted(text_col).cast("string")))
     return out.select(*keep, *[F.col(tmp)[n].alias(n) for n in schema.names])

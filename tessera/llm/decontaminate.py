@@ -16,8 +16,8 @@ blocks of at most ``max_block_words`` words, each with an automaton of its own,
 so what is broadcast is bounded whatever the benchmark's size; a document's
 hits are the union over the blocks.
 
-Cases: a null or empty text has no words; items without words or with a null id
-are ignored (a null id would name nothing); repeated items and repeated ids
+Cases: a null or empty text has no words; items without words are ignored; the windows
+of an item with a null id are hit like any other's, but name no item; repeated items and repeated ids
 count once; an empty benchmark hits nothing; repeated documents get equal rows;
 result columns replace input columns of the same name.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from tessera.llm.common import quoted, read_table, runs, with_text_columns
+from tessera.llm.common import free_name, quoted, read_table, runs, with_text_columns
 
 WINDOW = 10
 MAX_BLOCK_WORDS = 500_000
@@ -94,12 +94,13 @@ class Automaton:
         self.link[q] = clone
         return clone
 
-    def add(self, item: str, words: list[bytes]) -> None:
+    def add(self, item: str | None, words: list[bytes]) -> None:
         ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words]
         last = 0
         for c in ids:
             last = self._extend(last, c)
-            self.items[last].add(item)
+            if item is not None:
+                self.items[last].add(item)
         self.shortest = min(self.shortest or self.window, len(ids), self.window)
         if len(ids) < self.window:
             self._short_items.append((ids, item))
@@ -112,7 +113,9 @@ class Automaton:
             for c in ids:
                 s = self.next[s][c]
             # The state may hold longer strings too; the length tells the item apart.
-            whole.setdefault(s, (len(ids), set()))[1].add(item)
+            named = whole.setdefault(s, (len(ids), set()))[1]
+            if item is not None:
+                named.add(item)
         for s in order:
             # Only windows of full length ask for a state's items: shorter states need no sets.
             if self.size[s] >= self.window and self.size[self.link[s]] >= self.window:
@@ -130,9 +133,10 @@ class Automaton:
         """Mask of hit words, and the items with an occurring window."""
         n = len(words)
         hit = np.zeros(n + 1, dtype=np.int32)
-        found: set[str] = set()
+        met: set[int] = set()
+        met_short: set[frozenset[str]] = set()
         if not self.shortest or n < self.shortest:
-            return hit[:n].astype(bool), found
+            return hit[:n].astype(bool), set()
         get = self.vocab.get
         ids = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=n)
         nxt, link, size, window, short = self.next, self.link, self.size, self.window, self.short
@@ -154,19 +158,20 @@ class Automaton:
                     w = s
                     while size[link[w]] >= window:
                         w = link[w]
-                    found |= self.items[w]
+                    met.add(w)
                 for k, names in short[s]:
                     if k <= length:
                         hit[i + 1 - k] += 1
                         hit[i + 1] -= 1
-                        found |= names
-        return np.cumsum(hit[:n]) > 0, found
+                        met_short.add(names)
+        # States repeat along a text: each one's items are joined in once.
+        return np.cumsum(hit[:n]) > 0, set().union(*(self.items[w] for w in met), *met_short)
 
 
 def automata(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_block_words: int) -> Iterator[Automaton]:
     """One automaton per block of items; items are streamed to the driver, one block held at a time."""
     auto, held = Automaton(window), 0
-    rows = benchmark.select(quoted(id_col).cast("string").alias("i"), quoted(text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    rows = benchmark.select(quoted(id_col).cast("string").alias("i"), quoted(text_col).alias("t")).where("t IS NOT NULL")
     for row in rows.distinct().toLocalIterator():
         words = normalised_words(row["t"].encode())
         if not words:
@@ -201,7 +206,7 @@ def find_contamination(
                 mask, items = a.scan(words)
                 yield len(words), runs(mask).ravel().tolist(), sorted(items)
 
-        names = ("n_words", "hit_spans", "hit_items") if k == 0 else ("n_words", f"hit_spans_{k}", f"hit_items_{k}")
+        names = ("n_words", "hit_spans", "hit_items") if k == 0 else ("n_words", free_name("hit_spans_", docs.columns), free_name("hit_items_", docs.columns))
         out = with_text_columns(out, text_col, StructType.fromDDL(f"{names[0]} long, {names[1]} array<long>, {names[2]} array<string>"), rows)
         if k:
             spans, items = F.col(names[1]), F.col(names[2])
@@ -210,7 +215,8 @@ def find_contamination(
                 .withColumn("hit_items", F.array_sort(F.array_union("hit_items", items)))
                 .drop(names[1], names[2])
             )
-    return out
+    found = ("n_words", "hit_spans", "hit_items")
+    return out.select(*[quoted(c) for c in docs.columns if c not in found], *found)
 
 
 @F.arrow_udf(ArrayType(LongType()))
@@ -314,7 +320,7 @@ WITH dw AS (
 iw AS (
   SELECT item_id, w, least(10, len(w)) AS k FROM (
     SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
 win AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (
     SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM iw)),
 ks AS (SELECT DISTINCT k FROM win),
@@ -323,7 +329,7 @@ occ AS (SELECT p.doc_id, p.i, p.k, win.item_id FROM pos p JOIN win ON win.k = p.
 hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
     SELECT doc_id, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT doc_id, i, k FROM occ)) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names FROM (
-    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ) GROUP BY doc_id)
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN its t USING (doc_id)

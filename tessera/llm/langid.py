@@ -45,22 +45,29 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def grams_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+def grams_of(text: str, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """Packed n-grams of a text (sorted) and their counts."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for at in range(0, len(text), PIECE):
-        x = np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    text = text.lower()
+    # The last two symbols of a piece are carried over, so pieces count as one text.
+    carried = np.array([SPACE], dtype=np.int64)
+    for at in range(0, len(text), piece):
+        x = np.frombuffer(text[at : at + piece].encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         x = np.where(_letters()[x], x, SPACE)
-        x = np.concatenate(([SPACE], x, [SPACE]))
+        x = np.concatenate((carried, x, [SPACE] if at + piece >= len(text) else []))
         keep = np.ones(len(x), dtype=bool)
         keep[1:] = (x[1:] != SPACE) | (x[:-1] != SPACE)
-        x = x[keep]
-        if len(x) < 2:
+        x = x[keep].astype(np.int64)
+        old = len(carried)
+        carried = x[-2:]
+        if len(x) == old:
             continue
         letter = x != SPACE
         two = (x[:-1] << np.int64(21)) | x[1:]
         three = (two[:-1] << np.int64(21)) | x[2:]
-        found.append(np.unique(np.concatenate((x[letter], two, three[letter[1:-1]])), return_counts=True))
+        inner = letter[1:-1]
+        inner[: max(0, old - 2)] = False
+        found.append(np.unique(np.concatenate((x[old:][letter[old:]], two[old - 1 :], three[inner])), return_counts=True))
     return merged(found)
 
 
@@ -145,7 +152,8 @@ def identify(df: DataFrame, learned: dict[str, list[int]], text_col: str = "text
 
 def q_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    # A null id is not held out: its row is learned from.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     learned = learn_profiles(docs.where(~held_out), "text", "lang")
     judged = identify(docs.select("doc_id", "text"), learned)
-    return judged.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

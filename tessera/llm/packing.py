@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tessera.llm.common import quoted, read_table
+from tessera.llm.common import free_name, quoted, read_table
 from tessera.session import scratch_path
 
 CAPACITY = 4096
@@ -405,6 +406,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = ITERATIO
     """
     spark = pieces.sparkSession
     where = pieces.columns.index("length")
+    # Names of our own that no input column has.
+    task_col, rank_col, n_col, before_col, slot_col = (free_name(n, pieces.columns) for n in ("_task", "_rank", "_n", "_before", "_slot"))
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
@@ -418,29 +421,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = ITERATIO
             rank += seen[length]
             seen += sizes
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([task] * len(length), pa.int32()), pa.array(rank)], names=[*batch.schema.names, "_task", "_rank"]
+                [*batch.columns, pa.array([task] * len(length), pa.int32()), pa.array(rank)], names=[*batch.schema.names, task_col, rank_col]
             )
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    schema = StructType([*pieces.schema.fields, StructField(task_col, IntegerType()), StructField(rank_col, LongType())])
     path = scratch_path(spark, "pieces")
-    pieces.mapInArrow(ranked, ddl + ", _task int, _rank long").write.parquet(path)
-    held = spark.read.parquet(path)
-    counts = held.groupBy("length", "_task").agg(F.count(F.lit(1)).alias("_n"))
+    pieces.mapInArrow(ranked, schema).write.parquet(path)
+    held = spark.read.schema(schema).parquet(path)
+    counts = held.groupBy("length", task_col).agg(F.count(F.lit(1)).alias(n_col))
     histogram = np.zeros(capacity + 1, dtype=np.int64)
-    for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect():
+    for r in counts.groupBy("length").agg(F.sum(n_col).alias("n")).collect():
         histogram[r["length"]] = r["n"]
     slots = spark.sparkContext.broadcast(Slots(plan(histogram, capacity, iterations), capacity))
-    before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = counts.select("length", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    before = Window.partitionBy("length").orderBy(task_col).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select("length", task_col, F.coalesce(F.sum(n_col).over(before), F.lit(0)).alias(before_col))
 
     @F.arrow_udf("struct<sequence_id: long, offset: long>")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
         sequence, offset = slots.value.place(length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False))
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], names=["sequence_id", "offset"])
 
-    placed = held.join(earlier, ["length", "_task"]).withColumn("_slot", place(F.col("length"), F.col("_rank") + F.col("_before")))
+    placed = held.join(earlier, ["length", task_col]).withColumn(slot_col, place(F.col("length"), F.col(rank_col) + F.col(before_col)))
     keep = [quoted(c) for c in pieces.columns if c not in ("sequence_id", "offset")]
-    return placed.select(*keep, "_slot.sequence_id", "_slot.offset")
+    return placed.select(*keep, F.col(slot_col)["sequence_id"].alias("sequence_id"), F.col(slot_col)["offset"].alias("offset"))
 
 
 def build_sequences(packed: DataFrame) -> DataFrame:

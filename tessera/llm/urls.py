@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import quoted, read_table
+from tessera.llm.common import free_name, quoted, read_table
 
 PREFIX_HEX = 8
 MAX_BROADCAST_RULES = 100_000
@@ -106,12 +106,14 @@ def filter_urls(
     ready = prepared_rules(rules)
     if small:
         ready = F.broadcast(ready)
+    # Names of our own that no input column has.
+    host, path, rule, says = (free_name(n, df.columns) for n in ("_host", "_path", "_rule", "_says"))
     rows = df.select(*[quoted(c) for c in df.columns if c not in ("host", "path", "rule", "verdict") or c == url_col])
-    rows = rows.withColumns({"_host": host_of(quoted(url_col)), "_path": path_of(quoted(url_col))})
+    rows = rows.withColumns({host: host_of(quoted(url_col)), path: path_of(quoted(url_col))})
     if not lengths:
-        judged = rows.withColumns({"_rule": F.lit(None).cast("string"), "_says": F.lit(None).cast("string")})
+        judged = rows.withColumns({rule: F.lit(None).cast("string"), says: F.lit(None).cast("string")})
     else:
-        places = rows.select("_host", "_path").distinct()
+        places = rows.select(F.col(host).alias("_host"), F.col(path).alias("_path")).distinct()
         expanded = places.select("_host", "_path", F.explode(expressions(F.col("_host"), F.col("_path"), lengths)).alias("_expr"))
         expanded = expanded.withColumn("_digest", F.sha2("_expr", 256)).withColumn("_short", F.substring("_digest", 1, PREFIX_HEX))
         if small:
@@ -132,15 +134,15 @@ def filter_urls(
                 )
             ).alias("w")
         )
-        verdicts = winner.select("_host", "_path", F.col("w.text").alias("_rule"), F.col("w.says").alias("_says"))
-        judged = rows.join(verdicts, ["_host", "_path"], "left")
+        verdicts = winner.select(F.col("_host").alias(host), F.col("_path").alias(path), F.col("w.text").alias(rule), F.col("w.says").alias(says))
+        judged = rows.join(verdicts, [host, path], "left")
     keep = [quoted(c) for c in df.columns if c not in ("host", "path", "rule", "verdict")]
     return judged.select(
         *keep,
-        F.col("_host").alias("host"),
-        F.col("_path").alias("path"),
-        F.col("_rule").alias("rule"),
-        F.coalesce(F.col("_says"), F.lit(default)).alias("verdict"),
+        F.col(host).alias("host"),
+        F.col(path).alias("path"),
+        F.col(rule).alias("rule"),
+        F.coalesce(F.col(says), F.lit(default)).alias("verdict"),
     )
 
 
