@@ -37,7 +37,7 @@ def canonical_ratings(ratings: DataFrame, aliases: DataFrame, item_col: str = "i
     the default keeps every row, as the reference does.
     """
     a = aliases.select(F.col("bad").alias("_bad"), F.col("good").alias("_good"))
-    j = lookup_join(ratings, a, ratings[item_col] == a["_bad"], "left")
+    j = lookup_join(ratings, a, (item_col, "_bad"), "left")
     out = j.withColumn(item_col, F.coalesce(F.col("_good"), F.col(item_col))).drop("_bad", "_good")
     if aggregate:
         out = out.groupBy("user", item_col).agg(F.sum("rating").alias("rating"))

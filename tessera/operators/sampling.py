@@ -9,7 +9,7 @@ reference's per-user loop does, without holding any user's items in memory.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,19 +90,48 @@ def hash_sample(
     return df.filter(place < F.lit(below))
 
 
+def numbered(df: DataFrame, occurrence_col: str = "_occurrence", chunk: int = 100_000) -> DataFrame:
+    """The rows with the number of each among its equals (0, 1, ...), whatever the layout.
+
+    Equal rows cannot be told apart, so they are counted (combined before the
+    shuffle) and written out again from their count, ``chunk`` at a time by different
+    tasks: a row that is a third of the table is never gathered.
+    """
+    cols = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_times"))
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / chunk))))
+    last = F.least(F.col("_times"), (F.col("_piece") + 1) * chunk) - 1
+    spread = pieces.repartition(*cols, F.col("_piece"))
+    return spread.select(*cols, F.explode(F.sequence(F.col("_piece") * chunk, last)).alias(occurrence_col))
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str] | None = None) -> list[DataFrame]:
-    """M1 (random form): a seeded split by a hash of the keys (all columns by default).
+    """M1 (random form): a seeded split of the rows.
 
-    The part of a row follows from its content and the seed, not from the
-    layout of the data, so it is the same on every cluster; equal rows go to
-    the same part.
+    The part of a row follows from its content, its number among equal rows and
+    the seed, not from the layout of the data: the split is the same on every
+    cluster, and equal rows are drawn independently of each other.  With
+    ``keys``, rows of one key stay together instead.
     """
-    return hash_split(df, weights, keys=keys, seed=seed)
+    if keys is not None:
+        return hash_split(df, weights, keys=keys, seed=seed)
+    return [p.drop("_occurrence") for p in hash_split(numbered(df), weights, seed=seed)]
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
-    """M2 (random form): a seeded sample without replacement, independent of the layout as ``random_split``."""
-    return hash_sample(df, fraction, keys=keys, seed=seed)
+def bernoulli_sample(
+    df: DataFrame, fraction: float, seed: int, keys: Sequence[str] | None = None, draw: Callable[[Column], Column] | None = None, modulus: int = DRAW_MOD
+) -> DataFrame:
+    """M2 (random form): a seeded sample without replacement, independent of the layout as ``random_split``.
+
+    ``draw`` gives a row's bucket in [0, ``modulus``) from its number among equal rows, for
+    draws that SQL can repeat (``draw_index``); by default it is a hash of all columns and that number.
+    """
+    if keys is not None:
+        return hash_sample(df, fraction, keys=keys, seed=seed)
+    rows = numbered(df)
+    if draw is None:
+        return hash_sample(rows, fraction, seed=seed).drop("_occurrence")
+    return hash_sample(rows, fraction, bucket=draw(F.col("_occurrence")), modulus=modulus).drop("_occurrence")
 
 
 def draw_index(user: Column, j: Column, n_items: Column, seed: int = 0) -> Column:

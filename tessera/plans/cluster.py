@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
-from tessera.operators import cluster, features, sampling, stats
+from tessera.operators import cluster, features, sampling, sparse, stats
 from tessera.plans.views import with_views
 from tessera.session import ensure_checkpoint_dir, scratch_path, table
 from tessera.sources import fixtures, text
@@ -81,6 +81,25 @@ def q_one_hot(spark, sf):
     return encoded(spark, sf).select("label", *_flat(None, "features", width))
 
 
+def q_sparse_one_hot(spark, sf):
+    """E4 as sparse vectors: the positions that hold a non-zero value, and their sum."""
+    enc, _ = sparse.sparse_one_hot(mixed(spark, sf), "features", CATS)
+    e = F.unwrap_udt(F.col("features"))
+    dense = F.sequence(F.lit(0), F.size(e["values"]) - 1)
+    index = F.when(e["type"] == 0, e["indices"]).otherwise(dense)
+    used = F.filter(F.arrays_zip(index.alias("i"), e["values"].alias("v")), lambda x: x["v"] != 0)
+    return enc.select("label", F.array_join(F.transform(used, lambda x: x["i"].cast("string")), ",").alias("positions"), X.round6(X.array_sum(e["values"])).alias("total"))
+
+
+def q_sparse_zscore(spark, sf):
+    """E2 as sparse vectors: each row's distance from the mean of the z-scored encoding."""
+    enc, _ = sparse.sparse_one_hot(mixed(spark, sf), "features", CATS)
+    rows = _kept(enc.select("label", "features"))
+    s = sparse.scaling(rows)
+    far = sparse.sparse_distances(s.apply(rows), [s.offset.tolist()])
+    return far.select("label", X.round6("distance").alias("distance"))
+
+
 def q_zscore(spark, sf):
     m = mixed(spark, sf)
     means, sds = features.moments(m, "features", N_MIXED)
@@ -187,7 +206,10 @@ GIVEN_KS, STEPS = (2, 5, 20), 3
 
 
 def q_bernoulli_sample(spark, sf):
-    return sampling.bernoulli_sample(emb(spark, sf).select("vec_id", "label"), SAMPLE_FRACTION, SEED, keys=["vec_id"])
+    """Order lines by order and line number, which repeat: equal rows are drawn one by one."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"))
+    draw = lambda occurrence: sampling.draw_index(F.col("l_orderkey") * 8 + F.col("l_linenumber"), occurrence, F.lit(sampling.DRAW_MOD), SEED)
+    return sampling.bernoulli_sample(rows, SAMPLE_FRACTION, SEED, draw=draw)
 
 
 def q_random_split(spark, sf):
@@ -321,6 +343,19 @@ def _zscore_sql() -> str:
     return _MIXED + "SELECT label, " + ", ".join(cols) + " FROM mixed"
 
 
+_WIDTH = N_MIXED + sum(CAT_SIZES)
+_SPARSE_ONE_HOT = f"""SELECT label, concat_ws(',', {", ".join(f"CASE WHEN f{i} <> 0 THEN '{i}' END" for i in range(_WIDTH))}) AS positions,
+  round({" + ".join(f"f{i}" for i in range(_WIDTH))}, 6) AS total FROM ({_one_hot_sql()})"""
+
+
+def _z2(i: int) -> str:
+    m, s = f"avg(f{i}) OVER ()", f"stddev_pop(f{i}) OVER ()"
+    return f"pow(CASE WHEN {s} <= 0 THEN f{i} - {m} ELSE (f{i} - {m}) / {s} END, 2)"
+
+
+_SPARSE_ZSCORE = f"SELECT label, round(sqrt({' + '.join(_z2(i) for i in range(_WIDTH))}), 6) AS distance FROM ({_one_hot_sql()})"
+
+
 def _projection_sql() -> str:
     m = features.projection_matrix(EMB_WIDTH, 3, PROJ_SEED)
     cols = []
@@ -389,6 +424,14 @@ LIMIT 1 OFFSET (SELECT count(*) // 2 - 1 FROM lineitem)""",
     ),
     "one_hot": _one_hot_sql(),
     "zscore": _zscore_sql(),
+    "sparse_one_hot": _SPARSE_ONE_HOT,
+    "sparse_zscore": _SPARSE_ZSCORE,
+    "bernoulli_sample": f"""SELECT l_orderkey, l_linenumber FROM (SELECT *, ((z * z) % 2147483647 * 48271 + z) % 2147483647 AS w FROM (
+  SELECT *, ((y * y) % 2147483647 * 69621 + y) % 2147483647 AS z FROM (
+  SELECT *, ((u * u) % 2147483647 + occurrence) % 2147483647 * 48271 % 2147483647 AS y FROM (
+  SELECT l_orderkey, l_linenumber, occurrence, ((l_orderkey * 8 + l_linenumber) * 7919 + {SEED} * 15485863) % 2147483647 AS u FROM (
+  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) - 1 AS occurrence FROM lineitem)))))
+WHERE w < {round(SAMPLE_FRACTION * sampling.DRAW_MOD)}""",
     "column_moments": with_views("emb")
     + """SELECT CAST(p - 1 AS INTEGER) AS pos, round(sum(x), 6) AS sum, round(sum(x * x), 6) AS sum_sq,
   round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS stdev
@@ -427,6 +470,8 @@ QUERIES = {
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "zscore": q_zscore,
+    "sparse_one_hot": q_sparse_one_hot,
+    "sparse_zscore": q_sparse_zscore,
     "column_moments": q_column_moments,
     "random_projection": q_random_projection,
     "assign_cluster": q_assign_cluster,

@@ -1,0 +1,140 @@
+"""Sparse encodings, joins on frequent keys, and draws among equal rows."""
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tessera.operators import cluster, features, keys, sampling, sparse
+
+
+def records(spark, n=400, cats=7, seed=0):
+    r = np.random.default_rng(seed)
+    rows = [([float(r.normal()), float(i % 5), 3.0], f"c{r.integers(0, cats):05d}", f"d{r.integers(0, 3)}") for i in range(n)]
+    return spark.createDataFrame(rows, "features array<double>, a string, b string").repartition(3)
+
+
+@pytest.mark.parametrize("listed", [True, False])
+def test_sparse_one_hot_equals_dense(spark, monkeypatch, listed):
+    if not listed:
+        monkeypatch.setattr(sparse, "small_categories", lambda *a: None)
+    df = records(spark)
+    dense, idx = features.one_hot(df, "features", ["a", "b"])
+    thin, used = sparse.sparse_one_hot(df, "features", ["a", "b"])
+    rows = lambda d, c: sorted((r["a"], r["b"], tuple(r["f"])) for r in d.select("a", "b", c.alias("f")).collect())
+    assert rows(thin, vector_to_array("features")) == rows(dense, F.col("features"))
+    again, _ = sparse.sparse_one_hot(df.limit(20), "features", ["a", "b"], used)
+    assert {len(r["f"]) for r in again.select(vector_to_array("features").alias("f")).collect()} == {3 + 7 + 3}
+    for bad in (None, "new"):
+        odd = df.limit(3).withColumn("b", F.lit(bad).cast("string"))
+        with pytest.raises(Exception, match="unseen category"):
+            sparse.sparse_one_hot(odd, "features", ["a", "b"], used)[0].collect()
+
+
+def test_zscore_fit_and_distances_equal_dense(spark):
+    df = records(spark)
+    dense, _ = features.one_hot(df, "features", ["a", "b"])
+    width = 13
+    means, sds = features.moments(dense, "features", width)
+    z = features.zscore(dense, "features", means, sds)
+    thin, _ = sparse.sparse_one_hot(df, "features", ["a", "b"])
+    s = sparse.scaling(thin)
+    assert np.allclose(s.offset, [m / d if d > 1e-9 else m for m, d in zip(means, sds, strict=True)])
+    scaled = s.apply(thin).cache()
+    assert "0.333" not in scaled._jdf.queryExecution().analyzed().toString() and str(s.offset[0]) not in scaled._jdf.queryExecution().analyzed().toString()
+    model = sparse.fit_sparse_kmeans(scaled, 4, seed=2)
+    centers = np.array(model.clusterCenters())
+    far = sparse.sparse_distances(scaled, centers).select("a", "b", "cluster", F.round("distance", 7).alias("distance"))
+    want = cluster.distance_to_center(z, s.shifted(centers).tolist()).select("a", "b", "cluster", F.round("distance", 7).alias("distance"))
+    count = lambda d: sorted((tuple(r) for r in d.groupBy(*d.columns).count().collect()), key=repr)
+    got, expected = count(far), count(want)
+    assert [r[:3] for r in got] == [r[:3] for r in expected] and np.allclose([r[3] for r in got], [r[3] for r in expected], atol=1e-6)
+    # The fit itself does not see the offset: centres of the dense rows are the shifted ones.
+    moved = cluster.lloyd(z, s.shifted(centers).tolist(), 1)
+    assert np.allclose(moved, s.shifted(cluster.lloyd(scaled.select(vector_to_array("features").alias("features")), centers.tolist(), 1)), atol=1e-9)
+
+
+def test_ten_thousand_categories(spark):
+    df = spark.range(30_000).select(F.array((F.col("id") % 3).cast("double"), F.lit(1.0)).alias("features"), F.format_string("k%05d", F.col("id") % 10_000).alias("a"))
+    thin, _ = sparse.sparse_one_hot(df, "features", ["a"])
+    e = F.unwrap_udt(F.col("features"))
+    shape = thin.select(e["size"].alias("n"), F.size(e["values"]).alias("m"), e["type"].alias("t")).distinct().collect()
+    assert {r["n"] for r in shape} == {10_002} and max(r["m"] for r in shape) <= 3 and {r["t"] for r in shape} == {0}
+    s = sparse.scaling(thin)
+    one = sparse.sparse_distances(s.apply(thin), [s.offset.tolist()]).agg(F.sum(F.col("distance") ** 2).alias("d")).first()["d"]
+    # Summed squared z-scores of n rows are n per position that varies (all but the constant one).
+    assert one == pytest.approx(30_000 * 10_001, rel=1e-6)
+
+
+def test_nearest_sparse_on_any_rows():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(50, 8)) * (r.random((50, 8)) < 0.4)
+    x[7] = 0
+    c = np.concatenate((r.normal(size=(5, 8)), x[:2], x[:1]))
+    counts = (x != 0).sum(axis=1)
+    own, d2 = sparse.nearest_sparse(c, counts, np.concatenate([np.flatnonzero(v) for v in x]), np.concatenate([v[v != 0] for v in x]))
+    want = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+    assert own.tolist() == want.argmin(axis=1).tolist() and np.allclose(d2, want.min(axis=1), atol=1e-12)
+
+
+def facts(spark, n=9000):
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 2500)
+    return spark.range(n).select(key.cast("int").alias("k"), (F.col("id") % 4).alias("v"))
+
+
+def test_frequent_keys_are_all_found(spark):
+    got = keys.frequent_keys(facts(spark).repartition(6), "k", 0.01)
+    assert 7 in got and len(got) <= 200
+    assert keys.frequent_keys(facts(spark).limit(0), "k") == []
+    words = spark.createDataFrame([("x",)] * 50 + [(f"w{i}",) for i in range(900)], "k string").repartition(4)
+    assert "x" in keys.frequent_keys(words, "k", 0.02) and len(keys.frequent_keys(words, "k", 0.02)) < 10
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_join_equals_plain_and_spreads(spark, how):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = facts(spark)
+        right = spark.range(0, 2500, 2).select(F.col("id").cast("int").alias("rk"), F.concat(F.lit("n"), "id").alias("name"))
+        right = right.union(spark.createDataFrame([(7, "seven"), (None, "none")], "rk int, name string"))
+        want = left.join(right, left["k"] == right["rk"], how)
+        got = keys.hot_lookup_join(left, right, "k", "rk", how, salts=16)
+        assert got.columns == want.columns
+        tally = lambda d: sorted((tuple(r) for r in d.groupBy(*d.columns).count().collect()), key=repr)
+        assert tally(got) == tally(want)
+
+        def largest(d):
+            sizes = d.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            return sizes / d.count()
+
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        assert largest(left.join(right, left["k"] == right["rk"], how)) > 0.33
+        assert largest(keys.hot_lookup_join(left, right, "k", "rk", how, salts=16)) < 0.16
+    finally:
+        for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(c)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_lookup_join_spreads_when_not_small(spark):
+    left = facts(spark)
+    right = left.select("k").distinct().withColumn("s", F.col("k") * 2.0)
+    got = keys.lookup_join(left, right, "k", "left", max_broadcast_bytes=-1)
+    assert got.columns == ["k", "v", "s"]
+    assert got.where("k IS NULL AND s IS NULL").count() == left.where("k IS NULL").count()
+    assert got.where("s = k * 2").count() == left.where("k IS NOT NULL").count()
+
+
+def test_equal_rows_are_drawn_independently(spark):
+    df = spark.createDataFrame([(1, "a", None)], "x int, y string, z double").crossJoin(spark.range(20_000).select()).repartition(3)
+    numbers = sampling.numbered(df, chunk=700)
+    assert numbers.groupBy().agg(F.count(F.lit(1)), F.count_distinct("_occurrence"), F.max("_occurrence")).first()[:] == (20_000, 20_000, 19_999)
+    sizes = lambda d, seed: [p.count() for p in sampling.random_split(d, [0.8, 0.1, 0.1], seed)]
+    one = sizes(df, 5)
+    assert sum(one) == 20_000 and abs(one[0] - 16_000) < 300 and abs(one[1] - 2000) < 250
+    assert sizes(df.coalesce(1), 5) == one != sizes(df, 6)
+    part = sampling.bernoulli_sample(df, 0.05, 1)
+    assert abs(part.count() - 1000) < 150 and part.schema == df.schema
+    mixed = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "x int")
+    assert sorted((r["x"], r["_occurrence"]) for r in sampling.numbered(mixed).fillna(0).collect()) == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]
