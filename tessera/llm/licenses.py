@@ -1,14 +1,17 @@
 """Licence scans by Dice coefficient over word bigrams.
 
-A document is looked at as a whole, by paragraph (split at empty lines) and by
-line.  Each unit is normalised to lower-case words of letters and digits and
-compared with every licence template as a set of word bigrams:
-``2 * shared / (unit bigrams + template bigrams)``.
+A document is looked at as a whole, by paragraph (split at empty lines), by line, and in
+windows of as many words as a template has, at every place of its whole word sequence: a
+licence set in several paragraphs, wrapped anew or written inside a sentence is found too.
+Each unit is normalised to lower-case words of letters and digits and compared with the
+licence templates as a set of word bigrams: ``2 * shared / (unit bigrams + template bigrams)``.
 
 Two bounds prune templates before any set is intersected: with a threshold t,
 only templates with between ``n * t / (2 - t)`` and ``n * (2 - t) / t`` bigrams
 can reach t against a unit of n bigrams; and of those only templates that share
-a bigram with the unit can.
+a bigram with the unit can.  Windows are formed only for templates of which the whole text
+holds at least ``size * t / (2 - t)`` different bigrams, as a matching window must; templates
+of fewer than ``MIN_WINDOW`` words have none (two words in a sentence grant nothing).
 
 Cases: a null or empty text has no units; a unit of one word is that word, as
 is such a template; equal Dice values go to the smaller template name; repeated
@@ -19,6 +22,7 @@ columns replace input columns of the same name.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +32,7 @@ from tessera.llm.common import read_table, with_text_columns
 from tessera.llm.decontaminate import normalised_words
 
 THRESHOLD = 0.85
+MIN_WINDOW = 4
 
 #: Licence names as they stand in one-line statements.
 NAMES = {
@@ -108,6 +113,14 @@ class Templates:
         for k, (_, s) in enumerate(self.sets):
             for g in s:
                 self.holders.setdefault(g, []).append(k)
+        # Templates with windows: name, number of words, bigrams, least number of them that a match shares.
+        lengths = {(name, len(w), bigrams(w)) for name, text in templates if len(w := normalised_words(text.encode())) >= MIN_WINDOW}
+        self.windowed = [(name, m, s, len(s) * threshold / (2 - threshold) - 1e-9) for name, m, s in sorted(lengths, key=lambda x: (x[0], x[1], sorted(x[2])))]
+        self.in_window: dict[bytes, list[int]] = {}
+        for k, (_, _, s, _) in enumerate(self.windowed):
+            for g in s:
+                self.in_window.setdefault(g, []).append(k)
+        self.known = frozenset(self.in_window)
 
     def matches(self, words: list[bytes]) -> Iterator[tuple[str, float]]:
         """(template name, Dice) of every template that reaches the threshold against a unit."""
@@ -129,6 +142,31 @@ class Templates:
                 yield name, dice
 
 
+    def windows(self, words: list[bytes]) -> Iterator[tuple[str, float]]:
+        """(template name, Dice) of every window of a template's length that reaches the threshold."""
+        row = [a + b" " + b for a, b in zip(words, words[1:], strict=False)]
+        held = Counter(k for g in self.known.intersection(row) for k in self.in_window[g])
+        for k, n in held.items():
+            name, m, other, least = self.windowed[k]
+            if n < least or len(words) < m:
+                continue
+            here: Counter[bytes] = Counter()
+            shared = 0
+            for i, g in enumerate(row):
+                here[g] += 1
+                shared += here[g] == 1 and g in other
+                if i >= m - 1:
+                    old = row[i - m + 1]
+                    here[old] -= 1
+                    if not here[old]:
+                        del here[old]
+                        shared -= old in other
+                if i >= m - 2:
+                    dice = 2.0 * shared / (len(here) + len(other))
+                    if dice >= self.threshold:
+                        yield name, dice
+
+
 def units(text: bytes) -> Iterator[bytes]:
     """Lines, paragraphs of several lines, and the whole text if it has several paragraphs."""
     paragraphs = text.split(b"\n\n")
@@ -144,9 +182,9 @@ def units(text: bytes) -> Iterator[bytes]:
 def scan_licenses(
     df: DataFrame, text_col: str = "text", templates: Iterable[tuple[str, str]] | Mapping[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Add ``license`` (best match or null), ``dice`` (0 without a match), ``n_matches`` (units that match) and ``licenses`` (sorted names)."""
-    if isinstance(templates, Mapping):
-        templates = list(templates.items())
+    """Add ``license`` (best match or null), ``dice`` (0 without a match), ``n_matches`` (units that match), ``n_windows`` (windows
+    that match) and ``licenses`` (sorted names)."""
+    templates = list(templates.items() if isinstance(templates, Mapping) else templates or ()) if templates is not None else None
     shared = df.sparkSession.sparkContext.broadcast(Templates(default_templates() if templates is None else templates, threshold))
 
     def rows(texts: Iterator[bytes | None]) -> Iterator[tuple]:
@@ -159,10 +197,14 @@ def scan_licenses(
                 n += bool(found)
                 for name, dice in found:
                     best[name] = max(dice, best.get(name, 0.0))
+            inside = 0
+            for name, dice in known.windows(normalised_words(text or b"")):
+                inside += 1
+                best[name] = max(dice, best.get(name, 0.0))
             top = min(best.items(), key=lambda x: (-x[1], x[0]), default=(None, 0.0))
-            yield top[0], top[1], n, ",".join(sorted(best))
+            yield top[0], top[1], n, inside, ",".join(sorted(best))
 
-    return with_text_columns(df, text_col, StructType.fromDDL("license string, dice double, n_matches long, licenses string"), rows)
+    return with_text_columns(df, text_col, StructType.fromDDL("license string, dice double, n_matches long, n_windows long, licenses string"), rows)
 
 
 def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,11 +227,21 @@ big AS (SELECT max(len(g)) AS most FROM t),
 g AS (SELECT doc_id, row_number() OVER () AS unit, {grams} AS g FROM (SELECT doc_id, {words.format('x')} AS w FROM u) WHERE len(w) > 0),
 m AS (SELECT doc_id, unit, name, 2.0 * len(list_intersect(g.g, t.g))::DOUBLE / (len(g.g) + len(t.g)) AS dice FROM g, t, big
   WHERE len(g.g) <= most * {(2 - THRESHOLD) / THRESHOLD} AND len(t.g) BETWEEN len(g.g) * {THRESHOLD / (2 - THRESHOLD)} - 1 AND len(g.g) * {(2 - THRESHOLD) / THRESHOLD} + 1),
+x AS (SELECT DISTINCT name, len(w) AS m, list_sort({grams}) AS g FROM (SELECT name, {words.format('x')} AS w FROM (VALUES {values}) AS v(name, x)) WHERE len(w) >= {MIN_WINDOW}),
+dw AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS n, {words.format('text')} AS w FROM documents),
+db AS (SELECT DISTINCT n, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM dw),
+xb AS (SELECT name, m, g, unnest(g) AS b FROM x),
+near AS (SELECT n, name, m, g FROM db JOIN xb USING (b) GROUP BY n, name, m, g HAVING count(*) >= len(g) * {THRESHOLD / (2 - THRESHOLD)} - 1e-9),
+wd AS (SELECT doc_id, n, name, 2.0 * len(list_intersect(v, g))::DOUBLE / (len(v) + len(g)) AS dice FROM (
+  SELECT doc_id, n, name, g, list_distinct(list_transform(range(s, s + m - 1), lambda i: w[i] || ' ' || w[i + 1])) AS v FROM (
+    SELECT doc_id, n, name, g, m, w, unnest(range(1, len(w) - m + 2)) AS s FROM near JOIN dw USING (n) WHERE len(w) >= m))),
+wk AS (SELECT doc_id, name, dice FROM wd WHERE dice >= {THRESHOLD}),
+wn AS (SELECT doc_id, count(*) AS n_windows FROM wk GROUP BY doc_id),
 k AS (SELECT doc_id, unit, name, max(dice) AS dice FROM m WHERE dice >= {THRESHOLD} GROUP BY ALL),
 b AS (SELECT doc_id, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, count(DISTINCT unit) AS n_matches,
-  string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM k GROUP BY doc_id)
-SELECT d.doc_id, license, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n_matches, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses
-FROM documents d LEFT JOIN b USING (doc_id)
+  string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM (SELECT doc_id, unit, name, dice FROM k UNION ALL SELECT doc_id, NULL, name, dice FROM wk) GROUP BY doc_id)
+SELECT d.doc_id, license, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n_matches, 0)::BIGINT AS n_matches, coalesce(n_windows, 0)::BIGINT AS n_windows, coalesce(licenses, '') AS licenses
+FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN wn USING (doc_id)
 """
 
 
