@@ -12,6 +12,7 @@ Conventions all operators follow:
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -85,6 +86,15 @@ def to_arrow(simple: str) -> pa.DataType:
     return known[simple]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on, and the stages after one that needed
+    much would otherwise start on top of it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU allocator has it
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift rounds) on uint64 arrays."""
     x = x ^ (x >> np.uint64(30))

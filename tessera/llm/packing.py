@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tessera.llm.common import free_name, quoted, read_table
+from tessera.llm.common import free_name, give_back, quoted, read_table
 from tessera.session import scratch_path
 
 CAPACITY = 4096
@@ -145,26 +145,31 @@ def tokenize_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_cache(path)
-        for batch in batches:
-            rows: list[tuple] = []
-            source: list[int] = []
-            for k, text in enumerate(batch.column(1).cast(pa.large_binary())):
-                ids = words.ids(text.as_py() or b"") + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    rows.append((piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-                    source.append(k)
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            out = {
-                "doc_id": batch.column(0).take(pa.array(source, pa.int64())),
-                "piece": pa.array(cols[0], pa.int32()),
-                "start": pa.array(cols[1], pa.int64()),
-                "length": pa.array(cols[2], pa.int64()),
-                "ids_crc32": pa.array(cols[3], pa.int64()),
-            }
-            if keep_ids:
-                out["ids"] = pa.array(cols[4], pa.binary())
-            yield pa.RecordBatch.from_pydict(out)
+        try:
+            for batch in batches:
+                rows: list[tuple] = []
+                source: list[int] = []
+                for k, text in enumerate(batch.column(1).cast(pa.large_binary())):
+                    ids = words.ids(text.as_py() or b"") + end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        rows.append((piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
+                        source.append(k)
+                cols = list(zip(*rows, strict=True)) or [[]] * 5
+                out = {
+                    "doc_id": batch.column(0).take(pa.array(source, pa.int64())),
+                    "piece": pa.array(cols[0], pa.int32()),
+                    "start": pa.array(cols[1], pa.int64()),
+                    "length": pa.array(cols[2], pa.int64()),
+                    "ids_crc32": pa.array(cols[3], pa.int64()),
+                }
+                if keep_ids:
+                    out["ids"] = pa.array(cols[4], pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
+        finally:
+            # The task is over: its words are not kept for the stages that follow in this worker.
+            words.known.clear()
+            give_back()
 
     return docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text")).mapInArrow(pieces, schema)
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tessera.llm.common import free_name, mix64, quoted, read_table
+from tessera.llm.common import free_name, give_back, mix64, quoted, read_table
 
 THRESHOLD = 50
 CHUNK_BYTES = 4 << 20
@@ -406,7 +406,10 @@ def find_repeats(
 
     def send_first(table: pa.Table) -> pa.Table:
         state = state_of(table)
-        return send(state, 1, table.column(len(names))[0].as_py(), (state.first(),), 48)
+        out = send(state, 1, table.column(len(names))[0].as_py(), (state.first(),), 48)
+        del state
+        give_back()
+        return out
 
     def send_later(step: int):
         def run(left: pa.Table, answers: pa.Table) -> pa.Table:
@@ -414,12 +417,16 @@ def find_repeats(
                 return SENT_ARROW.empty_table()
             state = replay(state_of(left), answers, step - 1)
             entries = state.second() if step == 2 else state.third()
-            return send(state, step, left.column(len(names))[0].as_py(), entries, 48 if step == 2 else 64)
+            out = send(state, step, left.column(len(names))[0].as_py(), entries, 48 if step == 2 else 64)
+            del state, entries
+            give_back()
+            return out
 
         return run
 
     def finish(left: pa.Table, answers: pa.Table) -> pa.Table:
         spans = replay(state_of(left), answers, 3).spans() if left.num_rows else []
+        give_back()
         return left.drop_columns([chunk_col]).append_column("repeat_spans", pa.array(spans, pa.list_(pa.int64())))
 
     def reply(sent: DataFrame) -> DataFrame:
