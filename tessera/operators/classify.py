@@ -72,17 +72,33 @@ def fit_forest(
         featuresCol="features",
         # Deep forests split thousands of nodes a level: more nodes per pass over the
         # data, and each row's node kept instead of walking the trees again.
-        maxMemoryInMB=2000,
+        maxMemoryInMB=1000,
         cacheNodeIds=True,
     )
     return _fitted_on(forest, train)
 
 
+#: Rows a partition of a tree's training set should hold.
+ROWS_PER_PART = 50_000
+
+
+def dealt_for_trees(train: DataFrame) -> DataFrame:
+    """Training rows dealt evenly over the cluster, but no thinner than is worth it.
+
+    For every level each partition sends split statistics of all nodes it saw (nodes x
+    bins x classes numbers, hundreds of MB for deep trees), so that partitions of a few
+    thousand rows would send far more than they hold.
+    """
+    train = train.select("label", "features")
+    parts = train.agg(F.count(F.lit(1))).first()[0] // ROWS_PER_PART
+    return spread(train, max(1, min(parts, train.sparkSession.sparkContext.defaultParallelism)))
+
+
 def _fitted_on(estimator, train: DataFrame):
-    """Fit on rows dealt evenly over the cluster and kept meanwhile (a persisted input is taken as it is)."""
+    """Fit on rows dealt out and kept meanwhile (a persisted input is taken as it is)."""
     if train.is_cached:
         return estimator.fit(train)
-    rows = spread(train.select("label", "features")).persist()
+    rows = dealt_for_trees(train).persist()
     try:
         return estimator.fit(rows)
     finally:
@@ -117,8 +133,8 @@ def grid(
 
     ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs).
     """
-    train = spread(train.select("label", "features")).persist()
-    cv = spread(cv.select("label", "features")).persist()
+    train = dealt_for_trees(train).persist()
+    cv = cv.select("label", "features").persist()
 
     def one(params):
         imp, d, b = params

@@ -194,7 +194,7 @@ def q_forest_accuracy(spark, sf):
 
 def q_forest_grid(spark, sf):
     (train, cv, _), _ = cat_splits(spark, sf)
-    return classify.grid(train, cv, _fit_forest, IMPURITIES, CAT_DEPTHS, CAT_BINS, parallel=4)
+    return classify.grid(train, cv, _fit_forest, IMPURITIES, CAT_DEPTHS, CAT_BINS, parallel=6)
 
 
 def q_forest_error(spark, sf):

@@ -115,7 +115,11 @@ def test_fits_read_evenly_dealt_rows(spark, monkeypatch):
     rows = classify.with_vector(spark.createDataFrame([(float(i % 2), [float(i % 2), 1.0]) for i in range(50)], "label double, features array<double>")).coalesce(1)
     fitted = []
     classify._fitted_on(type("E", (), {"fit": lambda self, d: fitted.append(d.rdd.getNumPartitions())})(), rows)
-    assert fitted == [spark.sparkContext.defaultParallelism]
+    monkeypatch.setattr(classify, "ROWS_PER_PART", 20)
+    classify._fitted_on(type("E", (), {"fit": lambda self, d: fitted.append(d.rdd.getNumPartitions())})(), rows)
+    monkeypatch.setattr(classify, "ROWS_PER_PART", 1)
+    classify._fitted_on(type("E", (), {"fit": lambda self, d: fitted.append(d.rdd.getNumPartitions())})(), rows)
+    assert fitted == [1, 2, spark.sparkContext.defaultParallelism]  # 50 rows: whole, in twenties, over all cores
 
 
 def test_a_failing_job_stops_the_others(spark):
