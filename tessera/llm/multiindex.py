@@ -328,8 +328,9 @@ def nearest_vectors(
     best = kth.groupBy("query_block").agg(F.collect_list(F.struct("query_id", "kth")).alias("best"))
     known = queries.join(best.withColumnRenamed("query_block", "block"), "block", "left")
     total = max(2, int(index.counts.sum()))
-    z = NormalDist().inv_cdf(1 - min(0.5, missed * k / total))
-    probes = held(probe(known, index, first, z * index.sigma), "probes")
+    # With nothing to be missed every cell is passed.
+    reach = -NormalDist().inv_cdf(min(0.5, missed * k / total)) * index.sigma if missed > 0 else math.inf
+    probes = held(probe(known, index, first, reach), "probes")
     return rerank(probes, blocks, index, k).select("query_id", "rank", "vec_id", "score")
 
 
