@@ -24,7 +24,7 @@ from tessera.functions import exprs as X
 from tessera.operators.evaluate import mean_auc
 from tessera.operators.jobs import map_jobs
 from tessera.operators.keys import lookup_join
-from tessera.session import scratch_path
+from tessera.session import ensure_checkpoint_dir, stored
 
 #: Item blocks whose lengths may be listed on the driver (one number per block).
 MAX_BLOCKS = 1_000_000
@@ -88,6 +88,7 @@ def fit_als(
 ) -> ALSModel:
     """L1: implicit ALS (``trainImplicit(ratings, rank, iterations, lambda, alpha)``)."""
     n = partitions or ratings.sparkSession.sparkContext.defaultParallelism
+    ensure_checkpoint_dir(ratings.sparkSession)
     # Range partitions on (user, item): content-determined (a seeded fit repeats) and a
     # user with a large share of the ratings spans several partitions.
     data = ratings.select("user", "item", "rating").repartitionByRange(n, "user", "item").sortWithinPartitions("user", "item")
@@ -104,7 +105,8 @@ def fit_als(
         numUserBlocks=n,
         numItemBlocks=n,
         coldStartStrategy="drop",
-        checkpointInterval=5,
+        # A checkpoint of the factors (they are small) lets the fit delete the blocks it has shuffled so far.
+        checkpointInterval=1,
     )
     return als.fit(data)
 
@@ -209,8 +211,8 @@ def recommend(model: ALSModel, users: DataFrame, n: int = 5, block: int = 4096)
 def recommend_from(user_factors: DataFrame, item_factors: DataFrame, users: DataFrame, n: int = 5, block: int = 4096) -> DataFrame:
     """``recommend`` for given factor tables (id, features)."""
     wanted = user_factors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
-    u = _stored(factor_blocks(wanted, block), "user-blocks")
-    i = _stored(factor_blocks(item_factors, block), "item-blocks")
+    u = stored(factor_blocks(wanted, block), "user-blocks")
+    i = stored(factor_blocks(item_factors, block), "item-blocks")
     heads = sorted(((r["longest"], r["block"], r["n"]) for r in i.select("longest", "block", "n").toLocalIterator()), key=lambda h: (-h[0], h[1]))
     if len(heads) > MAX_BLOCKS:
         raise ValueError("too many item blocks: raise the block size")
@@ -224,7 +226,7 @@ def recommend_from(user_factors: DataFrame, item_factors: DataFrame, users: Data
         count, first = count + heads[first][2], first + 1
     ids = np.array([h[1] for h in heads], dtype=np.int64)
     start = F.array(*[F.lit(int(b)) for b in ids[:first]]).cast("array<long>")
-    one = _stored(ranked(_best_of_pairs(u.select(F.col("block").alias("user_block"), F.explode(start).alias("block")), u, i, n)), "first")
+    one = stored(ranked(_best_of_pairs(u.select(F.col("block").alias("user_block"), F.explode(start).alias("block")), u, i, n)), "first")
     # Per user block, the least factor length an item must have to enter some user's top n.
     kth = one.groupBy("user_block", "user").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("s"), F.first("length").alias("length"))
     # A hair below, for rounding.  A user of length zero scores 0 everywhere, so all items tie.
@@ -243,12 +245,6 @@ def recommend_from(user_factors: DataFrame, item_factors: DataFrame, users: Data
     return ranked(both).select("user", "item", "score", "rank")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def recommendation_lines(recs: DataFrame) -> DataFrame:
     """``user -> item, item, ...`` in rank order (``mkString``)."""
     g = recs.groupBy("user").agg(F.sort_array(F.collect_list(F.struct("rank", "item"))).alias("r"))
