@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import cluster, features, kmeans_many, recommend
+from tessera.plans import classify
 from tessera.plans import cluster as plans
 from tessera.session import table
 
@@ -56,8 +58,6 @@ def test_long_inputs_are_fitted_in_the_same_scans(spark, monkeypatch):
 
 
 def _tables(spark, path, n=60):
-    from pyspark.sql import functions as F
-
     i = F.col("id")
     ts = F.lit("2020-01-01").cast("timestamp_ntz")
     spark.range(n).select(i.alias("l_orderkey"), i.alias("l_partkey"), i.alias("l_suppkey"), i.cast("int").alias("l_linenumber"), (i % 7).cast("double").alias("l_quantity"), (i * 1.5).alias("l_extendedprice"), (i % 3 / 10).alias("l_discount"), (i % 5 / 10).alias("l_tax"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (i % 3 + 1).cast("int")).alias("l_returnflag"), ts.alias("l_shipdate")).write.parquet(f"{path}/lineitem.parquet")
@@ -76,6 +76,17 @@ def test_records_are_joined_once(spark, tmp_path, monkeypatch, name):
     assert table(spark, str(tmp_path), "lineitem").count() == 60
 
 
+@pytest.mark.parametrize("name, rows", [("one_hot_decode", 60), ("tree_stump", 1)])
+def test_labelled_lines_are_joined_once(spark, tmp_path, name, rows):
+    _tables(spark, str(tmp_path))
+    # A stump needs two types.
+    spark.read.parquet(f"{tmp_path}/part.parquet").withColumn("p_type", F.concat(F.lit("t"), (F.col("p_partkey") % 2).cast("string"))).write.parquet(f"{tmp_path}/typed/part.parquet")
+    spark.read.parquet(f"{tmp_path}/lineitem.parquet").write.parquet(f"{tmp_path}/typed/lineitem.parquet")
+    out = classify.QUERIES[name](spark, f"{tmp_path}/typed")
+    assert out.count() == rows
+    assert "l_partkey" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_zscore_compiled_equals_general(spark, monkeypatch):
     df = spark.createDataFrame([([1.0, 2.0, None],), ([4.0, 5.0, 6.0],), ([1.0],), ([1.0, 2.0, 3.0, 4.0],), (None,)], "features array<double>")
     args = ("features", [1.5, 2.0, 0.0], [2.0, 0.0, None])
