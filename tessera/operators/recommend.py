@@ -26,8 +26,12 @@ from tessera.operators.jobs import map_jobs
 from tessera.operators.keys import lookup_join
 from tessera.session import ensure_checkpoint_dir, stored
 
-#: Item blocks whose lengths may be listed on the driver (one number per block).
-MAX_BLOCKS = 1_000_000
+#: Numbers about item blocks that may be listed on the driver and shipped to tasks.
+MAX_NUMBERS = 16_000_000
+#: Blocks whose rows may be dealt among them by direction, and how far their lengths may lie apart.
+NEAR, ALIKE = 64, 0.8
+#: Bytes of item blocks (by the optimizer's estimate) that may be shipped to every task.
+MAX_SHIPPED = 32 * 1024 * 1024
 
 
 def canonical_ratings(ratings: DataFrame, aliases: DataFrame, item_col: str = "item", aggregate: bool = False) -> DataFrame:
@@ -126,82 +130,151 @@ def factor_text(factors: DataFrame, sep: str = ", ") -> DataFrame:
 
 
 def factor_blocks(factors: DataFrame, size: int) -> DataFrame:
-    """(block, ids, vectors, longest, n): factors in descending order of length, packed ``size`` to a row.
+    """(block, ids, vectors, longest, n, low, high): factors packed ``size`` to a row, alike in length and direction.
 
-    Blocks are cut inside range partitions of the length, so no task orders all of
-    them; ``block`` numbers are unique, and ``longest`` is the greatest length in it.
+    Blocks are cut inside range partitions of the falling length, ``NEAR`` blocks at a time, so no
+    task orders or holds all of them; ``block`` numbers are unique, ``longest`` is the greatest length in
+    a block, ``low`` and ``high`` the least and greatest of each component.
     """
     rows = factors.select("id", F.transform("features", lambda x: x.cast("double")).alias("f"))
     rows = rows.withColumn("length", F.sqrt(X.array_sum(F.transform("f", lambda x: x * x))))
     parts = rows.sparkSession.sparkContext.defaultParallelism
     ordered = rows.repartitionByRange(parts, F.col("length").desc(), "id").sortWithinPartitions(F.col("length").desc(), "id")
 
+    def nearby(v: np.ndarray) -> np.ndarray:
+        """An order that puts near vectors together: halved in their widest component until ``size`` are left."""
+        out, todo = [], [np.arange(len(v))]
+        while todo:
+            at = todo.pop()
+            if len(at) <= size:
+                out.append(at)
+                continue
+            x = v[at]
+            order = np.argsort(x[:, (x.max(axis=0) - x.min(axis=0)).argmax()], kind="stable")
+            half = -(-len(at) // size) // 2 * size
+            todo += [at[order[half:]], at[order[:half]]]
+        return np.concatenate(out)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, at = [], TaskContext.get().partitionId() << 32
 
-        def row(table: pa.Table, block: int) -> pa.RecordBatch:
+        def packed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal at
             table = table.combine_chunks()
-            vectors = table.column("f").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8").tobytes()
-            cols = [[block], [table.column("id").to_pylist()], [vectors], [table.column("length")[0].as_py()], [table.num_rows]]
-            kinds = [pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.float64(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["block", "ids", "vectors", "longest", "n"])
+            vectors = table.column("f").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(table.num_rows, -1)
+            ids, lengths = table.column("id").combine_chunks(), table.column("length").to_numpy()
+            order, s = [], 0
+            while s < len(lengths):
+                alike = int(np.searchsorted(-lengths, -ALIKE * lengths[s], side="right")) - s
+                order.append(s + nearby(vectors[s : s + max(size, alike // size * size)]))
+                s += len(order[-1])
+            order = np.concatenate(order)
+            for s in range(0, len(order), size):
+                mine = order[s : s + size]
+                v = vectors[mine]
+                cols = [[at], [ids.take(pa.array(mine)).to_pylist()], [v.tobytes()], [lengths[mine].max()], [len(mine)], [v.min(axis=0)], [v.max(axis=0)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                at += 1
 
         for batch in batches:
             waiting.append(batch)
-            if sum(b.num_rows for b in waiting) >= size:
+            if sum(b.num_rows for b in waiting) >= NEAR * size:
                 table = pa.Table.from_batches(waiting)
-                while table.num_rows >= size:
-                    yield row(table.slice(0, size), at)
-                    table, at = table.slice(size), at + 1
+                while table.num_rows >= NEAR * size:
+                    yield from packed(table.slice(0, NEAR * size))
+                    table = table.slice(NEAR * size)
                 waiting = table.to_batches()
         if sum(b.num_rows for b in waiting):
-            yield row(pa.Table.from_batches(waiting), at)
+            yield from packed(pa.Table.from_batches(waiting))
+
+    names = ["block", "ids", "vectors", "longest", "n", "low", "high"]
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.float64(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+    return ordered.mapInArrow(pack, "block long, ids array<int>, vectors binary, longest double, n int, low array<double>, high array<double>")
+
+
+def _bounds(blocks: list, n: int):
+    """``(first, reached)``: which item blocks a block of users meets at first, and which its users' bounds leave.
+
+    A score is bounded by the product of lengths, and by an item block's least and greatest components.
+    """
+    ids, count, longest, low, high = (np.array([r[c] for r in blocks]) for c in ("block", "n", "longest", "low", "high"))
+
+    def most(u: np.ndarray, at) -> np.ndarray:
+        """At most what the users score in the blocks ``at`` (users x blocks), a hair above for rounding."""
+        by_length = np.sqrt((u * u).sum(axis=1))[:, None] * longest[at]
+        by_box = np.maximum(u, 0) @ high[at].T + np.minimum(u, 0) @ low[at].T
+        return np.minimum(by_box, by_length) + 1e-9 * by_length
+
+    def first(u: np.ndarray) -> np.ndarray:
+        """Blocks that hold ``n`` items or more together (or all), those first in which the mean user may score most."""
+        order = np.argsort(-most(u.mean(axis=0)[None, :], slice(None))[0], kind="stable")
+        return ids[order[: int(np.searchsorted(np.cumsum(count[order]), n)) + 1]]
+
+    def reached(u: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Blocks in which one of the users may score ``least`` (one number per user) or more."""
+        lowest, highest = u.min(axis=0), u.max(axis=0)
+        ends = np.maximum(np.maximum(lowest * low, lowest * high), np.maximum(highest * low, highest * high)).sum(axis=1)
+        by_length = np.sqrt((u * u).sum(axis=1).max()) * longest
+        some = np.flatnonzero(~(np.minimum(ends, by_length) + 1e-9 * by_length < least.min()))
+        step = max(1, 4_000_000 // len(u))
+        hit = [(~(most(u, some[s : s + step]) < least[:, None])).any(axis=0) for s in range(0, len(some), step)]
+        return ids[some[np.concatenate(hit)] if hit else some]
 
-    return ordered.mapInArrow(pack, "block long, ids array<int>, vectors binary, longest double, n int")
+    return first, reached
 
 
 def _best_of_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """(user_block, user, item, score, length): the top ``n`` of each user in each block of items it is paired with."""
+    """(user_block, user, item, score): the top ``n`` of each user in each block of items it is paired with.
+
+    Scores below a user's entry in ``least``, if there is one, may be left out.
+    """
     side = items.select("block", F.col("ids").alias("i_ids"), F.col("vectors").alias("i_vectors"), F.col("n").alias("i_n"))
-    who = users.select(F.col("block").alias("user_block"), "ids", "vectors", "n")
-    met = pairs.join(side, "block").join(who, "user_block").select("user_block", "ids", "vectors", "n", "i_ids", "i_vectors", "i_n")
+    who = users.select(F.col("block").alias("user_block"), "ids", "vectors", "n", "least")
+    met = lookup_join(pairs, side, "block", "inner", MAX_SHIPPED).join(who, "user_block")
+    met = met.select("user_block", "ids", "vectors", "n", "least", "i_ids", "i_vectors", "i_n")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
                 u = np.frombuffer(r["vectors"], dtype="<f8").reshape(r["n"], -1)
                 v = np.frombuffer(r["i_vectors"], dtype="<f8").reshape(r["i_n"], -1)
                 names, scores = np.array(r["i_ids"]), u @ v.T
                 top = np.full(len(u), -np.inf) if len(v) <= n else np.partition(scores, -n, axis=1)[:, -n]
-                i, j = np.nonzero(scores >= top[:, None] - 1e-12 * (1 + np.abs(top[:, None])) if len(v) > n else scores >= top[:, None])
+                if r["least"] is not None:
+                    top = np.maximum(top, np.frombuffer(r["least"], dtype="<f8"))
+                # A matrix product rounds by no more than a tiny share of the product of lengths.
+                hair = 1e-12 * (1 + np.sqrt((u * u).sum(axis=1) * (v * v).sum(axis=1).max()))
+                i, j = np.nonzero(scores >= (top - hair)[:, None])
                 # Components in order, so a pair's score does not depend on its blocks.
                 exact = np.zeros(len(i))
-                for k in range(u.shape[1]):
-                    exact += u[i, k] * v[j, k]
+                for c in range(u.shape[1]):
+                    exact += u[i, c] * v[j, c]
                 order = np.lexsort((names[j], -exact, i))
                 i, j, exact = i[order], j[order], exact[order]
                 keep = np.arange(len(i)) - np.searchsorted(i, i) < n
                 i, j, exact = i[keep], j[keep], exact[keep]
-                length = np.sqrt((u * u).sum(axis=1))
                 block = np.full(len(i), r["user_block"], dtype=np.int64)
-                cols = [pa.array(block), pa.array(np.array(r["ids"], dtype=np.int32)[i]), pa.array(names[j].astype(np.int32)), pa.array(exact), pa.array(length[i])]
-                yield pa.RecordBatch.from_arrays(cols, names=["user_block", "user", "item", "score", "length"])
+                cols = [pa.array(block), pa.array(np.array(r["ids"], dtype=np.int32)[i]), pa.array(names[j].astype(np.int32)), pa.array(exact)]
+                yield pa.RecordBatch.from_arrays(cols, names=["user_block", "user", "item", "score"])
 
-    return met.mapInArrow(score, "user_block long, user int, item int, score double, length double")
+    return met.mapInArrow(score, "user_block long, user int, item int, score double")
 
 
 def recommend(model: ALSModel, users: DataFrame, n: int = 5, block: int = 4096) -> DataFrame:
     """L3/T4: top ``n`` items for each given user → (user, item, score, rank); ties go to the smaller item id.
 
-    Users and items are packed into blocks by descending factor length, and block
+    Users and items are packed into blocks of like length and direction, and block
     pairs are joined on block ids and scored by one matrix product each:
 
-    1. every user block meets the first item blocks that hold ``n`` items or more,
-       which gives each user a lower bound for its n-th best score;
-    2. since a score is at most the product of the lengths, a user block then needs
-       only item blocks with ``longest * length > bound`` for one of its users.  Those
-       are a prefix of the blocks, found in their sorted list of lengths (one number
-       per ``block`` items, the only thing that reaches the driver).
+    1. every user block meets a few item blocks that hold ``n`` items or more, which
+       gives each user a lower bound for its n-th best score;
+    2. a score is at most the product of the lengths, and at most what the least and
+       greatest components of an item block allow.  So a user block then needs only
+       the item blocks in which one of its users may reach its bound.
+
+    Of the items, lengths and ends of the components of each block reach the driver
+    (``2 * rank + 1`` numbers per ``block`` items).
 
     Users without factors get no row, an empty model none at all.
     """
@@ -213,35 +286,45 @@ def recommend_from(user_factors: DataFrame, item_factors: DataFrame, users: Data
     wanted = user_factors.join(users.select(F.col("user").alias("id")).distinct(), "id", "left_semi")
     u = stored(factor_blocks(wanted, block), "user-blocks")
     i = stored(factor_blocks(item_factors, block), "item-blocks")
-    heads = sorted(((r["longest"], r["block"], r["n"]) for r in i.select("longest", "block", "n").toLocalIterator()), key=lambda h: (-h[0], h[1]))
-    if len(heads) > MAX_BLOCKS:
+    size = i.agg(F.count(F.lit(1)).alias("blocks"), F.max(F.size("low")).alias("width")).first()
+    if not size["blocks"]:
+        return u.sparkSession.createDataFrame([], "user int, item int, score double, rank int")
+    if size["blocks"] * (2 * size["width"] + 1) > MAX_NUMBERS:
         raise ValueError("too many item blocks: raise the block size")
+    first, reached = _bounds(i.select("block", "n", "longest", "low", "high").orderBy("block").collect(), n)
     order = Window.partitionBy("user_block", "user").orderBy(F.col("score").desc(), "item")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
-    count, first = 0, 0
-    while first < len(heads) and count < n:
-        count, first = count + heads[first][2], first + 1
-    ids = np.array([h[1] for h in heads], dtype=np.int64)
-    start = F.array(*[F.lit(int(b)) for b in ids[:first]]).cast("array<long>")
-    one = stored(ranked(_best_of_pairs(u.select(F.col("block").alias("user_block"), F.explode(start).alias("block")), u, i, n)), "first")
-    # Per user block, the least factor length an item must have to enter some user's top n.
-    kth = one.groupBy("user_block", "user").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("s"), F.first("length").alias("length"))
-    # A hair below, for rounding.  A user of length zero scores 0 everywhere, so all items tie.
-    need = F.when((F.col("m") < n) | (F.col("s") <= 0), 0.0).otherwise(F.col("s") / F.col("length") * (1 - 1e-9))
-    needs = kth.groupBy("user_block").agg(F.min(need).alias("need"))
-    falling = -np.array([h[0] for h in heads])
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                met = first(np.frombuffer(r["vectors"], dtype="<f8").reshape(r["n"], -1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(met), r["block"], dtype=np.int64)), pa.array(met)], names=["user_block", "block"])
+
+    pairs = stored(u.select("block", "vectors", "n").mapInArrow(start, "user_block long, block long"), "first-pairs")
+    one = stored(ranked(_best_of_pairs(pairs, u.withColumn("least", F.lit(None).cast("binary")), i, n)), "first")
+    kth = one.groupBy("user_block", "user").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("s"))
+    # One short list per user block; a user with fewer than ``n`` items so far has no bound.
+    known = kth.filter(F.col("m") >= n).groupBy(F.col("user_block").alias("block")).agg(F.collect_list("user").alias("users"), F.collect_list("s").alias("s"))
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for who, need in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                some = ids[first : int(np.searchsorted(falling, -need, side="right"))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), who, dtype=np.int64)), pa.array(some)], names=["user_block", "block"])
-
-    pairs = needs.mapInArrow(passed, "user_block long, block long")
-    both = one.drop("rank").unionByName(_best_of_pairs(pairs, u, i, n))
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                v = np.frombuffer(r["vectors"], dtype="<f8").reshape(r["n"], -1)
+                bound = dict(zip(r["users"] or [], r["s"] or [], strict=True))
+                least = np.array([bound.get(who, -np.inf) for who in r["ids"]])
+                meets = np.setdiff1d(reached(v, least), first(v))
+                cols = [[r["block"]], [r["ids"]], [r["vectors"]], [r["n"]], [least.astype("<f8").tobytes()], [meets]]
+                kinds = [pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["block", "ids", "vectors", "n", "least", "meets"])
+
+    bounded = u.join(known, "block", "left").select("block", "ids", "vectors", "n", "users", "s")
+    bounded = stored(bounded.mapInArrow(passed, "block long, ids array<int>, vectors binary, n int, least binary, meets array<long>"), "bounded")
+    rest = bounded.select(F.col("block").alias("user_block"), F.explode("meets").alias("block"))
+    both = one.drop("rank").unionByName(_best_of_pairs(rest, bounded, i, n))
     return ranked(both).select("user", "item", "score", "rank")
 
 

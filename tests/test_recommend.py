@@ -47,6 +47,20 @@ def test_the_norm_bound_skips_blocks(spark, monkeypatch):
     assert sum(seen) < 0.6 * 3 * 100  # 3 or more user blocks x 100 item blocks without the bound
 
 
+def test_components_bound_scores_where_lengths_do_not(spark, monkeypatch):
+    """Items of about one length and direction: a user across it needs few of their blocks."""
+    r = np.random.default_rng(9)
+    x = np.column_stack([r.uniform(-30, 30, 3000), r.integers(900, 1000, 3000), r.uniform(20, 50, 3000)])
+    u = np.column_stack([r.choice([-25.0, 25.0], 90), r.integers(1, 60, 90), np.full(90, 50.0)])
+    uf, vf = (spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(m)], "id int, features array<double>") for m in (u, x))
+    seen = []
+    real = recommend._best_of_pairs
+    monkeypatch.setattr(recommend, "_best_of_pairs", lambda pairs, *a: (seen.append(pairs.count()), real(pairs, *a))[1])
+    got = recommend.recommend_from(uf, vf, spark.range(90).select(F.col("id").cast("int").alias("user")), 3, 20)
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: (r[0], r[3])) == brute(u, x, 3)
+    assert sum(seen) < 0.4 * 5 * 150  # 5 or more user blocks x 150 item blocks
+
+
 def test_edges(spark):
     uf, _ = factors(spark, 4, 3, 5)
     vf, v = factors(spark, 2, 3, 6)
