@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import exprs as X
 from tessera.operators import evaluate, recommend, sampling, stats
 from tessera.plans.views import with_views
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import stored
 from tessera.sources import fixtures, text
 
 # Query parameters (a point lookup and one user's history are the feature of those queries).
@@ -46,8 +46,7 @@ def split(spark: SparkSession, sf: str, ratings: DataFrame | None = None) -> tup
 
 def kept_ratings(spark: SparkSession, sf: str) -> DataFrame:
     """``all_ratings`` computed once, for queries that read it several times."""
-    ensure_checkpoint_dir(spark)
-    return all_ratings(spark, sf).checkpoint(eager=True)
+    return stored(all_ratings(spark, sf), "ratings")
 
 
 def q_ratings_parse(spark, sf):
@@ -178,7 +177,7 @@ ALS_SEED = 7
 
 
 def _als(spark, sf, rank=10, max_iter=5, reg=0.01, alpha=1.0):
-    train, cv = split(spark, sf)
+    train, cv = split(spark, sf, kept_ratings(spark, sf))
     return recommend.fit_als(train, rank, max_iter, reg, alpha, seed=ALS_SEED), train, cv
 
 
@@ -209,12 +208,12 @@ def q_recommend_top_n(spark, sf):
 
 def _given_factors(spark, sf):
     """Factors taken from the data, so that SQL can rank them: customers by their ratings, parts by theirs."""
-    r = all_ratings(spark, sf)
+    r = kept_ratings(spark, sf)
 
     def side(key):
         g = r.groupBy(F.col(key).alias("id")).agg(F.avg("rating").alias("a"), F.count(F.lit(1)).alias("n"), F.max("rating").alias("m"))
         sign = F.when(F.col("id") % 3 == 0, -1.0).otherwise(1.0)
-        return g.select("id", F.array(F.col("a") * sign, F.col("n").cast("double"), F.col("m")).alias("features"))
+        return stored(g.select("id", F.array(F.col("a") * sign, F.col("n").cast("double"), F.col("m")).alias("features")), f"{key}-factors")
 
     return side("user"), side("item")
 

@@ -61,6 +61,17 @@ def test_components_bound_scores_where_lengths_do_not(spark, monkeypatch):
     assert sum(seen) < 0.4 * 5 * 150  # 5 or more user blocks x 150 item blocks
 
 
+def test_ratings_are_joined_once_for_a_fit(spark, sf_small, monkeypatch):
+    from tessera.plans import recommend as plans
+
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(recommend, "fit_als", lambda train, *a, **k: plan_of(train))
+    plan, train, cv = plans._als(spark, sf_small)
+    assert "Join" not in plan and "Join" not in plan_of(cv) and train.count() + cv.count() == plans.all_ratings(spark, sf_small).count()
+    users, items = plans._given_factors(spark, sf_small)
+    assert "Join" not in plan_of(users) + plan_of(items)
+
+
 def test_edges(spark):
     uf, _ = factors(spark, 4, 3, 5)
     vf, v = factors(spark, 2, 3, 6)
