@@ -104,3 +104,17 @@ def test_read_lines_partition_hint(spark, tmp_path):
     p.write_text("\n".join(str(i) for i in range(100)) + "\n")
     lines = text.read_lines(spark, str(p), min_partitions=5)
     assert lines.rdd.getNumPartitions() >= 5 and lines.count() == 100
+
+
+def test_pair_lines_are_rendered_once(spark, sf_small):
+    from tessera.plans import linkage
+
+    plan = linkage.parsed_pairs(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws(") == 1
+
+
+@pytest.mark.parametrize("end", ["", "\n", "\r\n", "\u2028"])
+def test_a_line_end_does_not_hide_an_empty_field(spark, end):
+    df = spark.createDataFrame([("1 2 " + end,)], "value string")
+    with pytest.raises(Exception, match="empty field"):
+        text.parse_triples(df).collect()
