@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_name, held, mix64, quoted, read_table, window_codes
+from tessera.llm.common import free_name, give_back, held, mix64, quoted, read_table, window_codes
 
 SHINGLE = 5
 PERCENT = 80
@@ -140,6 +140,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["doc_id", "text_key", "n_shingles", "node", "bands"],
             )
+        give_back()
 
     return rows.mapInArrow(sign, f"doc_id {kind}, text_key long, n_shingles long, node binary, bands array<long>")
 
@@ -211,6 +212,7 @@ def jaccard(pairs: DataFrame, texts: DataFrame, shingle: int, differences: bool
                 [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(union, pa.int64()), pa.array(added, longs), pa.array(removed, longs)],
                 names=["a", "b", "shared", "union", "added", "removed"],
             )
+        give_back()
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
     return joined.mapInArrow(compare, "a binary, b binary, shared long, union long, added array<long>, removed array<long>")

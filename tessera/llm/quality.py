@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import covered, quoted, read_table, window_codes, with_text_columns, word_ids
+from tessera.llm.common import covered, give_back, quoted, read_table, window_codes, with_text_columns, word_ids
 
 
 @dataclass(frozen=True)
@@ -128,6 +128,7 @@ def compression_bands(df: DataFrame, text_col: str = "text", params: QualityPara
             else:
                 ok, ratio, low, high, bad, reason = verdict(text, params, z)
                 yield *head, ok, ratio, low, high, bad, reason
+        give_back()
 
     return with_text_columns(df, text_col, StructType.fromDDL(SCHEMA), rows)
 
