@@ -97,11 +97,12 @@ def give_back() -> None:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift rounds) on uint64 arrays."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # a copy; the rest is done in place
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_ids(words: list[bytes]) -> np.ndarray:

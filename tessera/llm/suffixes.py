@@ -51,7 +51,7 @@ from tessera.llm.common import free_name, give_back, mix64, quoted, read_table
 
 THRESHOLD = 50
 CHUNK_BYTES = 4 << 20
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 BUCKET_ENTRIES = 500_000
 MAX_SURROUNDINGS = 4
 LAST = np.int64((1 << 63) - 1)
@@ -104,16 +104,18 @@ class Chunk:
         """Row of each position (rows without bytes hold none)."""
         return np.searchsorted(self.ends, at, side="right")
 
-    def words(self, at: np.ndarray, before: int, after: int) -> np.ndarray:
-        """Rows of uint64 words with the bytes [at - before, at + after), zero outside the document."""
-        count = (before + after + 7) // 8
-        doc = self.doc_of(at)
+    def words(self, at: np.ndarray, doc: np.ndarray, before: int, after: int) -> Iterator[np.ndarray]:
+        """The bytes [at - before, at + after) as columns of uint64 words, zero outside the documents ``doc``."""
         begin, end = self.starts[doc], np.minimum(self.ends[doc], at + after)
-        out = np.empty((len(at), count), dtype=U)
-        for w in range(count):
-            first = at - before + 8 * w
-            out[:, w] = self.eight[first + self.front] & FROM[np.clip(begin - first, 0, 8)] & UPTO[np.clip(end - first, 0, 8)]
-        return out
+        for shift in range(-before, after, 8):
+            first = at + shift
+            word = self.eight[first + self.front]
+            # A document begins at or before ``at`` and ends after it, so only words on that side are cut there.
+            if shift < 0:
+                word &= FROM[np.clip(begin - first, 0, 8)]
+            if shift > -8:
+                word &= UPTO[np.clip(end - first, 0, 8)]
+            yield word
 
     def digest(self, at: np.ndarray, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
         """80-bit digests (64 and 16 bits) of the bytes around positions and of how far they reach."""
@@ -125,9 +127,13 @@ class Chunk:
             right = np.minimum(self.ends[doc] - some, after).astype(U)
             a = mix64((left << U(32)) | right | U(1 << 62))
             b = mix64(a ^ U(0x2545F4914F6CDD1D))
-            for column in self.words(some, before, after).T:
-                a = mix64(a * U(0x9E3779B97F4A7C15) + column)
-                b = mix64((b ^ column) * U(0xD6E8FEB86659FD93))
+            for column in self.words(some, doc, before, after):
+                a *= U(0x9E3779B97F4A7C15)
+                a += column
+                a = mix64(a)
+                b ^= column
+                b *= U(0xD6E8FEB86659FD93)
+                b = mix64(b)
             first[lo : lo + len(some)] = a
             second[lo : lo + len(some)] = b >> U(48)
         return first, second
@@ -150,21 +156,23 @@ class Chunk:
         n = hi - lo
         if n < t:
             return np.empty(0, np.int64), np.empty(0, U)
-        view = self.buf[lo:hi]
+        # This digest orders and filters only, so its words are mixed lightly; the last step spreads all bits.
         x = np.full(n - k + 1, 0x1234567, dtype=U)
-        whole = np.concatenate((view, np.zeros(8, np.uint8)))
-        eight = np.ndarray((n + 1,), dtype=U, buffer=whole, strides=(1,))
+        eight = self.eight[self.front + lo :]
         for j in range(0, k, 8):
             part = eight[j : j + len(x)]
-            if k - j < 8:
-                part = part & U((1 << (8 * (k - j))) - 1)
-            x = mix64(x * U(0x9E3779B97F4A7C15) + part)
+            x ^= part & U((1 << (8 * (k - j))) - 1) if k - j < 8 else part
+            x *= U(0x9E3779B97F4A7C15)
+            x ^= x >> U(32)
+        x = mix64(x)
         x |= U(1)
         w = t - k + 1
         small = slide(x, w, np.minimum)
         # A window counts only if it ends inside its document.
-        first = np.arange(lo, lo + len(small))
-        small = np.where(first + t <= self.ends[np.minimum(self.doc_of(first), len(self.ends) - 1)], small, U(0))
+        end = lo + len(small)
+        some = slice(int(self.doc_of(lo)), int(self.doc_of(end - 1)) + 1)
+        held_by = np.minimum(self.ends[some], end) - np.maximum(self.starts[some], lo)
+        small[np.arange(lo, end) > np.repeat(self.ends[some] - t, held_by)] = 0
         edge = np.zeros(w - 1, U)
         chosen = np.flatnonzero(slide(np.concatenate((edge, small, edge)), w, np.maximum) == x)
         return chosen + lo, x[chosen]
@@ -176,9 +184,9 @@ class Chunk:
         last = np.minimum(at, self.ends[doc] - self.threshold)
         good = last >= first
         edge = np.zeros(len(self.buf) + 1, dtype=np.int32)
-        np.add.at(edge, first[good], 1)
-        np.add.at(edge, last[good] + 1, -1)
-        return np.cumsum(edge[:-1]) > 0
+        np.add.at(edge, first[good], np.int32(1))
+        np.add.at(edge, last[good] + 1, np.int32(-1))
+        return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def slide(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
@@ -192,17 +200,31 @@ def slide(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
 
 def group_min(keys: list[np.ndarray], values: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Distinct keys in order, the smallest value of each, and each row's group."""
-    order = np.lexsort((values, *reversed(keys)))
-    new = np.zeros(len(order), dtype=bool)
-    if len(order):
-        new[0] = True
-        for key in keys:
-            s = key[order]
-            new[1:] |= s[1:] != s[:-1]
-    first = order[new]
+    order = np.argsort(keys[0])
+    new = changes(keys[0][order])
+    if len(keys) > 1:
+        # The further keys seldom split a group of the first; if they do, all keys are sorted.
+        every = new.copy()
+        for key in keys[1:]:
+            every |= changes(key[order])
+        if (every != new).any():
+            order = np.lexsort(tuple(reversed(keys)))
+            new = changes(keys[0][order])
+            for key in keys[1:]:
+                new |= changes(key[order])
+    begin = np.flatnonzero(new)
+    first = order[begin]
     back = np.empty(len(order), dtype=np.int64)
     back[order] = np.cumsum(new) - 1
-    return [key[first] for key in keys], values[first], back
+    least = np.minimum.reduceat(values[order], begin) if len(begin) else values[:0]
+    return [key[first] for key in keys], least, back
+
+
+def changes(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it; the first one does."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
 
 
 class State:
@@ -221,18 +243,20 @@ class State:
 
     # pass 1
     def first(self) -> np.ndarray:
-        self.keys = np.unique(self.key)
-        return self.keys
+        self.order = np.argsort(self.key)
+        inorder = self.key[self.order]
+        self.new = changes(inorder)
+        return inorder[self.new]
 
     def after_first(self, repeated: np.ndarray) -> None:
         """Keep the anchors that other chunks have too, or two documents here."""
-        at = np.searchsorted(self.keys, self.key)
-        low = np.full(len(self.keys), LAST)
-        high = np.full(len(self.keys), -LAST)
-        np.minimum.at(low, at, self.doc)
-        np.maximum.at(high, at, self.doc)
-        keep = (repeated | (low < high))[at] if len(self.keys) else np.zeros(0, dtype=bool)
+        begin, doc = np.flatnonzero(self.new), self.doc[self.order]
+        keep = np.zeros(len(doc), dtype=bool)
+        if len(begin):
+            several = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
+            keep[self.order] = (repeated | several)[np.cumsum(self.new) - 1]
         self.at, self.key, self.doc = self.at[keep], self.key[keep], self.doc[keep]
+        del self.order, self.new
 
     # pass 2
     def second(self) -> tuple[np.ndarray, ...]:
@@ -331,8 +355,10 @@ def answer(table: pa.Table) -> pa.Table:
     sizes = [len(get(r["a"], True)) for r in rows]
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     if step == 1:
-        _, back, times = np.unique(columns[0], return_inverse=True, return_counts=True)
-        first, second = times[back] > 1, None
+        order = np.argsort(columns[0])
+        new = changes(columns[0][order])
+        first, second = np.empty(len(order), dtype=bool), None
+        first[order] = ~(new & np.append(new[1:], True))
     else:
         *keys, low = columns
         low = low.astype(np.int64)

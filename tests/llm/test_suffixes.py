@@ -91,3 +91,38 @@ def test_empty_and_sha(spark):
     assert S.find_repeats(df).count() == 0
     assert S.cut_bytes(b"abcdef", [1, 3, 5, 6]) == b"ade"
     assert hashlib.sha256(S.cut_bytes(b"", [])).hexdigest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_passes_sort_each_column_once_and_find_documents_per_block(monkeypatch):
+    # Hash tables of all anchors and a document search per byte took most of the time of every pass.
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    texts = pa.array(["".join(rnd.choice("abc ") for _ in range(rnd.choice([0, 10, 49, 50, 900]))) for _ in range(300)])
+    ids = pa.array(range(300), pa.int64())
+    asked, doc_of = [], S.Chunk.doc_of
+    monkeypatch.setattr(S.Chunk, "doc_of", lambda self, at: asked.append(np.size(at)) or doc_of(self, at))
+    chunk = S.Chunk(ids, texts, 50)
+    assert len(chunk.anchors()[0]) and max(asked, default=0) == 1
+    monkeypatch.setattr(S.np, "unique", None)
+    state = S.State(ids, texts, 50, 1)
+    assert state.first().tolist() == sorted(set(state.key.tolist()))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_group_min_matches_brute_force(wide):
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    one = rnd.integers(0, 40, 500).astype(np.uint64)
+    two = rnd.integers(0, 3, 500).astype(np.uint64) if wide else one * np.uint64(7)
+    values = rnd.integers(-50, 50, 500)
+    keys, least, back = S.group_min([one, two], values)
+    rows = list(zip(one.tolist(), two.tolist(), strict=True))
+    want = sorted(set(rows))
+    assert list(zip(*(k.tolist() for k in keys), strict=True)) == want
+    assert least.tolist() == [min(v for r, v in zip(rows, values.tolist(), strict=True) if r == w) for w in want]
+    assert [want[g] for g in back.tolist()] == rows
+    none = S.group_min([one[:0], two[:0]], values[:0])
+    assert [len(x) for x in (*none[0], *none[1:])] == [0, 0, 0, 0]
