@@ -6,6 +6,10 @@ training texts; the table grows with the corpus and stays distributed.  Only its
 frequent words are never shuffled when texts are scored; the rare rest of each
 text meets the table in a join.
 
+**Ranks.** Texts are split and looked up once: the ranks of their words, and what
+the model needs of words outside the shipped table, are written to the shared
+folder, where every gradient round and the scoring read them.
+
 **Model.** The ``CLASSES * SLOTS`` most frequent words form classes of ``SLOTS``
 neighbours in rank; all other words are one further class.  The probability of
 a word after its history is P(class | history) * P(word | class, history), both
@@ -37,9 +41,11 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -58,6 +64,8 @@ PRIOR = 4.0
 BLOCKS = 64
 KNOWN_WORDS = 200_000
 FLUSH = 1 << 20
+#: Texts are split in groups of about this many bytes, or one text.
+GROUP_BYTES = 1 << 21
 #: A task of a gradient round sends tables of a fixed size, so it should see this many tokens at least.
 TASK_TOKENS = 8_000_000
 U = np.uint64
@@ -67,6 +75,22 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours that end as soon as they reach ``most`` together."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(ends):
+        hi = min(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most)) + 1, len(ends))
+        yield lo, hi
+        lo = hi
+
+
+def text_groups(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of about ``GROUP_BYTES`` at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for lo, hi in groups(sizes, GROUP_BYTES):
+        yield lo, texts.slice(lo, hi - lo)
+
+
 # -- counts ----------------------------------------------------------------------
 
 
@@ -74,20 +98,26 @@ def count_words(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts, the end token (the empty word) included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        parts: list[pa.Table] = []
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-            seen.clear()
-            return out
+        def merged() -> pa.Table:
+            return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["word", "n"])
 
+        ends = 0
         for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()):
-                seen.update(words_of(text.as_py()))
-            seen[b""] += batch.num_rows
-            if len(seen) > FLUSH:
-                yield flush()
-        yield flush()
+            ends += batch.num_rows
+            for _, some in text_groups(batch.column(0)):
+                # Splits where bytes.split() does; spaces at either end leave empty words.
+                words = pc.ascii_split_whitespace(pc.ascii_lower(some)).flatten().cast(pa.string())
+                seen = words.filter(pc.greater(pc.binary_length(words), 0)).value_counts()
+                parts.append(pa.table({"word": seen.field(0), "n": seen.field(1)}))
+                if sum(p.num_rows for p in parts) > FLUSH:
+                    parts = [merged()]
+                    if parts[0].num_rows > FLUSH // 2:
+                        yield from parts.pop().to_batches()
+        if ends:
+            parts.append(pa.table({"word": pa.array([END], pa.string()), "n": pa.array([ends], pa.int64())}))
+            yield from merged().to_batches()
 
     return texts.select(quoted(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -138,24 +168,41 @@ def lexicon(counts: DataFrame, known_words: int) -> Lexicon:
 # -- model ------------------------------------------------------------------------
 
 
+def look_up(texts: list[list[bytes]], lex: Lexicon) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """(ranks of all tokens, -1 outside the table; tokens per text; words outside the table, where they stand)."""
+    flat: list[bytes] = []
+    for words in texts:
+        flat += words
+        flat.append(b"")
+    rank = np.fromiter(map(lex.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
+    missing = rank < 0
+    missing[np.cumsum(sizes) - 1] = False  # the end token is in no history
+    at = np.flatnonzero(missing)
+    return rank, sizes, [flat[i] for i in at.tolist()], at
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=U, count=len(words))
+
+
 class Tokens:
     """Token ranks and history features of several texts, in numpy."""
 
     def __init__(self, texts: list[list[bytes]], lex: Lexicon) -> None:
-        get = lex.index.get
-        flat: list[int] = []
-        self.tail: list[Counter[bytes]] = []
-        sizes, unknown = [], []
-        for words in texts:
-            ranks = [get(w, -1) for w in words]
-            rare = [w for w, r in zip(words, ranks, strict=True) if r < 0] if -1 in ranks else []
-            unknown += rare
-            self.tail.append(Counter(rare))
-            ranks.append(get(b"", -1))
-            flat += ranks
-            sizes.append(len(ranks))
-        self.rank = np.array(flat, dtype=np.int64)
-        self.sizes = np.array(sizes, dtype=np.int64)
+        rank, sizes, rare, _ = look_up(texts, lex)
+        self._set(rank, sizes, hashes_of(rare), lex)
+
+    @classmethod
+    def ranked(cls, rank: np.ndarray, sizes: np.ndarray, outside: np.ndarray, lex: Lexicon) -> Tokens:
+        """From ranks, tokens per text, and the hashes of the words outside the table."""
+        out = cls.__new__(cls)
+        out._set(rank, sizes, outside, lex)
+        return out
+
+    def _set(self, rank: np.ndarray, sizes: np.ndarray, outside: np.ndarray, lex: Lexicon) -> None:
+        self.rank = rank
+        self.sizes = sizes
         self.begin = np.cumsum(self.sizes) - self.sizes
         if len(lex.hashes):
             hashes = lex.hashes[self.rank]
@@ -163,11 +210,12 @@ class Tokens:
             hashes = np.zeros(len(self.rank), U)
         missing = self.rank < 0
         missing[self.begin + self.sizes - 1] = False  # the end token is in no history
-        hashes[missing] = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in unknown), dtype=U, count=len(unknown))
-        place = np.arange(len(flat)) - np.repeat(self.begin, self.sizes)
+        hashes[missing] = outside
         start = U(0x1F83D9ABFB41BD6B)
-        one = np.where(place >= 1, np.roll(hashes, 1), start)
-        two = np.where(place >= 2, np.roll(hashes, 2), start)
+        one = np.roll(hashes, 1)
+        two = np.roll(hashes, 2)
+        one[self.begin] = two[self.begin] = start
+        two[(self.begin + 1)[self.sizes > 1]] = start
         self.features = [
             mix64(one * U(0x9E3779B97F4A7C15) + U(1)),
             mix64(mix64(one * U(0xC2B2AE3D27D4EB4F) + U(2)) + two * U(0x165667B19E3779F9)),
@@ -178,6 +226,63 @@ class Tokens:
         self.slot = np.where(head, self.rank % SLOTS, 0)
 
 
+RANKED = "struct<ranks: binary, outside: binary>"
+
+
+def ranked(docs: DataFrame, lex, columns: list[str], text_col: str = "text") -> DataFrame:
+    """``columns`` with the ranked form of the texts, a number ``row`` each, and their words outside the table with counts.
+
+    Numbers follow the layout, so the result is written (``held``) before they are used.
+    """
+    rows = docs.select(*[quoted(c) for c in columns], quoted(text_col).cast("string"))
+    kinds = "".join(f"`{c.replace('`', '``')}` {k}, " for c, k in rows.dtypes[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, row = lex.value, TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for lo, some in text_groups(batch.column(len(columns))):
+                rank, sizes, words, at = look_up([words_of(x.as_py()) for x in some.cast(pa.large_binary())], known)
+                ends = np.cumsum(sizes)
+                cuts = np.searchsorted(at, np.concatenate(([0], ends)))
+                tails = [Counter(words[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                form = [packed(rank.astype(np.int32), ends), packed(hashes_of(words), cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[c.slice(lo, len(some)) for c in batch.columns[:-1]],
+                        pa.StructArray.from_arrays(form, names=["ranks", "outside"]),
+                        pa.array(range(row, row + len(some)), pa.int64()),
+                        pa.array([[w.decode() for w in t] for t in tails], pa.list_(pa.string())),
+                        pa.array([list(t.values()) for t in tails], pa.list_(pa.int32())),
+                    ],
+                    names=[*columns, "ranked", "row", "rare", "rare_n"],
+                )
+                row += len(some)
+
+    return rows.mapInArrow(run, f"{kinds}ranked {RANKED}, row long, rare array<string>, rare_n array<int>")
+
+
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary value per text from its stretch of a column (``ends``: where each stretch ends)."""
+    offsets = np.concatenate(([0], ends)).astype(np.int64) * values.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(values, how many per text) of a column made by ``packed``."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind), sizes
+
+
+def token_groups(form: pa.StructArray, lex: Lexicon) -> Iterator[tuple[int, Tokens]]:
+    """(first row, tokens) of ranked texts, about four batches of tokens at a time."""
+    ranks, outside = form.field("ranks"), form.field("outside")
+    sizes = pc.binary_length(ranks).to_numpy(zero_copy_only=False) // 4
+    for lo, hi in groups(sizes, 4 * BATCH):
+        rank, n = unpacked(ranks.slice(lo, hi - lo), np.int32)
+        hashes, _ = unpacked(outside.slice(lo, hi - lo), U)
+        yield lo, Tokens.ranked(rank.astype(np.int64), n, hashes, lex)
+
+
 def rows_of(features: list[np.ndarray]) -> list[np.ndarray]:
     """Rows of the weight table for each feature; row 0 is the bias of classes (see ``Model``)."""
     return [(f >> U(64 - BITS)).astype(np.int64) for f in features]
@@ -308,28 +413,23 @@ def fold(table: pa.Table) -> pa.Table:
 def gradient_round(texts: DataFrame, text_col: str, lex, model: Model) -> list[np.ndarray]:
     """Expected feature counts over all texts under the current model, in the first round after the observed ones.
 
-    Input splits are joined (without a shuffle) until a task has enough tokens
-    for the tables it sends; all cores keep a task or two.
+    ``text_col`` holds texts or their ranked form.  Input splits are joined
+    (without a shuffle) until a task has enough tokens for the tables it sends;
+    all cores keep a task or two.
     """
+    if dict(texts.dtypes)[text_col] == "string":
+        texts, text_col = ranked(texts, lex, [], text_col), "ranked"
     tasks = max(2 * texts.sparkSession.sparkContext.defaultParallelism, lex.value.tokens // TASK_TOKENS)
     width = math.isqrt(tasks)
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, part, known = Sums(shared.value), TaskContext.get().partitionId() % width, lex.value
-        held_texts: list[list[bytes]] = []
-        size = 0
         some = False
         for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()):
-                held_texts.append(words_of(text.as_py()))
-                size += len(held_texts[-1]) + 1
+            for _, tokens in token_groups(batch.column(0), known):
+                out.add(tokens)
                 some = True
-                if size >= 4 * BATCH:
-                    out.add(Tokens(held_texts, known))
-                    held_texts, size = [], 0
-        if held_texts:
-            out.add(Tokens(held_texts, known))
         if some:
             whole = [np.array_split(t, BLOCKS, axis=1) for t in out.finish()]
             for b in range(BLOCKS):
@@ -339,7 +439,7 @@ def gradient_round(texts: DataFrame, text_col: str, lex, model: Model) -> list[n
                 )
 
     ddl = "block int, part int, sums binary"
-    parts = texts.select(quoted(text_col).alias("text")).coalesce(tasks).mapInArrow(sums, ddl)
+    parts = texts.select(quoted(text_col)).coalesce(tasks).mapInArrow(sums, ddl)
     # Two levels of about the square root of the tasks each, so no sum takes a part from every task.
     rows = parts.groupBy("block", "part").applyInArrow(fold, ddl).groupBy("block").applyInArrow(fold, ddl).collect()
     n = (1 << BITS) // BLOCKS
@@ -357,17 +457,23 @@ def train(texts: DataFrame, text_col: str = "text", known_words: int = KNOWN_WOR
     """(distributed word counts, shipped words, trained model) from all texts."""
     counts = held(count_words(texts, text_col), "words")
     lex = lexicon(counts, known_words)
-    shared = texts.sparkSession.sparkContext.broadcast(lex)
+    rows = held(ranked(texts, texts.sparkSession.sparkContext.broadcast(lex), [], text_col).select("ranked"), "ranked")
+    return counts, lex, fit(rows, lex, rounds)
+
+
+def fit(rows: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Model:
+    """The model trained on all ranked texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(lex)
     model = Model(lex)
     for _ in range(rounds if lex.tokens else 0):
-        tables = gradient_round(texts, text_col, shared, model)
+        tables = gradient_round(rows, "ranked", shared, model)
         if model.fresh:
             seen, seen_words = tables[:2]
         expected, expected_words = tables[-2:]
         model.class_rows += (RATE * np.log((seen + PRIOR) / (expected + PRIOR))).astype(np.float32)
         model.word_rows += (RATE * np.log((seen_words + PRIOR) / (expected_words + PRIOR))).astype(np.float32)
         model.fresh = False
-    return counts, lex, model
+    return model
 
 
 # -- scores -----------------------------------------------------------------------
@@ -390,54 +496,44 @@ def score_tokens(tokens: Tokens, lex: Lexicon, model: Model) -> np.ndarray:
     return out
 
 
-SCORED = (
-    "row long, n_tokens long, known_tokens long, known_sum double, model_sum double, rare array<string>, rare_n array<int>"
-)
+SCORED = "row long, n_tokens long, known_tokens long, known_sum double, model_sum double"
 
 
 def score(docs: DataFrame, counts: DataFrame, lex: Lexicon, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row."""
-    spark = docs.sparkSession
-    shared_lex, shared_model = spark.sparkContext.broadcast(lex), spark.sparkContext.broadcast(model)
     rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
+    return score_ranked(held(ranked(rows, docs.sparkSession.sparkContext.broadcast(lex), ["doc_id"]), "ranked"), counts, lex, model)
+
+
+def score_ranked(rows: DataFrame, counts: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
+    """The scores from what ``ranked`` made, written before."""
+    spark = rows.sparkSession
+    shared_lex, shared_model = spark.sparkContext.broadcast(lex), spark.sparkContext.broadcast(model)
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, current = shared_lex.value, shared_model.value
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                texts: list[list[bytes]] = []
-                size, begin = 0, at
-                while at < batch.num_rows and size < 4 * BATCH:
-                    texts.append(words_of(batch.column(1)[at].cast(pa.large_binary()).as_py()))
-                    size += len(texts[-1]) + 1
-                    at += 1
-                tokens = Tokens(texts, known)
-                model_sum = np.add.reduceat(score_tokens(tokens, known, current), tokens.begin)
+            for lo, tokens in token_groups(batch.column(2), known):
                 inside = tokens.rank >= 0
                 logs = np.zeros(len(inside))
                 logs[inside] = known.log_count[tokens.rank[inside]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(begin, at - begin),
-                        pa.array(range(row, row + len(texts)), pa.int64()),
+                        batch.column(0).slice(lo, len(tokens.sizes)),
+                        batch.column(1).slice(lo, len(tokens.sizes)),
                         pa.array(tokens.sizes),
                         pa.array(np.add.reduceat(inside.astype(np.int64), tokens.begin)),
                         pa.array(np.add.reduceat(logs, tokens.begin)),
-                        pa.array(model_sum),
-                        pa.array([[w.decode() for w in t] for t in tokens.tail], pa.list_(pa.string())),
-                        pa.array([list(t.values()) for t in tokens.tail], pa.list_(pa.int32())),
+                        pa.array(np.add.reduceat(score_tokens(tokens, known, current), tokens.begin)),
                     ],
-                    names=["doc_id", "row", "n_tokens", "known_tokens", "known_sum", "model_sum", "rare", "rare_n"],
+                    names=["doc_id", "row", "n_tokens", "known_tokens", "known_sum", "model_sum"],
                 )
-                row += len(texts)
 
-    scored = held(rows.mapInArrow(run, f"doc_id {kind}, {SCORED}"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))
+    scored = rows.select("doc_id", "row", "ranked").mapInArrow(run, f"doc_id {kind}, {SCORED}")
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))
     met = rare.join(counts, "word").groupBy("row").agg(F.sum("k").alias("rare_tokens"), F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("rare_sum"))
-    out = scored.drop("rare", "rare_n").join(met, "row", "left")
+    out = scored.join(met, "row", "left")
     rare_sum = F.coalesce("rare_sum", F.lit(0.0))
     return out.select(
         "doc_id",
@@ -455,5 +551,8 @@ def held_out(id_col: Column) -> Column:
 
 def q_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts, lex, model = train(docs.where(~held_out(F.col("doc_id"))))
-    return score(docs, counts, lex, model).withColumn("held_out", held_out(F.col("doc_id")))
+    counts = held(count_words(docs.where(~held_out(F.col("doc_id")))), "words")
+    lex = lexicon(counts, KNOWN_WORDS)
+    rows = held(ranked(docs, spark.sparkContext.broadcast(lex), ["doc_id"]), "ranked")
+    model = fit(rows.where(~held_out(F.col("doc_id"))), lex)
+    return score_ranked(rows, counts, lex, model).withColumn("held_out", held_out(F.col("doc_id")))

@@ -149,3 +149,47 @@ def test_held_out_fold(spark):
     df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     for r in df.withColumn("h", M.held_out(F.col("doc_id"))).collect():
         assert r["h"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
+
+
+ODD = [None, "", " ", "  a  b ", "A\tB\x0bc\x0cd\re\n", "x\x1cy\x85z\xa0w", "\x00 Ünder É", "w " * 3000, "rare"]
+
+
+def test_words_are_counted_as_they_are_split(spark, monkeypatch):
+    monkeypatch.setattr(M, "GROUP_BYTES", 40)
+    texts = [t and t.replace("\x00", "") for t in ODD] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    want = Counter(w.decode() for t in texts for w in [*M.words_of((t or "").encode()), b""])
+    got = M.count_words(df).collect()
+    assert {r["word"]: r["n"] for r in got} == want and len(got) == len(want)
+
+
+def test_ranked_texts_give_the_same_tokens(spark):
+    import pyarrow as pa
+
+    words = [b"", b"w", b"a", b"b", b"x"]
+    lex = M.Lexicon(words, np.array([9, 5, 4, 2, 1]), 30, 12)
+    texts = [t and t.replace("\x00", "") for t in ODD]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = M.ranked(df, spark.sparkContext.broadcast(lex), ["doc_id"]).collect()
+    assert [r["doc_id"] for r in rows] == list(range(len(texts))) and len({r["row"] for r in rows}) == len(rows)
+    form = pa.array([r["ranked"].asDict() for r in rows], pa.struct([("ranks", pa.binary()), ("outside", pa.binary())]))
+    ((lo, got),) = M.token_groups(form, lex)
+    split = [M.words_of((t or "").encode()) for t in texts]
+    want = M.Tokens(split, lex)
+    assert lo == 0 and (got.rank == want.rank).all() and (got.sizes == want.sizes).all()
+    assert all((a == b).all() for a, b in zip(got.features, want.features, strict=True))
+    assert [dict(zip(r["rare"], r["rare_n"], strict=True)) for r in rows] == [Counter(w.decode() for w in t if w not in words) for t in split]
+
+
+def test_the_query_splits_texts_only_to_count_and_to_rank_them(spark, tmp_path, monkeypatch):
+    rnd = random.Random(7)
+    rows = corpus(rnd, 60) + [(None, "null id"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, round_, ranked = [], M.gradient_round, M.ranked
+    monkeypatch.setattr(M, "gradient_round", lambda df, *a: seen.append(df.columns) or round_(df, *a))
+    monkeypatch.setattr(M, "ranked", lambda df, *a: seen.append("ranked") or ranked(df, *a))
+    got = M.q_maxent(spark, str(tmp_path)).collect()
+    assert seen[0] == "ranked" and len(seen) == 1 + M.ROUNDS and all("text" not in c for c in seen[1:])
+    want = base(rows, [(i, t) for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2])
+    key = lambda i, n, k, t, s: (repr(i), n, k, t, round(s, 6))
+    assert sorted(key(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got) == sorted(key(i, *b) for (i, _), b in zip(rows, want, strict=True))
