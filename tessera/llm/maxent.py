@@ -52,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held, mix64, quoted, read_table
+from tessera.llm.common import give_back, held, mix64, quoted, read_table
 
 END = ""  # no word is empty
 CLASSES, SLOTS = 32, 32
@@ -98,26 +98,21 @@ def count_words(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts, the end token (the empty word) included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pa.Table] = []
+        seen: Counter[bytes] = Counter()
 
-        def merged() -> pa.Table:
-            return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["word", "n"])
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+            seen.clear()
+            return out
 
-        ends = 0
         for batch in batches:
-            ends += batch.num_rows
-            for _, some in text_groups(batch.column(0)):
-                # Splits where bytes.split() does; spaces at either end leave empty words.
-                words = pc.ascii_split_whitespace(pc.ascii_lower(some)).flatten().cast(pa.string())
-                seen = words.filter(pc.greater(pc.binary_length(words), 0)).value_counts()
-                parts.append(pa.table({"word": seen.field(0), "n": seen.field(1)}))
-                if sum(p.num_rows for p in parts) > FLUSH:
-                    parts = [merged()]
-                    if parts[0].num_rows > FLUSH // 2:
-                        yield from parts.pop().to_batches()
-        if ends:
-            parts.append(pa.table({"word": pa.array([END], pa.string()), "n": pa.array([ends], pa.int64())}))
-            yield from merged().to_batches()
+            for text in batch.column(0).cast(pa.large_binary()):
+                seen.update(words_of(text.as_py()))
+            seen[b""] += batch.num_rows
+            if len(seen) > FLUSH:
+                yield flush()
+        yield flush()
+        give_back()
 
     return texts.select(quoted(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -257,6 +252,7 @@ def ranked(docs: DataFrame, lex, columns: list[str], text_col: str = "text") ->
                     names=[*columns, "ranked", "row", "rare", "rare_n"],
                 )
                 row += len(some)
+        give_back()
 
     return rows.mapInArrow(run, f"{kinds}ranked {RANKED}, row long, rare array<string>, rare_n array<int>")
 
@@ -437,6 +433,8 @@ def gradient_round(texts: DataFrame, text_col: str, lex, model: Model) -> list[n
                 yield pa.RecordBatch.from_pydict(
                     {"block": pa.array([b], pa.int32()), "part": pa.array([part], pa.int32()), "sums": pa.array([zstandard.ZstdCompressor(level=1).compress(blob)], pa.binary())}
                 )
+            del out, whole
+        give_back()
 
     ddl = "block int, part int, sums binary"
     parts = texts.select(quoted(text_col)).coalesce(tasks).mapInArrow(sums, ddl)
@@ -457,13 +455,14 @@ def train(texts: DataFrame, text_col: str = "text", known_words: int = KNOWN_WOR
     """(distributed word counts, shipped words, trained model) from all texts."""
     counts = held(count_words(texts, text_col), "words")
     lex = lexicon(counts, known_words)
-    rows = held(ranked(texts, texts.sparkSession.sparkContext.broadcast(lex), [], text_col).select("ranked"), "ranked")
-    return counts, lex, fit(rows, lex, rounds)
+    shared = texts.sparkSession.sparkContext.broadcast(lex)
+    rows = held(ranked(texts, shared, [], text_col).select("ranked"), "ranked")
+    return counts, lex, fit(rows, shared, rounds)
 
 
-def fit(rows: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Model:
-    """The model trained on all ranked texts."""
-    shared = rows.sparkSession.sparkContext.broadcast(lex)
+def fit(rows: DataFrame, shared, rounds: int = ROUNDS) -> Model:
+    """The model trained on all ranked texts, with the words as they were shipped to rank them."""
+    lex = shared.value
     model = Model(lex)
     for _ in range(rounds if lex.tokens else 0):
         tables = gradient_round(rows, "ranked", shared, model)
@@ -502,13 +501,13 @@ SCORED = "row long, n_tokens long, known_tokens long, known_sum double, model_su
 def score(docs: DataFrame, counts: DataFrame, lex: Lexicon, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row."""
     rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
-    return score_ranked(held(ranked(rows, docs.sparkSession.sparkContext.broadcast(lex), ["doc_id"]), "ranked"), counts, lex, model)
+    shared = docs.sparkSession.sparkContext.broadcast(lex)
+    return score_ranked(held(ranked(rows, shared, ["doc_id"]), "ranked"), counts, shared, model)
 
 
-def score_ranked(rows: DataFrame, counts: DataFrame, lex: Lexicon, model: Model) -> DataFrame:
+def score_ranked(rows: DataFrame, counts: DataFrame, shared_lex, model: Model) -> DataFrame:
     """The scores from what ``ranked`` made, written before."""
-    spark = rows.sparkSession
-    shared_lex, shared_model = spark.sparkContext.broadcast(lex), spark.sparkContext.broadcast(model)
+    lex, shared_model = shared_lex.value, rows.sparkSession.sparkContext.broadcast(model)
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -529,6 +528,7 @@ def score_ranked(rows: DataFrame, counts: DataFrame, lex: Lexicon, model: Model)
                     ],
                     names=["doc_id", "row", "n_tokens", "known_tokens", "known_sum", "model_sum"],
                 )
+        give_back()
 
     scored = rows.select("doc_id", "row", "ranked").mapInArrow(run, f"doc_id {kind}, {SCORED}")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))
@@ -552,7 +552,7 @@ def held_out(id_col: Column) -> Column:
 def q_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = held(count_words(docs.where(~held_out(F.col("doc_id")))), "words")
-    lex = lexicon(counts, KNOWN_WORDS)
-    rows = held(ranked(docs, spark.sparkContext.broadcast(lex), ["doc_id"]), "ranked")
-    model = fit(rows.where(~held_out(F.col("doc_id"))), lex)
-    return score_ranked(rows, counts, lex, model).withColumn("held_out", held_out(F.col("doc_id")))
+    shared = spark.sparkContext.broadcast(lexicon(counts, KNOWN_WORDS))
+    rows = held(ranked(docs, shared, ["doc_id"]), "ranked")
+    model = fit(rows.where(~held_out(F.col("doc_id"))), shared)
+    return score_ranked(rows, counts, shared, model).withColumn("held_out", held_out(F.col("doc_id")))
