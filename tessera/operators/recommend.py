@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs as X
+from tessera.operators.als_many import PackedModel, PackedRatings, pack_ratings
 from tessera.operators.evaluate import mean_auc
 from tessera.operators.jobs import map_jobs
 from tessera.operators.keys import lookup_join
@@ -89,8 +90,14 @@ def fit_als(
     seed: int = 0,
     partitions: int | None = None,
     implicit: bool = True,
-) -> ALSModel:
-    """L1: implicit ALS (``trainImplicit(ratings, rank, iterations, lambda, alpha)``)."""
+    packed: PackedRatings | None = None,
+) -> ALSModel | PackedModel:
+    """L1: implicit ALS (``trainImplicit(ratings, rank, iterations, lambda, alpha)``).
+
+    ``packed`` are the same ratings, packed with this seed for several fits (``als_many``).
+    """
+    if packed is not None and implicit and max_iter > 0:
+        return packed.fit(rank, max_iter, reg, alpha)
     n = partitions or ratings.sparkSession.sparkContext.defaultParallelism
     ensure_checkpoint_dir(ratings.sparkSession)
     # Range partitions on (user, item): content-determined (a seeded fit repeats) and a
@@ -346,19 +353,26 @@ def als_grid(
     parallel: int = 1,
 ) -> DataFrame:
     """Mean AUC of every (rank, lambda, alpha), best first.  Inputs are cached across fits;
-    ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs)."""
+    ``parallel`` > 1 fits that many parameter sets at once (concurrent jobs).  Many ratings are
+    packed once for all fits (``als_many``)."""
     spark = train.sparkSession
-    train = train.persist()
+    train = train.select("user", "item", "rating").persist()
     positives = positives.persist()
     negatives = negatives.persist()
 
+    def start(users: DataFrame, rank: int) -> DataFrame:
+        return fit_als(users, rank, 0, seed=seed).userFactors
+
     def one(params):
         rank, reg, alpha = params
-        model = fit_als(train, rank, max_iter, reg, alpha, seed)
+        model = fit_als(train, rank, max_iter, reg, alpha, seed, packed=packed)
         auc = mean_auc(positives, negatives, als_predictor(model)).first()["mean_auc"]
         return (int(rank), float(reg), float(alpha), float(auc) if auc is not None else None)
 
     try:
+        # About a task for each core in all the passes that run at once: every task sends its own sums of the items.
+        tasks = -(-spark.sparkContext.defaultParallelism // max(1, min(parallel, len(ranks) * len(regs) * len(alphas))))
+        packed = pack_ratings(train, ranks, start, tasks)
         rows = map_jobs(one, product(ranks, regs, alphas), parallel)
     finally:
         train.unpersist()
