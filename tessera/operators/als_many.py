@@ -13,6 +13,7 @@ those of ``pyspark.ml`` with the same seed and number of blocks; sums are taken
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -83,7 +84,7 @@ class PackedRatings:
 
     def _pass(self, rank: int, items: np.ndarray | None, reg: float, alpha: float, sums: bool) -> DataFrame:
         """One pass over the rows: users solved from ``items`` (or their first factors), then what the items' equations need, or the users."""
-        offset, width, total = self.offsets[rank], sum(self.offsets), len(self.ids)  # ranks are the keys
+        offset, width, total = self.offsets[rank], sum(self.offsets), len(self.ids)
         upper = np.triu_indices(rank)
         size = len(upper[0])
         enough = int(np.searchsorted(-self.n, -self.tasks * rank, side="right"))  # items are numbered by falling ratings
@@ -198,7 +199,8 @@ class PackedRatings:
             items = np.empty((len(self.ids), rank), dtype=np.float32)
             for r in found:
                 items[r["block"] * ITEM_BLOCK : (r["block"] + 1) * ITEM_BLOCK] = np.frombuffer(r["y"], dtype="<f4").reshape(-1, rank)
-            # The shuffle of the pass is not read again: its files go with the objects that name them.
+            # The shuffle of the pass is not read again: its files go when nothing here or in the driver's JVM names it.
+            gc.collect()
             self.rows.sparkSession.sparkContext._jvm.java.lang.System.gc()
         return PackedModel(self._pass(rank, items, reg, alpha, sums=False), self.ids, items)
 
